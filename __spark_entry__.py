@@ -60,6 +60,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 PORT = "P7"
 MONTH = 4
 REFRESHED = (1997, 4)
+FOLDERS = 5
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -446,7 +447,7 @@ def dq_unreadable_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_scratch_path(spark, "lake")
-    write_visits(fx.regional_visits(spark, sf_dir, 25), root)
+    write_visits(fx.regional_visits(spark, sf_dir, FOLDERS), root)
     return read_visits(spark, root)
 
 
@@ -459,7 +460,7 @@ def dim_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def month_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One month is replaced by a version with another flight number and one port less."""
     root = new_scratch_path(spark, "lake")
-    visits = fx.regional_visits(spark, sf_dir, 5)
+    visits = fx.regional_visits(spark, sf_dir, FOLDERS)
     write_visits(visits, root)
     newer = visits.where(F.col("airport_code") != "01").withColumn("flight_number", F.lit("NEW"))
     refresh_month(newer, root, *REFRESHED)
@@ -847,13 +848,13 @@ def oracle_sql() -> dict[str, str]:
             SELECT CAST(0 AS BIGINT) AS arrdate, COUNT(*) FILTER (WHERE l_quantity > 40) AS depdate
             FROM lineitem
         """,
-        "fact_roundtrip": _regional(25),
+        "fact_roundtrip": _regional(FOLDERS),
         "dim_roundtrip": f"WITH {STAR} SELECT airport_code, city, us_state_id FROM ports",
         "month_refresh": f"""
             SELECT * REPLACE (
                 CASE WHEN year = {year} AND month = {month} THEN 'NEW' ELSE flight_number END
                     AS flight_number)
-            FROM ({_regional(5)})
+            FROM ({_regional(FOLDERS)})
             WHERE NOT (year = {year} AND month = {month} AND airport_code = '01')
         """,
     }

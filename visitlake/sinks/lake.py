@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -7,13 +9,15 @@ from visitlake.fixed import VISIT_PARTITIONS, VISITS
 from visitlake.scratch import join_path
 
 
-def write_visits(visits: DataFrame, root: str) -> None:
+def write_visits(visits: DataFrame, root: str, shuffle_partitions: int | None = None) -> None:
     """Replace the visits table, one folder per year, month and port.
 
     The rebalance brings the rows of a folder together, which keeps the file count low, and lets
-    Spark spread a folder with very many rows over several tasks and files.
+    Spark spread a folder with very many rows over several tasks and files. For a load of many
+    folders give ``shuffle_partitions`` about as many as there are folders: partitions that turn
+    out small are merged, while a large one is cut into pieces that each hold all its folders.
     """
-    balanced = visits.hint("rebalance", *VISIT_PARTITIONS)
+    balanced = _rebalance(visits, VISIT_PARTITIONS, shuffle_partitions)
     balanced.write.mode("overwrite").partitionBy(*VISIT_PARTITIONS).parquet(
         join_path(root, VISITS)
     )
@@ -23,7 +27,9 @@ def write_dimension(dimension: DataFrame, root: str, table: str) -> None:
     dimension.write.mode("overwrite").parquet(join_path(root, table))
 
 
-def refresh_month(visits: DataFrame, root: str, year: int, month: int) -> None:
+def refresh_month(
+    visits: DataFrame, root: str, year: int, month: int, shuffle_partitions: int | None = None
+) -> None:
     """Replace one month of the visits table by the rows of that month in ``visits``.
 
     The whole month folder is overwritten, so a port without new rows loses its old ones. Other
@@ -32,6 +38,10 @@ def refresh_month(visits: DataFrame, root: str, year: int, month: int) -> None:
     """
     this_month = visits.where((F.col("year") == year) & (F.col("month") == month))
     folder = f"{join_path(root, VISITS)}/year={year}/month={month}"
-    this_month.drop("year", "month").hint("rebalance", "airport_code").write.mode(
+    _rebalance(this_month.drop("year", "month"), ["airport_code"], shuffle_partitions).write.mode(
         "overwrite"
     ).partitionBy("airport_code").parquet(folder)
+
+
+def _rebalance(df: DataFrame, columns: Sequence[str], partitions: int | None) -> DataFrame:
+    return df.hint("rebalance", *([] if partitions is None else [partitions]), *columns)
