@@ -359,6 +359,46 @@ def top_countries_last_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.top_countries(visits, fx.countries(spark, sf_dir), PORT)
 
 
+def visit_share_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register_views(
+        {
+            VISITS: fx.port_visits(spark, sf_dir),
+            PORTS: fx.ports(spark, sf_dir),
+            DEMOGRAPHY: fx.demography(spark, sf_dir),
+            STATES: fx.states(spark, sf_dir),
+        }
+    )
+    return spark.sql(
+        f"""
+        SELECT d.city, s.us_state_name, v.immigrant_visits, d.total_population,
+               try_divide(v.immigrant_visits, d.total_population) AS immigrant_share
+        FROM (SELECT airport_code, COUNT(*) AS immigrant_visits
+              FROM {VISITS} GROUP BY airport_code) v
+        JOIN {PORTS} p ON p.airport_code = v.airport_code
+        JOIN {DEMOGRAPHY} d ON p.city = d.city AND p.us_state_id = d.state_id
+        JOIN {STATES} s ON d.state_id = s.us_state_id
+        ORDER BY immigrant_share DESC NULLS LAST, v.immigrant_visits DESC, d.city, v.airport_code
+        LIMIT 5
+        """
+    )
+
+
+def top_countries_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register_views(
+        {VISITS: fx.visits(spark, sf_dir), COUNTRIES: fx.countries(spark, sf_dir)}
+    )
+    return spark.sql(
+        f"""
+        SELECT c.country_name AS country_of_origin, v.immigrant_visits
+        FROM (SELECT citizen_country_id, COUNT(*) AS immigrant_visits
+              FROM {VISITS} WHERE airport_code = '{PORT}' GROUP BY citizen_country_id
+              ORDER BY immigrant_visits DESC, citizen_country_id LIMIT 10) v
+        JOIN {COUNTRIES} c ON v.citizen_country_id = c.country_id
+        ORDER BY v.immigrant_visits DESC, v.citizen_country_id
+        """
+    )
+
+
 def top3_countries_per_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.top_countries_per_year(
         fx.visits(spark, sf_dir), fx.countries(spark, sf_dir), PORT
@@ -494,7 +534,9 @@ def queries() -> dict[str, Query]:
         "top_ports_last_month": top_ports_last_month,
         "visit_share": visit_share,
         "visit_share_by_name": visit_share_by_name,
+        "visit_share_sql": visit_share_sql,
         "top_countries": top_countries,
+        "top_countries_sql": top_countries_sql,
         "top_countries_last_year": top_countries_last_year,
         "top3_countries_per_year": top3_countries_per_year,
         "dq_unique_key": dq_unique_key,
@@ -802,7 +844,9 @@ def oracle_sql() -> dict[str, str]:
         ),
         "visit_share": _visit_share_sql("p.city = d.city AND p.us_state_id = d.state_id"),
         "visit_share_by_name": _visit_share_sql("p.city = d.city"),
+        "visit_share_sql": _visit_share_sql("p.city = d.city AND p.us_state_id = d.state_id"),
         "top_countries": _top_countries("true", 10),
+        "top_countries_sql": _top_countries("true", 10),
         "top_countries_last_year": _top_countries("year = (SELECT max(year) FROM visits)", 3),
         "top3_countries_per_year": f"""
             WITH {STAR},

@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from visitlake.__main__ import main as command
 from visitlake.fixed import (
     COUNTRIES,
     DEMOGRAPHY,
@@ -119,6 +120,14 @@ def test_job(spark, inputs):
     assert orphans == {("airport_code", None), ("citizen_country_id", "7.0")}
 
 
+def test_command(spark, inputs, monkeypatch, capsys):
+    paths = inputs([visit(1), visit(2)])
+    monkeypatch.setattr("sys.argv", ["visitlake", *paths])
+    command()
+    assert "immigration_facts  |2" in capsys.readouterr().out
+    assert read_visits(spark, paths[-1]).count() == 2
+
+
 def test_job_again_replaces_everything(spark, inputs, tmp_path):
     paths = inputs([visit(1), visit(2, "060")])
     run(spark, *paths)
