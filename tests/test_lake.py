@@ -17,7 +17,14 @@ from visitlake.fixed import (
     VISIT_FIELDS,
     VISITS,
 )
-from visitlake.plans.pipeline import DataQualityError, run, star_orphans, star_report
+from visitlake.plans.pipeline import (
+    DataQualityError,
+    refresh_demography,
+    refresh_visits,
+    run,
+    star_orphans,
+    star_report,
+)
 from visitlake.scratch import ensure_checkpoint_dir, join_path, new_scratch_path
 from visitlake.sinks import refresh_month, write_visits
 from visitlake.sources import read_demography, read_star, read_visits
@@ -136,6 +143,23 @@ def test_job_again_replaces_everything(spark, inputs, tmp_path):
     assert [row.citizen_id for row in read_visits(spark, paths[-1]).collect()] == [5.0]
 
 
+def test_refresh_of_one_input(spark, inputs, tmp_path):
+    paths = inputs([visit(1, month=3), visit(2), visit(3, "060")])
+    run(spark, *paths)
+    newer = str(tmp_path / "newer")
+    raw = [visit(7), visit(7), visit(8, month=3)]
+    spark.createDataFrame(raw, RAW_SCHEMA).write.parquet(newer)
+    assert refresh_visits(spark, newer, paths[-1], 2016, 4) == 1
+    ids = {row.citizen_id for row in read_visits(spark, paths[-1]).collect()}
+    assert ids == {1.0, 7.0}
+    with pytest.raises(DataQualityError):
+        refresh_visits(spark, newer, paths[-1], 2016, 5)
+
+    (tmp_path / "cities2.csv").write_text(CITIES + "Reno;Nevada;1;1;1;1;1;1;1;NV;White;1\n")
+    assert refresh_demography(spark, str(tmp_path / "cities2.csv"), paths[-1]) == 3
+    assert read_star(spark, paths[-1])[DEMOGRAPHY].count() == 3
+
+
 @pytest.mark.parametrize(
     "change, message",
     [
@@ -193,10 +217,17 @@ def test_month_refresh_drops_a_port_without_rows(spark, tmp_path):
     write_visits(facts(spark, [*march, (3.0, 2016, 4, "A"), (4.0, 2016, 4, "B")]), root)
     newer = [(9.0, 2016, 4, "A"), (8.0, 2016, 3, "C")]
     for _ in range(2):
-        refresh_month(facts(spark, newer), root, 2016, 4)
+        assert refresh_month(facts(spark, newer), root, 2016, 4) == 1
         assert read_back(spark, root) == [*march, newer[0]]
 
 
+def test_month_refresh_without_rows_empties_the_month(spark, tmp_path):
+    rows = [(1.0, 2016, 3, "A"), (2.0, 2016, 4, "A")]
+    assert write_visits(facts(spark, rows), str(tmp_path)) == 2
+    assert refresh_month(facts(spark, rows[:1]), str(tmp_path), 2016, 4) == 0
+    assert read_back(spark, str(tmp_path)) == rows[:1]
+
+
 def test_one_large_folder_is_split(spark, tmp_path):
     rows = spark.range(60000).select(
         F.col("id").cast("double").alias("citizen_id"),
@@ -210,14 +241,14 @@ def test_one_large_folder_is_split(spark, tmp_path):
     for name, value in settings.items():
         spark.conf.set(name, value)
     try:
-        write_visits(rows.repartition(20), str(tmp_path), shuffle_partitions=16)
+        written = write_visits(rows.repartition(20), str(tmp_path), shuffle_partitions=16)
     finally:
         for name, value in kept.items():
             spark.conf.set(name, value)
     folder = tmp_path / VISITS / "year=2016" / "month=4"
     assert len(list((folder / "airport_code=A").glob("*.parquet"))) > 3
     assert len(list((folder / "airport_code=B").glob("*.parquet"))) == 1
-    assert read_visits(spark, str(tmp_path)).count() == 60000
+    assert written == read_visits(spark, str(tmp_path)).count() == 60000
 
 
 def test_scratch_paths_are_new_and_in_the_session_folder(spark):

@@ -13,10 +13,18 @@ def main() -> None:
     parser.add_argument("demography", help="semicolon-separated city files")
     parser.add_argument("labels", help="label file or folder")
     parser.add_argument("target", help="folder the tables are written to")
+    parser.add_argument(
+        "--shuffle-partitions", type=int, help="about the number of year, month and port folders"
+    )
     arguments = parser.parse_args()
     spark = SparkSession.builder.appName("visitlake").getOrCreate()
     run(
-        spark, arguments.visits, arguments.demography, arguments.labels, arguments.target
+        spark,
+        arguments.visits,
+        arguments.demography,
+        arguments.labels,
+        arguments.target,
+        arguments.shuffle_partitions,
     ).show(truncate=False)
 
 

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from visitlake.fixed import DIMENSION_KEYS, LABEL_SECTIONS, VISIT_REFERENCES, VISITS
+from visitlake.fixed import DEMOGRAPHY, DIMENSION_KEYS, LABEL_SECTIONS, VISIT_REFERENCES, VISITS
 from visitlake.operators import label_pairs, section_faults
 from visitlake.operators.quality import fill_report, key_report, orphan_keys, union_reports
-from visitlake.plans.star import build_star
-from visitlake.sinks import write_dimension, write_visits
-from visitlake.sources import read_demography, read_label_lines, read_raw_visits, read_star
+from visitlake.plans.star import build_star, city_demography, immigration_facts
+from visitlake.sinks import refresh_month, write_dimension, write_visits
+from visitlake.sources import read_demography, read_label_lines, read_raw_visits
 
 
 class DataQualityError(ValueError):
@@ -18,12 +17,17 @@ class DataQualityError(ValueError):
 
 
 def run(
-    spark: SparkSession, visits_path: str, demography_path: str, labels_path: str, root: str
+    spark: SparkSession,
+    visits_path: str,
+    demography_path: str,
+    labels_path: str,
+    root: str,
+    shuffle_partitions: int | None = None,
 ) -> DataFrame:
     """Build the star schema from the three inputs and write it under ``root``.
 
-    All checks come before the first write. The returned table (table_name, row_count) counts
-    what was written.
+    All checks come before the first write. The returned table (table_name, row_count) has the
+    counts of the checks and, for the visits, of the write itself, so nothing is read back.
     """
     raw_visits = read_raw_visits(spark, visits_path)
     lines = read_label_lines(spark, labels_path)
@@ -33,14 +37,41 @@ def run(
     try:
         star = build_star(raw_visits, read_demography(spark, demography_path), pairs)
         require_visits(raw_visits)
-        require_passed(dimension_report(star))
+        counts = require_passed(dimension_report(star))
 
-        write_visits(star[VISITS], root)
+        counts[VISITS] = write_visits(star[VISITS], root, shuffle_partitions)
         for table in DIMENSION_KEYS:
             write_dimension(star[table], root, table)
     finally:
         pairs.unpersist()
-    return row_counts(read_star(spark, root))
+    return spark.createDataFrame(list(counts.items()), "table_name string, row_count bigint")
+
+
+def refresh_visits(
+    spark: SparkSession,
+    visits_path: str,
+    root: str,
+    year: int,
+    month: int,
+    shuffle_partitions: int | None = None,
+) -> int:
+    """Replace one month of the visits table by its records in ``visits_path``.
+
+    Returns the number of visits. A month without any record is refused, not emptied.
+    """
+    raw = read_raw_visits(spark, visits_path).where(
+        (F.col("i94yr") == year) & (F.col("i94mon") == month)
+    )
+    require_visits(raw)
+    return refresh_month(immigration_facts(raw), root, year, month, shuffle_partitions)
+
+
+def refresh_demography(spark: SparkSession, demography_path: str, root: str) -> int:
+    """Replace the city table; returns the number of cities."""
+    cities = city_demography(read_demography(spark, demography_path))
+    counts = require_passed(key_report(DEMOGRAPHY, cities, DIMENSION_KEYS[DEMOGRAPHY]))
+    write_dimension(cities, root, DEMOGRAPHY)
+    return counts[DEMOGRAPHY]
 
 
 def dimension_report(star: dict[str, DataFrame]) -> DataFrame:
@@ -68,15 +99,20 @@ def row_counts(star: dict[str, DataFrame]) -> DataFrame:
     return union_reports(reports).select("table_name", "row_count")
 
 
-def require_passed(report: DataFrame) -> None:
-    """Raise once for all tables that are empty or repeat a key. One row per table is fetched."""
-    failed = report.where(~F.col("is_filled") | ~F.coalesce("is_unique", F.lit(True))).collect()
+def require_passed(report: DataFrame) -> dict[str, int]:
+    """Row count per table; raises once for all tables that are empty or repeat a key.
+
+    The report has one row per table, and these are fetched.
+    """
+    rows = report.collect()
     problems = [
         f"{row.table_name}: {row.row_count} rows, {row.duplicate_keys} keys more than once"
-        for row in failed
+        for row in rows
+        if not row.is_filled or row.is_unique is False
     ]
     if problems:
         raise DataQualityError("data quality check not passed: " + "; ".join(problems))
+    return {row.table_name: row.row_count for row in rows}
 
 
 def require_visits(raw_visits: DataFrame) -> None:

@@ -2,25 +2,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from visitlake.fixed import VISIT_PARTITIONS, VISITS
 from visitlake.scratch import join_path
 
 
-def write_visits(visits: DataFrame, root: str, shuffle_partitions: int | None = None) -> None:
-    """Replace the visits table, one folder per year, month and port.
+def write_visits(visits: DataFrame, root: str, shuffle_partitions: int | None = None) -> int:
+    """Replace the visits table, one folder per year, month and port; returns the row count.
 
     The rebalance brings the rows of a folder together, which keeps the file count low, and lets
     Spark spread a folder with very many rows over several tasks and files. For a load of many
     folders give ``shuffle_partitions`` about as many as there are folders: partitions that turn
     out small are merged, while a large one is cut into pieces that each hold all its folders.
     """
-    balanced = _rebalance(visits, VISIT_PARTITIONS, shuffle_partitions)
-    balanced.write.mode("overwrite").partitionBy(*VISIT_PARTITIONS).parquet(
-        join_path(root, VISITS)
-    )
+    return _write(visits, VISIT_PARTITIONS, shuffle_partitions, join_path(root, VISITS))
 
 
 def write_dimension(dimension: DataFrame, root: str, table: str) -> None:
@@ -29,19 +26,31 @@ def write_dimension(dimension: DataFrame, root: str, table: str) -> None:
 
 def refresh_month(
     visits: DataFrame, root: str, year: int, month: int, shuffle_partitions: int | None = None
-) -> None:
+) -> int:
     """Replace one month of the visits table by the rows of that month in ``visits``.
 
+    Returns the row count of the new month.
+
     The whole month folder is overwritten, so a port without new rows loses its old ones. Other
     months are not touched. ``visits`` must not read the table it replaces. If the job is cut
     off, run it again: the result does not depend on what the first run left.
     """
     this_month = visits.where((F.col("year") == year) & (F.col("month") == month))
     folder = f"{join_path(root, VISITS)}/year={year}/month={month}"
-    _rebalance(this_month.drop("year", "month"), ["airport_code"], shuffle_partitions).write.mode(
-        "overwrite"
-    ).partitionBy("airport_code").parquet(folder)
+    return _write(
+        this_month.drop("year", "month"), ["airport_code"], shuffle_partitions, folder
+    )
 
 
-def _rebalance(df: DataFrame, columns: Sequence[str], partitions: int | None) -> DataFrame:
-    return df.hint("rebalance", *([] if partitions is None else [partitions]), *columns)
+def _write(df: DataFrame, columns: Sequence[str], partitions: int | None, folder: str) -> int:
+    """Write and count in one pass.
+
+    The rows are counted above the last shuffle, in the tasks that write them. Such a task
+    counts once even if it has to run again.
+    """
+    written = Observation()
+    balanced = df.hint("rebalance", *([] if partitions is None else [partitions]), *columns)
+    balanced.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").partitionBy(
+        *columns
+    ).parquet(folder)
+    return written.get["rows"]
