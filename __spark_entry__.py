@@ -60,7 +60,8 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 PORT = "P7"
 MONTH = 4
 REFRESHED = (1997, 4)
-FOLDERS = 5
+PORT_FOLDERS = 5
+MONTHS = 84
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -487,7 +488,7 @@ def dq_unreadable_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_scratch_path(spark, "lake")
-    write_visits(fx.regional_visits(spark, sf_dir, FOLDERS), root)
+    write_visits(fx.regional_visits(spark, sf_dir, PORT_FOLDERS), root, PORT_FOLDERS * MONTHS)
     return read_visits(spark, root)
 
 
@@ -500,10 +501,10 @@ def dim_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def month_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One month is replaced by a version with another flight number and one port less."""
     root = new_scratch_path(spark, "lake")
-    visits = fx.regional_visits(spark, sf_dir, FOLDERS)
-    write_visits(visits, root)
+    visits = fx.regional_visits(spark, sf_dir, PORT_FOLDERS)
+    write_visits(visits, root, PORT_FOLDERS * MONTHS)
     newer = visits.where(F.col("airport_code") != "01").withColumn("flight_number", F.lit("NEW"))
-    refresh_month(newer, root, *REFRESHED)
+    refresh_month(newer, root, *REFRESHED, PORT_FOLDERS)
     return read_visits(spark, root)
 
 
@@ -892,13 +893,13 @@ def oracle_sql() -> dict[str, str]:
             SELECT CAST(0 AS BIGINT) AS arrdate, COUNT(*) FILTER (WHERE l_quantity > 40) AS depdate
             FROM lineitem
         """,
-        "fact_roundtrip": _regional(FOLDERS),
+        "fact_roundtrip": _regional(PORT_FOLDERS),
         "dim_roundtrip": f"WITH {STAR} SELECT airport_code, city, us_state_id FROM ports",
         "month_refresh": f"""
             SELECT * REPLACE (
                 CASE WHEN year = {year} AND month = {month} THEN 'NEW' ELSE flight_number END
                     AS flight_number)
-            FROM ({_regional(FOLDERS)})
+            FROM ({_regional(PORT_FOLDERS)})
             WHERE NOT (year = {year} AND month = {month} AND airport_code = '01')
         """,
     }

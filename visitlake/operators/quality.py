@@ -54,29 +54,30 @@ def orphan_keys(
     """Rows (column_name, key, row_count): keys of ``df`` that their dimension does not hold.
 
     All foreign keys are counted in one scan and one shuffle, with partial counts per task, and
-    only the distinct keys meet the dimensions. A NULL key is listed with a NULL ``key``.
+    only the distinct keys meet the dimensions and become text. (An anti join would be moved
+    below the count when a dimension is small, and would then turn every row's keys into text.)
+    A NULL key is listed with a NULL ``key``.
     """
-    pairs = F.array(
-        *[
-            F.struct(F.lit(name).alias("column_name"), _key_text(df, name).alias("key"))
-            for name in references
-        ]
-    )
-    used = (
-        df.select(F.explode(pairs).alias("used"))
-        .groupBy("used.column_name", "used.key")
+    used = F.array(*[_typed_key(df, name, name) for name in references])
+    counted = (
+        df.select(F.inline(used))
+        .groupBy("column_name", "number", "text")
         .agg(F.count(F.lit(1)).alias("row_count"))
+        .select("column_name", _key(), "row_count")
     )
     known = reduce(
         DataFrame.union,
         [
-            dimension.select(
-                F.lit(name).alias("column_name"), _key_text(dimension, key).alias("key")
-            )
+            dimension.select(F.inline(F.array(_typed_key(dimension, key, name))))
             for name, (dimension, key) in references.items()
         ],
     )
-    return used.join(known, ["column_name", "key"], "left_anti")
+    known = known.select("column_name", _key()).distinct().withColumn("is_known", F.lit(True))
+    return (
+        counted.join(known, ["column_name", "key"], "left")
+        .where(F.col("is_known").isNull())
+        .drop("is_known")
+    )
 
 
 def orphan_report(orphans: DataFrame) -> DataFrame:
@@ -96,8 +97,17 @@ def unreadable_report(raw: DataFrame, day_columns: Sequence[str]) -> DataFrame:
     return raw.agg(*[F.count_if(unreadable_sas_date(name)).alias(name) for name in day_columns])
 
 
-def _key_text(df: DataFrame, name: str) -> Column:
-    """A key as text. Numbers of any type take one form, so 582 and 582.0, or 0.0 and -0.0, are the same key."""
-    if df.schema[name].dataType.typeName() == "string":
-        return F.col(name)
-    return (F.col(name).cast("double") + F.lit(0.0)).cast("string")
+def _typed_key(df: DataFrame, column: str, name: str) -> Column:
+    """A key as text or as a number: 582 and 582.0, or 0.0 and -0.0, are the same key."""
+    is_text = df.schema[column].dataType.typeName() == "string"
+    number = F.lit(None) if is_text else F.col(column).cast("double") + F.lit(0.0)
+    text = F.col(column) if is_text else F.lit(None)
+    return F.struct(
+        F.lit(name).alias("column_name"),
+        number.cast("double").alias("number"),
+        text.cast("string").alias("text"),
+    )
+
+
+def _key() -> Column:
+    return F.coalesce("text", F.col("number").cast("string")).alias("key")

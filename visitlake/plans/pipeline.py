@@ -12,6 +12,11 @@ from visitlake.sinks import refresh_month, write_dimension, write_visits
 from visitlake.sources import read_demography, read_label_lines, read_raw_visits
 
 
+# Beyond this number of shuffle partitions Spark keeps average block sizes unless
+# spark.shuffle.accurateBlockSkewedFactor is set, and would not see that a folder is large.
+EXACT_PARTITIONS = 2000
+
+
 class DataQualityError(ValueError):
     """A table failed its checks; nothing was written."""
 
@@ -39,7 +44,9 @@ def run(
         require_visits(raw_visits)
         counts = require_passed(dimension_report(star))
 
-        counts[VISITS] = write_visits(star[VISITS], root, shuffle_partitions)
+        counts[VISITS] = write_visits(
+            star[VISITS], root, shuffle_partitions or folder_partitions(raw_visits)
+        )
         for table in DIMENSION_KEYS:
             write_dimension(star[table], root, table)
     finally:
@@ -63,7 +70,9 @@ def refresh_visits(
         (F.col("i94yr") == year) & (F.col("i94mon") == month)
     )
     require_visits(raw)
-    return refresh_month(immigration_facts(raw), root, year, month, shuffle_partitions)
+    return refresh_month(
+        immigration_facts(raw), root, year, month, shuffle_partitions or folder_partitions(raw)
+    )
 
 
 def refresh_demography(spark: SparkSession, demography_path: str, root: str) -> int:
@@ -74,6 +83,16 @@ def refresh_demography(spark: SparkSession, demography_path: str, root: str) ->
     return counts[DEMOGRAPHY]
 
 
+def folder_partitions(raw_visits: DataFrame) -> int:
+    """Shuffle partitions for the write: one per year, month and port folder, up to the limit.
+
+    With fewer partitions than folders, every piece of a large partition writes a file to each
+    of its folders. Three columns are read for the count.
+    """
+    folders = raw_visits.select("i94yr", "i94mon", "i94port").distinct().count()
+    return min(folders, EXACT_PARTITIONS)
+
+
 def dimension_report(star: dict[str, DataFrame]) -> DataFrame:
     """One key report row per dimension."""
     return union_reports(
