@@ -211,14 +211,19 @@ def test_port_codes_of_digits_stay_text(spark, tmp_path):
     assert read_back(spark, str(tmp_path)) == sorted(rows, key=repr)
 
 
-def test_month_refresh_drops_a_port_without_rows(spark, tmp_path):
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_month_refresh_drops_a_port_without_rows(spark, tmp_path, mode):
     root = str(tmp_path) + "/"
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
     march = [(1.0, 2016, 3, "A"), (2.0, 2016, 3, "B")]
     write_visits(facts(spark, [*march, (3.0, 2016, 4, "A"), (4.0, 2016, 4, "B")]), root)
     newer = [(9.0, 2016, 4, "A"), (8.0, 2016, 3, "C")]
     for _ in range(2):
         assert refresh_month(facts(spark, newer), root, 2016, 4) == 1
         assert read_back(spark, root) == [*march, newer[0]]
+    write_visits(facts(spark, march), root)
+    assert read_back(spark, root) == march
+    spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
 
 
 def test_month_refresh_without_rows_empties_the_month(spark, tmp_path):

@@ -1,4 +1,4 @@
-"""Every registered query against its SQL on the same tables."""
+"""Every registered query against its SQL on the same tables, and its plan."""
 
 import datetime
 import glob
@@ -63,3 +63,7 @@ def test_query_equals_sql(spark, duck, name):
     wanted = rows_by_name(columns, expected.fetchall())
     assert rows_by_name(result.columns, result.collect()) == wanted
     assert wanted, "the comparison says nothing about an empty result"
+
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    for operator in ("EvalPython", "MapInPandas", "CartesianProduct", "NestedLoopJoin"):
+        assert operator not in plan

@@ -39,13 +39,6 @@ def scan_part(text, part):
     return re.findall(part + r": \[([^\]]*)\]", text)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
-def test_no_python_and_no_all_pairs(spark, name):
-    text = plan(contract.queries()[name](spark, SF_DIR))
-    for operator in ("EvalPython", "MapInPandas", "CartesianProduct", "NestedLoopJoin"):
-        assert operator not in text
-
-
 def test_month_is_a_partition_filter(lake):
     counts = analytics.count_visits(lake.where("month = 4"), "airport_code")
     assert "month" in scan_part(plan(counts), "PartitionFilters")[0]

@@ -50,7 +50,9 @@ def _write(df: DataFrame, columns: Sequence[str], partitions: int | None, folder
     """
     written = Observation()
     balanced = df.hint("rebalance", *([] if partitions is None else [partitions]), *columns)
-    balanced.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").partitionBy(
+    counted = balanced.observe(written, F.count(F.lit(1)).alias("rows"))
+    # Static, whatever the session says: dynamic overwrite would leave folders without new rows.
+    counted.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
         *columns
     ).parquet(folder)
     return written.get["rows"]
