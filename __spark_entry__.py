@@ -6,6 +6,7 @@ and label text from them; the SQL below derives the same data on its own.
 
 from __future__ import annotations
 
+import importlib.util
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -56,6 +57,12 @@ from visitlake.sources import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: The training-data operators are a part of their own, which may be absent.
+HAS_LLM = all(importlib.util.find_spec(name) for name in ("visitlake.llm", "corpus_pipeline"))
+if HAS_LLM:
+    import corpus_pipeline
+    from visitlake.llm import queries as llm_queries
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 PORT = "P7"
 MONTH = 4
@@ -508,8 +515,16 @@ def month_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_visits(spark, root)
 
 
+def llm_part(what: str) -> dict:
+    """QUERIES or ORACLE_SQL of the training-data operators and their pipeline."""
+    if not HAS_LLM:
+        return {}
+    pipeline = corpus_pipeline.run if what == "QUERIES" else corpus_pipeline.ORACLE_SQL
+    return getattr(llm_queries, what) | ({"pipeline": pipeline} if pipeline else {})
+
+
 def queries() -> dict[str, Query]:
-    return {
+    return llm_part("QUERIES") | {
         "scan_project": scan_project,
         "raw_scan": raw_scan,
         "rename_positional": rename_by_position,
@@ -734,7 +749,7 @@ def _regional(folders: int) -> str:
 
 def oracle_sql() -> dict[str, str]:
     year, month = REFRESHED
-    return {
+    return llm_part("ORACLE_SQL") | {
         "scan_project": "SELECT l_orderkey, l_suppkey AS port, l_shipdate FROM lineitem",
         "raw_scan": RAW,
         "rename_positional": f"""

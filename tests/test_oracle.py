@@ -10,8 +10,8 @@ import pytest
 import __spark_entry__ as contract
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = {k: v for k, v in contract.queries().items() if k not in contract.llm_part("QUERIES")}
+ORACLES = {k: v for k, v in contract.oracle_sql().items() if k in QUERIES}
 
 
 @pytest.fixture(scope="module")
