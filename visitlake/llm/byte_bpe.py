@@ -26,8 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from visitlake.llm.arrow import map_batches, pieces
+
 #: Pieces that a Python worker remembers; beyond it the table starts anew. Results don't depend on it.
-REMEMBERED_PIECES = 300_000
+REMEMBERED_PIECES = 150_000
 REMEMBERED_LENGTH = 40
 ID = np.dtype("<u4")
 
@@ -97,6 +99,12 @@ def _token_bytes(path: str) -> tuple[pa.Array, np.ndarray]:
     return pa.array(tokens, pa.large_binary()), lengths
 
 
+def _joined(values: pa.Array) -> bytes:
+    """The values one after the other: what their data buffer holds."""
+    offsets = np.frombuffer(values.buffers()[1], np.int64)[values.offset :][: len(values) + 1]
+    return values.buffers()[2].to_pybytes()[offsets[0] : offsets[-1]] if len(values) else b""
+
+
 def encode(
     df: DataFrame, text: str, path: str, pattern: str, keep: Sequence[str] = (), offsets: bool = False
 ) -> DataFrame:
@@ -112,7 +120,7 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, ids_of = _encoder(path, pattern)
-        for batch in batches:
+        for batch in pieces(batches):
             columns = batch.columns
             packed = [
                 b"".join([ids_of[piece] for piece in split(value)]) if value else b""
@@ -128,7 +136,7 @@ def encode(
                 names.append("starts")
             yield pa.RecordBatch.from_arrays(out, names=names)
 
-    return source.mapInArrow(run, T.StructType(fields))
+    return map_batches(source, run, T.StructType(fields))
 
 
 def decode(df: DataFrame, ids: str, path: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -138,12 +146,12 @@ def decode(df: DataFrame, ids: str, path: str, keep: Sequence[str] = ()) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, lengths = _token_bytes(path)
-        for batch in batches:
+        for batch in pieces(batches):
             rows = [value or b"" for value in batch.columns[-1].to_pylist()]
             flat = np.frombuffer(b"".join(rows), ID)
             if len(flat) and (flat.max() >= len(lengths) or lengths[flat].min() < 0):
                 raise ValueError("an id is not in the vocabulary")
-            data = b"".join(tokens.take(pa.array(flat)).to_pylist())
+            data = _joined(tokens.take(pa.array(flat)))
             ends = np.concatenate(([0], np.cumsum(lengths[flat])))
             cuts = ends[np.cumsum([0, *[len(row) // ID.itemsize for row in rows]])]
             decoded = [data[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
@@ -152,4 +160,4 @@ def decode(df: DataFrame, ids: str, path: str, keep: Sequence[str] = ()) -> Data
                 names=[*batch.schema.names[:-1], "decoded"],
             )
 
-    return source.mapInArrow(run, schema)
+    return map_batches(source, run, schema)

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlake.llm import byte_bpe
+from visitlake.llm import byte_bpe, mixing, warc
+from visitlake.scratch import new_scratch_path
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -31,8 +32,27 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    units = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", mixing.word_count(F.col("text")).alias("size")
+    )
+    taken = (F.col("times") * F.col("size")).alias("taken")
+    return mixing.mix(units).select("doc_id", "size", "source_size", "target", taken)
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path, "page_id", "url", "html")
+    records = warc.with_original_keys(warc.read_archives(spark, path))
+    return records.select(
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES = {
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_mixing": op6_mixing,
+    "op7_warc": op7_warc,
 }
 
 ORACLE_SQL: dict[str, str] = {}
