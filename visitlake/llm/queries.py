@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlake.llm import byte_bpe, mixing, warc
+from visitlake.llm import byte_bpe, mixing, url_rules, voronoi, warc
 from visitlake.scratch import new_scratch_path
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -32,6 +32,40 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"))
 
 
+#: The listed URL rules.
+URL_RULES = (
+    url_rules.ListedRule("block", "net", "/"),
+    url_rules.ListedRule("allow", "example.net", "/en/"),
+    url_rules.ListedRule("block", "example.com", "/de/"),
+    url_rules.ListedRule("allow", "org", "/fr/"),
+)
+
+
+def labelled_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows (url, bad). A page shows the document whose number ends its path; the page is bad if
+    that document is labelled as of low quality or toxic."""
+    number = F.regexp_extract(url_rules.url_path(F.col("url")), "/([0-9]{1,18})(?:/|[.]html)?$", 1)
+    shown = pages.select("url", number.try_cast("long").alias("doc_id"))
+    bad = (F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)
+    known = labels.select("doc_id", bad.alias("bad")).groupBy("doc_id").agg(F.max("bad").alias("bad"))
+    return shown.join(known, "doc_id").select("url", "bad")
+
+
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    rules = url_rules.mine_rules(
+        labelled_urls(pages, table(spark, sf_dir, "labels")), "url", "bad"
+    )
+    return url_rules.judge(pages, "page_id", "url", URL_RULES, rules).select(
+        F.col("key").alias("page_id"), "host", "path", "rule", "verdict", "confidence"
+    )
+
+
+def op10_voronoi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    is_query = F.col("vec_id") % 100 == 0
+    return voronoi.top_k(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", is_query)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     units = table(spark, sf_dir, "documents").select(
         "doc_id", "source", mixing.word_count(F.col("text")).alias("size")
@@ -50,9 +84,11 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_url_rules": op3_url_rules,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_mixing": op6_mixing,
     "op7_warc": op7_warc,
+    "op10_voronoi": op10_voronoi,
 }
 
 ORACLE_SQL: dict[str, str] = {}
