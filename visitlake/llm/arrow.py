@@ -15,7 +15,7 @@ LIBRARY = str(Path(__file__).resolve().parents[2])
 
 #: Rows and bytes of text that are worked on at once; a single longer text is a piece of its own.
 PIECE_ROWS = 512
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 
 def show_library(spark: SparkSession) -> None:

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlake.llm import byte_bpe, mixing, url_rules, voronoi, warc
+from visitlake.llm import byte_bpe, language, mixing, quality_fm, url_rules, voronoi, warc
 from visitlake.scratch import new_scratch_path
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -51,6 +51,45 @@ def labelled_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
     return shown.join(known, "doc_id").select("url", "bad")
 
 
+def remainder(key: str, by: int) -> Column:
+    """crc32 of an id as text, modulo ``by``: which rows are held out from learning."""
+    return F.crc32(F.col(key).cast("string").cast("binary")) % by
+
+
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = language.train(documents, "doc_id", "text", "lang", remainder("doc_id", 4) != 2)
+    held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out")
+    return language.predict(documents, "doc_id", "text", model).select(
+        F.col("key").alias("doc_id"), "lang_pred", "score"
+    ).select("doc_id", held_out, "lang_pred", "score")
+
+
+#: Documents with a lower quality score are rejected.
+LEAST_QUALITY = 0.3
+
+
+def quality_scores(documents: DataFrame, all_documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows (doc_id, score) of ``documents`` by a model learned from the labelled ``all_documents``."""
+    model = quality_fm.train(
+        all_documents, labels, "doc_id", "text", "n_chars", "quality", remainder("doc_id", 5) != 0
+    )
+    return quality_fm.score(documents, "doc_id", "text", "n_chars", model).withColumnRenamed(
+        "key", "doc_id"
+    )
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    scores = quality_scores(documents, documents, table(spark, sf_dir, "labels"))
+    return scores.select(
+        "doc_id",
+        F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= LEAST_QUALITY).cast("int").alias("predicted"),
+    )
+
+
 def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     rules = url_rules.mine_rules(
@@ -84,10 +123,12 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language": op1_language,
     "op3_url_rules": op3_url_rules,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_mixing": op6_mixing,
     "op7_warc": op7_warc,
+    "op8_quality": op8_quality,
     "op10_voronoi": op10_voronoi,
 }
 
