@@ -6,7 +6,16 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlake.llm import byte_bpe, language, mixing, quality_fm, url_rules, voronoi, warc
+from visitlake.llm import (
+    byte_bpe,
+    language,
+    mixing,
+    quality_fm,
+    runlength_dedup,
+    url_rules,
+    voronoi,
+    warc,
+)
 from visitlake.scratch import new_scratch_path
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -100,6 +109,17 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_runlength_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = runlength_dedup.remove_repeats(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return cleaned.select(
+        F.col("key").alias("doc_id"),
+        "n_bytes",
+        "n_removed",
+        "n_spans",
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op10_voronoi(spark: SparkSession, sf_dir: str) -> DataFrame:
     is_query = F.col("vec_id") % 100 == 0
     return voronoi.top_k(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", is_query)
@@ -129,6 +149,7 @@ QUERIES = {
     "op6_mixing": op6_mixing,
     "op7_warc": op7_warc,
     "op8_quality": op8_quality,
+    "op9_runlength_dedup": op9_runlength_dedup,
     "op10_voronoi": op10_voronoi,
 }
 
