@@ -34,7 +34,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MOST_TIMES = 3
 #: Documents of a block; bounds a task's memory.
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 2_000
 EPSILON = 1e-9
 
 
