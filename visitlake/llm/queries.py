@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from visitlake.llm import (
     byte_bpe,
+    imatch,
+    jaccard_rtree,
     language,
     mixing,
     quality_fm,
@@ -109,6 +111,23 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_jaccard_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_rtree.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return found.withColumnRenamed("key", "doc_id")
+
+
+def op4_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(table(spark, sf_dir, "documents"), "doc_id", "text").select(
+        F.col("key").alias("doc_id"),
+        "n_chars",
+        "edited_sha256",
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
+
+
 def op9_runlength_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = runlength_dedup.remove_repeats(table(spark, sf_dir, "documents"), "doc_id", "text")
     return cleaned.select(
@@ -144,7 +163,9 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language": op1_language,
+    "op2_jaccard_rtree": op2_jaccard_rtree,
     "op3_url_rules": op3_url_rules,
+    "op4_imatch": op4_imatch,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_mixing": op6_mixing,
     "op7_warc": op7_warc,
