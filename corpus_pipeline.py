@@ -3,21 +3,80 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from visitlake.llm import queries
+from visitlake.llm import jaccard_rtree, mixing, queries, runlength_dedup
 from visitlake.scratch import via_table
 
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    labels = queries.table(spark, sf_dir, "labels")
+    scored = queries.quality_scores(docs, labels, COLUMNS)
+    return scored.where(F.col("score") >= queries.LEAST_QUALITY).select(*COLUMNS)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: that with the least id."""
+    docs = docs.select(*COLUMNS)
+    found = via_table(jaccard_rtree.near_duplicates(docs, "doc_id", "text"), "near-duplicates")
+    others = found.where(F.col("key") != F.col("component_id")).select(F.col("key").alias("doc_id"))
+    repeated = found.groupBy(F.col("key").alias("doc_id")).count().where(
+        F.col("doc_id").isNotNull() & (F.col("count") > 1)
+    )
+    others, repeated = via_table(others.distinct(), "others"), via_table(repeated.select("doc_id"), "repeated")
+    kept = docs.join(others, "doc_id", "left_anti")
+    # Rows that repeat an id and all else are one document.
+    single = kept.join(repeated, "doc_id", "left_anti")
+    return single.unionByName(kept.join(repeated, "doc_id", "left_semi").distinct()).select(*COLUMNS)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents without long strings that occur elsewhere; bytes left of a cut character go too."""
+    rest = ["lang", "source"]
+    cleaned = runlength_dedup.remove_repeats(docs, "doc_id", "text", keep=rest, as_text=True)
+    return cleaned.select(
+        F.col("key").alias("doc_id"),
+        F.col("kept").alias("text"),
+        *rest,
+        F.char_length("kept").cast("long").alias("n_chars"),
+    )
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as often as the mix takes them."""
+    sized = docs.select(*COLUMNS, mixing.word_count(F.col("text")).alias("size"))
+    taken = mixing.mix(sized.select("doc_id", "source", "size"))
+    times = (
+        taken.groupBy("doc_id", "source", "size")
+        .agg(F.max("times").alias("times"))
+        .where(F.col("times") > 0)
+        .select(*[F.col(name).alias(f"of_{name}") for name in ("doc_id", "source", "size")], "times")
+    )
+    same = [F.col(name).eqNullSafe(F.col(f"of_{name}")) for name in ("doc_id", "source", "size")]
+    return (
+        sized.join(times, same)
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
+        .select(*COLUMNS)
+    )
+
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-level BPE: number and digest of the ids of each document, and what they decode to."""
+    """Number and digest of the ids of each document, and digest of what they decode to."""
     return queries.bpe_digests(docs)
 
 
 STAGES = [
+    ("quality classifier", quality),
+    ("n-gram Jaccard join", one_of_each),
+    ("suffix-array dedup", without_repeats),
+    ("mixing sources to target weights", mixed),
     ("byte-level BPE encoding and decoding", tokens),
 ]
 
-#: Models and balanced draws are not expressible in SQL; tests/llm checks every stage.
+#: A trained model and balanced draws are not expressible in SQL; tests/llm checks every stage.
 ORACLE_SQL = None
 
 

@@ -15,17 +15,26 @@ Columns that are not named do not matter; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from visitlake.llm.arrow import map_batches, pieces
-from visitlake.llm.textbytes import Texts, owners, sums, texts_of, word_spans
-from visitlake.llm.textbytes import prefix_hashes, span_hashes, LOWER_VALUES
+from visitlake.llm.textbytes import (
+    LOWER_VALUES,
+    Texts,
+    owners,
+    prefix_hashes,
+    span_hashes,
+    sums,
+    texts_of,
+    word_spans,
+)
 
 BUCKETS = 1 << 16
 FACTORS = 8
@@ -209,19 +218,24 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
-def score(docs: DataFrame, key: str, text: str, metadata: str, model: Model) -> DataFrame:
-    """Rows (key, score)."""
+def score(
+    docs: DataFrame, text: str, metadata: str, model: Model, keep: Sequence[str], name: str = "score"
+) -> DataFrame:
+    """The columns in ``keep`` and the score of each row."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     source = docs.select(
-        F.col(key).cast("long").alias("key"),
-        F.coalesce(F.col(metadata).cast("double"), F.lit(0.0)).alias("metadata"),
-        F.col(text).cast("string").alias("text"),
+        *[F.col(column) for column in keep],
+        F.coalesce(F.col(metadata).cast("double"), F.lit(0.0)).alias("__metadata"),
+        F.col(text).cast("string").alias("__text"),
     )
+    schema = T.StructType([*source.schema.fields[:-2], T.StructField(name, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            found = features(texts_of(batch.column("text")), batch.column("metadata").to_numpy())
+            found = features(texts_of(batch.column("__text")), batch.column("__metadata").to_numpy())
             result = 1 / (1 + np.exp(-np.clip(raw_scores(sent.value, *found), -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(result)], names=["key", "score"])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-2], pa.array(result)], names=[*batch.schema.names[:-2], name]
+            )
 
-    return map_batches(source, run, "key long, score double")
+    return map_batches(source, run, schema)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,19 +82,17 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 LEAST_QUALITY = 0.3
 
 
-def quality_scores(documents: DataFrame, all_documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows (doc_id, score) of ``documents`` by a model learned from the labelled ``all_documents``."""
+def quality_scores(documents: DataFrame, labels: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """The columns in ``keep`` and the score of each document, by a model of the labelled ones."""
     model = quality_fm.train(
-        all_documents, labels, "doc_id", "text", "n_chars", "quality", remainder("doc_id", 5) != 0
-    )
-    return quality_fm.score(documents, "doc_id", "text", "n_chars", model).withColumnRenamed(
-        "key", "doc_id"
+        documents, labels, "doc_id", "text", "n_chars", "quality", remainder("doc_id", 5) != 0
     )
+    return quality_fm.score(documents, "text", "n_chars", model, keep)
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    scores = quality_scores(documents, documents, table(spark, sf_dir, "labels"))
+    scores = quality_scores(documents, table(spark, sf_dir, "labels"), ["doc_id"])
     return scores.select(
         "doc_id",
         F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
