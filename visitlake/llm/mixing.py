@@ -7,7 +7,7 @@ and number of words, until one of them is 0 or 1 (flight phase). What two docume
 is settled at the end (landing phase).
 
 At scale: sources are cut by a hash into blocks of bounded size, each a task of its own, so a
-source with a third of all documents uses many tasks. A block keeps both totals and leaves two
+source with a third of all documents uses many tasks. A block keeps both totals and leaves ten
 documents open; these are blocks of the next level, until a source has one block. Only ids,
 sizes and probabilities move, never texts. The table of sources has one slim row per source.
 
@@ -35,6 +35,9 @@ WEIGHTS = (5, 2, 1)
 MOST_TIMES = 3
 #: Documents of a block; bounds a task's memory.
 BLOCK_ROWS = 2_000
+#: Documents of many sizes that a block leaves to the next level, so that the last one can land finely.
+HELD_BACK = 8
+LEFT_OPEN = HELD_BACK + 2
 EPSILON = 1e-9
 
 
@@ -103,7 +106,7 @@ def mix(units: DataFrame, seed: int = 17, block_rows: int = BLOCK_ROWS) -> DataF
     done = None
     level = 0
     while True:
-        # A block leaves at most two documents open.
+        # A block leaves at most LEFT_OPEN documents open.
         blocks = F.greatest(F.ceil(F.col("documents") / block_rows), F.lit(1))
         dealt = open_units.withColumn("last", blocks == 1).withColumn(
             "block", F.pmod(F.xxhash64(F.lit(level), "key"), blocks)
@@ -115,9 +118,9 @@ def mix(units: DataFrame, seed: int = 17, block_rows: int = BLOCK_ROWS) -> DataF
         settled = flown.where("part in (0, 1)")
         done = settled if done is None else done.unionByName(settled)
         open_units = flown.where("part not in (0, 1)").withColumn(
-            "documents", 2 * F.ceil(F.col("documents") / block_rows)
+            "documents", LEFT_OPEN * F.ceil(F.col("documents") / block_rows)
         )
-        most = 2 * -(-most // block_rows)
+        most = LEFT_OPEN * -(-most // block_rows)
         level += 1
 
 
@@ -138,17 +141,23 @@ def _schema(units: DataFrame) -> str:
 
 
 def _fly(table: pa.Table) -> pa.Table:
-    """One block: flight phase, and the landing phase if the block is its source's last."""
+    """One block: flight phase, and the landing phase if the block is its source's last.
+
+    Another block holds back documents at equal steps of the order of sizes.
+    """
     names = [name for name in table.column_names if name not in ("last", "block")]
     size = table["size"].to_numpy().astype(float)
     part = table["part"].to_numpy().copy()
     key = table["key"].to_numpy()
     order = np.lexsort((key, -size))  # small documents last, so that little is left open
     seed = zlib.crc32(key[order].tobytes() + size[order].tobytes())
+    last = table["last"][0].as_py()
+    if not last:
+        order = np.delete(order, np.arange(HELD_BACK) * len(order) // HELD_BACK)
     p, x = part[order].tolist(), size[order].tolist()
     open_ones = fly(p, x, random.Random(seed).random)
-    if table["last"][0].as_py():
-        land(p, x, open_ones, sum(a * b for a, b in zip(part[order].tolist(), x)))
+    if last:
+        land(p, x, open_ones, float(part @ size))
     part[order] = p
     return table.set_column(table.column_names.index("part"), "part", pa.array(part)).select(names)
 

@@ -28,12 +28,13 @@ null. Columns that are not named do not matter; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from visitlake.llm.arrow import map_batches, map_groups, pieces
 from visitlake.llm.textbytes import BYTE_VALUES, Texts, prefix_hashes, span_hashes, texts_of
@@ -51,13 +52,14 @@ SEPARATOR = 0xFF  # never part of UTF-8
 REF = ["id", "print"]
 
 
-def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
+def _keyed(docs: DataFrame, key: str, text: str, keep: Sequence[str]) -> DataFrame:
     """Rows (id, print, text). Rows that agree in id and print have the same text, so what holds for one
     holds for the other."""
     return docs.select(
         F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))).alias("id"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
-    ).select("id", F.xxhash64("text").alias("print"), "text")
+        *[F.col(name).alias(f"__{name}") for name in keep],
+    ).withColumn("print", F.xxhash64("text"))
 
 
 def contexts_of(texts: Texts, length: int = LENGTH) -> tuple[np.ndarray, ...]:
@@ -104,9 +106,9 @@ def contexts_of(texts: Texts, length: int = LENGTH) -> tuple[np.ndarray, ...]:
 
 def _context_rows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, 1):
             doc, seed, context, first, last = contexts_of(texts_of(batch.column("text")), length)
-            place = pa.array(doc)
+            place = pa.array(doc, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id").take(place),
@@ -125,7 +127,7 @@ def _context_rows(length: int):
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Rows (id, print, start, end): spans of repeated windows; they may overlap."""
     listed = map_batches(
-        docs.where(F.octet_length("text") >= length),
+        docs.select("id", "text", "print").where(F.octet_length("text") >= length),
         _context_rows(length),
         "id long, print long, seed long, context long, first long, last long",
     )
@@ -137,16 +139,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         .where(F.col("places") > 1)
         .select(F.col("seed").alias("shared_seed"), "contexts")
     )
-    met = listed.join(shared, F.col("seed") == F.col("shared_seed"))
-    counts = counted.select(
-        F.col("seed").alias("s"), F.col("context").alias("c"), "copies"
-    ).where(F.col("copies") > 1)
-    met = met.join(
-        counts, (F.col("seed") == F.col("s")) & (F.col("context") == F.col("c")), "left"
-    ).select(
-        *REF, "seed", "context", "first", "last", "contexts", F.coalesce("copies", F.lit(1)).alias("copies")
+    # First the counted rows, so that no join meets all rows of a common seed at once.
+    counts = via_table(
+        counted.join(shared, F.col("seed") == F.col("shared_seed")).drop("shared_seed"), "dedup-counts"
     )
-    met = via_table(met, "dedup-met")
+    met = via_table(listed.join(counts, ["seed", "context"]), "dedup-met")
     whole = met.where(F.col("copies") > 1).select(
         *REF, F.col("first").alias("start"), (F.col("last") + length).alias("end")
     )
@@ -225,6 +222,9 @@ class RunLengthIndex:
         transform = self.text[order - 1]
         head = np.ones(len(order), bool)
         head[1:] = transform[1:] != transform[:-1]
+        # No place comes before the text's first, so its suffix is a run of its own.
+        first = int(np.flatnonzero(order == 0)[0])
+        head[first : first + 2] = True
         heads = np.flatnonzero(head)
         tails = np.append(heads[1:], len(order)) - 1
         self.symbols = transform[heads]
@@ -243,7 +243,7 @@ class RunLengthIndex:
         self.levels: list[tuple[int, np.ndarray]] = []
         width = 8
         while True:
-            order = np.argsort(key, kind="stable")
+            order = np.argsort(key)
             ordered = key[order]
             step = np.zeros(n, np.int64)
             step[1:] = ordered[1:] != ordered[:-1]
@@ -340,39 +340,54 @@ def _by_rows(strings: DataFrame, length: int) -> DataFrame:
     )
 
 
-def remove_repeats(docs: DataFrame, key: str, text: str, length: int = LENGTH) -> DataFrame:
-    """Rows (key, n_bytes, n_removed, n_spans, kept) for every row; kept is binary."""
-    keyed = _keyed(docs, key, text)
-    spans = repeated_spans(keyed, length)
+def remove_repeats(
+    docs: DataFrame, key: str, text: str, length: int = LENGTH, keep: Sequence[str] = (), as_text: bool = False
+) -> DataFrame:
+    """Rows (key, n_bytes, n_removed, n_spans, kept) for every row, and the columns in ``keep``.
+
+    ``kept`` is binary; with ``as_text`` it is a string, without the bytes of characters that were cut.
+    """
+    keyed = _keyed(docs, key, text, keep)
+    spans = repeated_spans(keyed.select(*REF, "text"), length)
     united = spans.groupBy(*REF).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     joined = keyed.join(united, REF, "left").select(
         F.nullif("id", F.lit(-(2**63))).alias("key"),
         F.transform("spans", lambda x: x["start"]).alias("begins"),
         F.transform("spans", lambda x: x["end"]).alias("ends"),
         F.col("text").cast("binary").alias("data"),
+        *[F.col(f"__{name}").alias(f"__{name}") for name in keep],
+    )
+    kinds = {f.name: f.dataType for f in joined.schema.fields}
+    schema = T.StructType(
+        [
+            *[T.StructField(n, T.LongType()) for n in ("key", "n_bytes", "n_removed", "n_spans")],
+            T.StructField("kept", T.StringType() if as_text else T.BinaryType()),
+            *[T.StructField(name, kinds[f"__{name}"]) for name in keep],
+        ]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, list(kinds).index("data")):
             rows = [
                 cut(*row)
                 for row in zip(*(batch.column(c).to_pylist() for c in ("data", "begins", "ends")))
             ]
             kept, removed, spans = zip(*rows)
+            total = [len(k) + r for k, r in zip(kept, removed)]
+            out = [k.decode("utf-8", "ignore") for k in kept] if as_text else kept
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("key"),
-                    pa.array([len(k) + r for k, r in zip(kept, removed)], pa.int64()),
+                    pa.array(total, pa.int64()),
                     pa.array(removed, pa.int64()),
                     pa.array(spans, pa.int64()),
-                    pa.array(kept, pa.binary()),
+                    pa.array(out, pa.string() if as_text else pa.binary()),
+                    *[batch.column(f"__{name}") for name in keep],
                 ],
-                names=["key", "n_bytes", "n_removed", "n_spans", "kept"],
+                names=schema.names,
             )
 
-    return map_batches(
-        joined, run, "key long, n_bytes long, n_removed long, n_spans long, kept binary"
-    )
+    return map_batches(joined, run, schema)
 
 
 def cut(data: bytes, begins: list[int] | None, ends: list[int] | None) -> tuple[bytes, int, int]:

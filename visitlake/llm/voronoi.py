@@ -65,14 +65,15 @@ def top_k(df: DataFrame, key: str, vector: str, is_query: Column, k: int = 10) -
         assigned.where("is_query").groupBy("vec_id").agg(F.min(F.struct("v", "length")).alias("q"))
     ).select("vec_id", "q.v", "q.length")
     query_blocks = max(1, -(-queries.count() // BLOCK_QUERIES))
-    sent = _send(queries, pivots, largest, groups, k).withColumn(
+    blocks = {group: -(-known.count // BLOCK_ROWS) for group, known in groups.items()}
+    sent = _send(queries, pivots, largest, groups, blocks, k).withColumn(
         "query_block", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks))
     )
-    blocks = F.create_map(
-        *[F.lit(x) for (length, pivot), g in groups.items() for x in (f"{length}/{pivot}", _blocks(g))]
-    ) if groups else F.create_map().cast("map<string,int>")
+    of_group = F.create_map(
+        *[F.lit(x) for (length, pivot), n in blocks.items() for x in (f"{length}/{pivot}", n)]
+    ).cast("map<string,int>")
     stored = (
-        assigned.withColumn("blocks", blocks[F.concat_ws("/", "length", "pivot")])
+        assigned.withColumn("blocks", of_group[F.concat_ws("/", "length", "pivot")])
         .withColumn("block", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int"))
         .withColumn("query_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long"))))
         .select("length", "pivot", "block", "query_block", "vec_id", "v")
@@ -196,12 +197,8 @@ def _summaries(assigned: DataFrame, k: int) -> dict[tuple[int, int], Group]:
     return groups
 
 
-def _blocks(group: Group) -> int:
-    return -(-group.count // BLOCK_ROWS)
-
-
 def _send(
-    queries: DataFrame, pivots: list[np.ndarray], largest: float, groups: dict, k: int
+    queries: DataFrame, pivots: list[np.ndarray], largest: float, groups: dict, blocks: dict, k: int
 ) -> DataFrame:
     """The queries, once for every block of a group that may hold one of their k nearest."""
     names = ["length", "pivot", "block", "vec_id", "v"]
@@ -218,15 +215,15 @@ def _send(
                 wanted = _wanted(apart, ids[at], [groups.get((length, i)) for i in numbers], k)
                 for column, pivot in enumerate(numbers):
                     for place in at[wanted[:, column]]:
-                        out += [(length, pivot, b, place) for b in range(_blocks(groups[length, pivot]))]
+                        out += [(length, pivot, b, place) for b in range(blocks[length, pivot])]
                 if (length, -1) in groups:
-                    out += [(length, -1, b, p) for p in at for b in range(_blocks(groups[length, -1]))]
-            lengths, numbers, blocks, places = np.array(out, np.int64).reshape(-1, 4).T
+                    out += [(length, -1, b, p) for p in at for b in range(blocks[length, -1])]
+            lengths, numbers, block, places = np.array(out, np.int64).reshape(-1, 4).T
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(lengths, pa.int32()),
                     pa.array(numbers, pa.int32()),
-                    pa.array(blocks, pa.int32()),
+                    pa.array(block, pa.int32()),
                     pa.array(ids[places]),
                     values.take(pa.array(places)),
                 ],
@@ -265,8 +262,8 @@ def _solve(rows: pa.Table, queries: pa.Table, k: int) -> pa.Table:
     order = np.argsort(ids, kind="stable")  # a stable sort by score then keeps ties by id
     ids = ids[order]
     length = rows["length"][0].as_py()
-    points = np.frombuffer(b"".join(rows["v"].to_pylist())).reshape(-1, length)[order]
-    asked = np.frombuffer(b"".join(queries["v"].to_pylist())).reshape(-1, length)
+    points = np.frombuffer(b"".join(rows["v"].to_pylist())).reshape(rows.num_rows, length)[order]
+    asked = np.frombuffer(b"".join(queries["v"].to_pylist())).reshape(queries.num_rows, length)
     if length and np.abs(points).max() * np.abs(asked).max() * length >= EXACT:
         points, asked = (np.array([[int(x) for x in v] for v in m], object) for m in (points, asked))
     query_ids = queries["vec_id"].to_numpy()
@@ -275,13 +272,14 @@ def _solve(rows: pa.Table, queries: pa.Table, k: int) -> pa.Table:
         some = query_ids[start : start + 128]
         scores = asked[start : start + 128] @ points.T
         own = some[:, None] == ids[None]
-        lowest = np.where(own, 1, -scores)
-        if scores.dtype != object:
-            lowest = np.where(own, np.inf, lowest)
-            best = np.argsort(lowest, axis=1, kind="stable")[:, : k]
+        if scores.dtype == object:
+            by_score = [
+                sorted(range(len(ids)), key=lambda j: (own[i, j], -scores[i, j], j))[:k]
+                for i in range(len(some))
+            ]
+            best = np.array(by_score)
         else:
-            best = np.array([sorted(range(len(ids)), key=lambda j: (own[i, j], -scores[i, j], j))[:k]
-                             for i in range(len(some))])
+            best = np.argsort(np.where(own, np.inf, -scores), axis=1, kind="stable")[:, :k]
         row = np.repeat(np.arange(len(some)), best.shape[1])
         best = best.ravel()
         kept = ~own[row, best]
