@@ -98,7 +98,7 @@ def test_tree_skips_no_pair():
 def test_points_of_many_counts():
     small, large = np.arange(jr.POINT_GROUPS), np.arange(jr.POINT_GROUPS) + 300
     values = [small.astype(np.uint8).tobytes(), large.astype(np.uint32).tobytes()]
-    assert jr.read_points(values).tolist() == [small.tolist(), large.tolist()]
+    assert jr.read_points(values, jr.POINT_GROUPS).tolist() == [small.tolist(), large.tolist()]
 
 
 def test_components_of_a_long_path(spark):

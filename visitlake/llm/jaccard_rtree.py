@@ -4,6 +4,8 @@ The shingles of a document are hashed into groups, and the counts of its groups
 overlap of two documents is at most the sum of the lesser counts of each group, so a pair can
 link only if 7 * that sum >= 3 * (sum of both sizes), which is a similarity of 0.75 or more.
 
+Points of two sizes are kept: small ones for the trees, and finer ones by which pairs are judged.
+
 1. Documents with the same shingles are one node. A node's shingles are ordered, those of
    seldom filled groups first. By the same bound with the finest groups, two nodes that link share one of the
    first n - ceil(0.75 n) + 1, so it is enough to compare nodes that meet in such a cell.
@@ -44,6 +46,8 @@ WORDS = 5
 BITS = 51
 LEVEL_BITS = 4
 POINT_GROUPS = 64
+#: Groups of the points by which pairs are judged once more before their sets move.
+FINE_GROUPS = 512
 ORDER_BITS = 18
 SLICES = 64
 BLOCK = 4096
@@ -78,23 +82,23 @@ def prints(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return mixed(whole + size * np.uint64(0xA24BAED4963EE407)).view(np.int64)
 
 
-def points(hashes: np.ndarray, first: np.ndarray) -> list[bytes]:
+def points(hashes: np.ndarray, first: np.ndarray, groups: int) -> list[bytes]:
     """Counts of the groups of each set: one byte each, or four if one is over 255."""
     texts = len(first) - 1
-    group = (hashes % np.uint64(POINT_GROUPS)).astype(np.int64)
-    counts = np.bincount(owners(first) * POINT_GROUPS + group, minlength=texts * POINT_GROUPS)
-    counts = counts.reshape(texts, POINT_GROUPS)
+    group = (hashes % np.uint64(groups)).astype(np.int64)
+    counts = np.bincount(owners(first) * groups + group, minlength=texts * groups)
+    counts = counts.reshape(texts, groups)
     small = counts.max(axis=1, initial=0) < 256
     return [row.astype(np.uint8 if s else np.uint32).tobytes() for row, s in zip(counts, small)]
 
 
-def read_points(values: list[bytes]) -> np.ndarray:
+def read_points(values: list[bytes], groups: int) -> np.ndarray:
     """The points as a matrix."""
-    wide = np.array([len(value) > POINT_GROUPS for value in values], bool)
-    matrix = np.empty((len(values), POINT_GROUPS), np.int64)
+    wide = np.array([len(value) > groups for value in values], bool)
+    matrix = np.empty((len(values), groups), np.int64)
     for kind, chosen in ((np.uint8, ~wide), (np.uint32, wide)):
         data = b"".join(value for value, take in zip(values, chosen) if take)
-        matrix[chosen] = np.frombuffer(data, kind).reshape(-1, POINT_GROUPS)
+        matrix[chosen] = np.frombuffer(data, kind).reshape(-1, groups)
     return matrix
 
 
@@ -105,7 +109,7 @@ def needed_length(size: np.ndarray) -> np.ndarray:
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each document's size, print and point; and the task's counts of the order's groups in slices."""
-    names = ["id", "n", "print", "point", "slice", "task"]
+    names = ["id", "n", "print", "point", "fine", "slice", "task"]
     filled = np.zeros(1 << ORDER_BITS, np.int64)
     for batch in pieces(batches, 1):
         hashes, first = shingle_sets(texts_of(batch.column("text")))
@@ -116,7 +120,8 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 batch.column("id"),
                 pa.array(np.diff(first)),
                 pa.array(prints(hashes, first)),
-                pa.array(points(hashes, first), pa.binary()),
+                pa.array(points(hashes, first, POINT_GROUPS), pa.binary()),
+                pa.array(points(hashes, first, FINE_GROUPS), pa.binary()),
                 pa.nulls(rows, pa.int32()),
                 pa.nulls(rows, pa.int32()),
             ],
@@ -129,6 +134,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.nulls(SLICES, pa.int64()),
                 pa.nulls(SLICES, pa.int64()),
                 pa.array([part.tobytes() for part in filled.reshape(SLICES, -1)], pa.binary()),
+                pa.nulls(SLICES, pa.binary()),
                 pa.array(np.arange(SLICES, dtype=np.int32)),
                 pa.array(np.full(SLICES, TaskContext.get().partitionId(), np.int32)),
             ],
@@ -196,10 +202,10 @@ def _verified(texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame
     """Those of the pairs (a, b) that link: first by their points, then by their sets."""
     for side in "ab":
         own = nodes.select(
-            F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("point").alias(f"point_{side}")
+            F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("fine").alias(f"fine_{side}")
         )
         pairs = pairs.join(own, side)
-    pairs = pairs.where(_within("n_a", "n_b")).select("a", "b", "n_a", "n_b", "point_a", "point_b")
+    pairs = pairs.where(_within("n_a", "n_b")).select("a", "b", "n_a", "n_b", "fine_a", "fine_b")
     pairs = via_table(map_batches(pairs, _may_overlap, "a long, b long"), "may-overlap")
     sets = _sets(texts, nodes, pairs)
     for side in "ab":
@@ -212,7 +218,7 @@ def _may_overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose summed lesser counts reach the overlap that a link needs."""
     for batch in pieces(batches):
         least = np.minimum(
-            read_points(batch.column("point_a").to_pylist()), read_points(batch.column("point_b").to_pylist())
+            *[read_points(batch.column(c).to_pylist(), FINE_GROUPS) for c in ("fine_a", "fine_b")]
         ).sum(1)
         sizes = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
         yield batch.select(["a", "b"]).filter(pa.array(7 * least >= 3 * sizes))
@@ -289,7 +295,7 @@ def _search_cells(table: pa.Table) -> pa.Table:
     node, n = table["node"].to_numpy(), table["n"].to_numpy().astype(np.int64)
     component, lead = table["component"].to_numpy(), table["lead"].to_numpy()
     searches, stored = table["searches"].to_numpy(zero_copy_only=False), table["stored"].to_numpy(zero_copy_only=False)
-    points = read_points(table["point"].to_pylist())
+    points = read_points(table["point"].to_pylist(), POINT_GROUPS)
     a, b = [], []
     for start, end in zip(edges, [*edges[1:], len(order)]):
         own = order[start:end]
@@ -322,14 +328,14 @@ def near_duplicates(docs: DataFrame, key: str, text: str) -> DataFrame:
         F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("id"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
-    schema = "id long, n long, print long, point binary, slice int, task int"
+    schema = "id long, n long, print long, point binary, fine binary, slice int, task int"
     described = via_table(map_batches(texts, _describe, schema), "described")
     sized = described.where(F.col("slice").isNull())
     nodes = (
         sized.where(F.col("n") > 0)
         .groupBy(F.col("print").alias("node"))
         .agg(F.min("id").alias("id"), F.min(F.nullif("id", F.lit(NO_ID))).alias("least"),
-             F.first("n").cast("int").alias("n"), F.first("point").alias("point"))
+             F.first("n").cast("int").alias("n"), F.first("point").alias("point"), F.first("fine").alias("fine"))
     )
     nodes = via_table(nodes, "nodes")
 
