@@ -106,11 +106,11 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def with_next(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, int]:
-    """Rows (bucket, place, key, text, next_text, next_bucket, next_place), and how many there are.
+    """Rows (bucket, place, laid, key, text, next_text), and the number of documents.
 
     The next document is that of the next larger key (null keys first, then by text); the first follows the
-    last. Documents are dealt by ranges of keys, so each task sorts a range, and the first document of each range
-    is also laid at the end of the range before.
+    last. Documents are dealt by ranges of keys, so each task sorts a range. The first document of each range
+    is also laid at the end of the range before, so that what follows a document is always in its range.
     """
     rows = docs.select(
         F.col(key).cast("long").alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")
@@ -141,23 +141,16 @@ def with_next(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, int]:
         ).alias("bucket"),
         F.lit(None).cast("long").alias("key"),
         "text",
-        F.col("bucket").alias("from_bucket"),
-    )
-    own = rows.select("bucket", "key", "text", F.lit(None).cast("long").alias("from_bucket"))
-    order = Window.partitionBy("bucket").orderBy(
-        F.col("from_bucket").isNotNull(), F.col("key").asc_nulls_first(), "text"
+        F.lit(True).alias("laid"),
     )
+    own = rows.select("bucket", "key", "text", F.lit(False).alias("laid"))
+    order = Window.partitionBy("bucket").orderBy("laid", F.col("key").asc_nulls_first(), "text")
     placed = (
         own.unionByName(laid)
         .withColumn("place", F.row_number().over(order))
-        .withColumn("next_text", F.lead("text").over(order))
-        .withColumn("from_next", F.lead("from_bucket").over(order))
-        .where(F.col("from_bucket").isNull())
-        .withColumn("next_bucket", F.coalesce("from_next", "bucket"))
-        .withColumn("next_place", F.when(F.col("from_next").isNotNull(), 1).otherwise(F.col("place") + 1))
+        .withColumn("next_text", F.lead("text", 1, "").over(order))
     )
-    names = ["bucket", "place", "key", "text", "next_text", "next_bucket", "next_place"]
-    return placed.select(*names), count
+    return placed.select("bucket", "place", "laid", "key", "text", "next_text"), count
 
 
 def _bucket(key: Column, least: int | None, largest: int | None, bounds: list[int] | None, parts: int) -> Column:
@@ -201,7 +194,7 @@ def fingerprints(docs: DataFrame, key: str, text: str) -> DataFrame:
         return F.transform(used, lambda term: F.struct(F.lit(side).alias("side"), term.alias("term")))
 
     about = [
-        "bucket", "place", "key", "n_chars", "edited_sha256", "next_bucket", "next_place",
+        "bucket", "place", "laid", "key", "n_chars", "edited_sha256",
         "level_a", "level_b", "whole_a", "whole_b",
     ]
     words = F.broadcast(lexicon(docs, text, documents).withColumnRenamed("term", "known"))
@@ -230,16 +223,12 @@ def fingerprints(docs: DataFrame, key: str, text: str) -> DataFrame:
         )
 
     signed = found.select(
-        "bucket", "place", "key", "n_chars", "edited_sha256", "next_bucket", "next_place",
+        "bucket", "place", "laid", "key", "n_chars", "edited_sha256",
         side("a").alias("own"), side("b").alias("changed"),
     )
-    following = signed.select(
-        F.col("bucket").alias("of_bucket"), F.col("place").alias("of_place"), F.col("own").alias("following")
-    )
-    return signed.join(
-        following,
-        (F.col("next_bucket") == F.col("of_bucket")) & (F.col("next_place") == F.col("of_place")),
-    ).select(
+    # Rows are still dealt by bucket, so this moves nothing.
+    following = F.lead("own").over(Window.partitionBy("bucket").orderBy("place"))
+    return signed.withColumn("following", following).where(~F.col("laid")).select(
         "key",
         "n_chars",
         "edited_sha256",
