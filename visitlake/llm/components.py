@@ -36,4 +36,3 @@ def components(links: DataFrame) -> DataFrame:
         )
         if labels.where(F.col("was") != F.col("component")).isEmpty():
             return labels.select("node", "component")
-        labels = labels.select("node", "component")

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from visitlake.llm.arrow import PIECE_ROWS, map_batches, map_groups, pieces
 from visitlake.llm.components import components
 from visitlake.llm.textbytes import Texts, mixed, owners, prefix_hashes, span_hashes, texts_of, word_hashes
-from visitlake.scratch import via_table
+from visitlake.scratch import release, via_table
 
 WORDS = 5
 #: Bits of a shingle's hash; with the document's place in its piece and the level they fill 64.
@@ -207,11 +207,15 @@ def _verified(texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame
         pairs = pairs.join(own, side)
     pairs = pairs.where(_within("n_a", "n_b")).select("a", "b", "n_a", "n_b", "fine_a", "fine_b")
     pairs = via_table(map_batches(pairs, _may_overlap, "a long, b long"), "may-overlap")
-    sets = _sets(texts, nodes, pairs)
+    sets, wanted = _sets(texts, nodes, pairs)
+    with_sets = pairs
     for side in "ab":
         own = sets.select(F.col("node").alias(side), F.col("shingles").alias(f"set_{side}"))
-        pairs = pairs.join(own, side)
-    return map_batches(pairs.select("a", "b", "set_a", "set_b"), _overlap, "a long, b long")
+        with_sets = with_sets.join(own, side)
+    linked = map_batches(with_sets.select("a", "b", "set_a", "set_b"), _overlap, "a long, b long")
+    linked = via_table(linked, "verified-links")
+    release(pairs, wanted)
+    return linked
 
 
 def _may_overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,8 +239,9 @@ def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
 
-def _sets(texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Rows (node, shingles) for the nodes of the pairs, from the text of one document each.
+def _sets(texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (node, shingles) for the nodes of the pairs, from the text of one document each; and
+    the table of these nodes.
 
     A bit field of fixed size tells which documents may be wanted; only their sets are built and
     move. Where so many are wanted that the field is full, all sets are built.
@@ -261,7 +266,8 @@ def _sets(texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
                 )
 
     built = map_batches(texts.select("id", bit, "text"), run, "id long, node long, shingles binary")
-    return built.join(wanted, ["id", "node"], "left_semi").select("node", "shingles").dropDuplicates(["node"])
+    sets = built.join(wanted, ["id", "node"], "left_semi").select("node", "shingles")
+    return sets.dropDuplicates(["node"]), wanted
 
 
 class CountTree:
@@ -350,16 +356,22 @@ def near_duplicates(docs: DataFrame, key: str, text: str) -> DataFrame:
         met.join(shared, F.col("cell") == F.col("of")).select("cell", "lead", "node", "n").distinct(), "members"
     )
     led = members.where(F.col("node") != F.col("lead")).select(F.col("lead").alias("a"), F.col("node").alias("b"))
-    links = via_table(_verified(texts, nodes, led.distinct()), "links-of-least")
+    links = _verified(texts, nodes, led.distinct())
     labels = via_table(_labelled(nodes, links), "labels")
 
-    rest = via_table(_verified(texts, nodes, _crossing(members, nodes, labels)), "links-of-trees")
+    crossing = _crossing(members, nodes, labels)
+    release(members, labels)
+    rest = _verified(texts, nodes, crossing)
+    release(crossing)
     labels = via_table(_labelled(nodes, links.unionByName(rest)), "labels")
-    least = nodes.join(labels, "node").groupBy("component").agg(F.min("least").alias("component_id"))
-    named = labels.join(least, "component").select(F.col("node").alias("print"), "component_id")
+    least = nodes.join(labels, "node").groupBy("component").agg(F.min("least").alias("found"))
+    named = labels.join(least, "component").select(F.col("node").alias("print"), "found")
+    named = via_table(named, "components")
+    slim = via_table(sized.select("id", "n", "print"), "sizes")
+    release(described, nodes, links, rest, labels)
     return (
-        sized.withColumn("print", F.when(F.col("n") > 0, F.col("print")).otherwise(F.xxhash64("id")))
-        .join(named.withColumnRenamed("component_id", "found"), "print", "left")
+        slim.withColumn("print", F.when(F.col("n") > 0, F.col("print")).otherwise(F.xxhash64("id")))
+        .join(named, "print", "left")
         .select(
             F.nullif("id", F.lit(NO_ID)).alias("key"),
             F.col("n").alias("n_shingles"),
@@ -402,4 +414,7 @@ def _crossing(members: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFr
     )
     partitions = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     by = [F.pmod("bucket", F.lit(8 * partitions)).alias("bucket_number")]
-    return map_groups(rows, by, lambda t: _search_cells(t), "a long, b long").distinct()
+    pairs = map_groups(rows, by, lambda t: _search_cells(t), "a long, b long").distinct()
+    pairs = via_table(pairs, "crossing-pairs")
+    release(known)
+    return pairs

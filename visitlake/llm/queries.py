@@ -174,4 +174,63 @@ QUERIES = {
     "op10_voronoi": op10_voronoi,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: DuckDB SQL for the queries that SQL can express; tests/llm compares the others with brute force.
+ORACLE_SQL = {
+    "op2_jaccard_rtree": """
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, unnest(
+                CASE WHEN len(w) >= 5
+                     THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                     WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle
+            FROM words),
+        sizes AS (SELECT doc_id, COUNT(*) AS n FROM shingles GROUP BY doc_id),
+        shared AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, COUNT(*) AS k
+            FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id),
+        links AS (
+            SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * k >= 75 * (x.n + y.n - k)),
+        reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM documents
+            UNION
+            SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+        SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id
+        FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+        JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r.a = d.doc_id
+    """,
+    "op7_warc": """
+        WITH stored AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                   sha1(coalesce(html, '')) AS payload_digest
+            FROM pages),
+        originals AS (
+            SELECT payload_digest, max(page_id) AS original FROM stored
+            WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN page_id < original THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id < original THEN original END AS refers_to
+        FROM stored LEFT JOIN originals USING (payload_digest)
+    """,
+    "op10_voronoi": """
+        WITH whole AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(q.v, d.v) AS BIGINT) AS score
+            FROM whole q JOIN whole d ON q.vec_id <> d.vec_id AND len(q.v) = len(d.v)
+            WHERE q.vec_id % 100 = 0),
+        ranked AS (
+            SELECT query_id, vec_id, score, CAST(row_number() OVER (
+                PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
+}

@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 
 from visitlake.llm.arrow import map_batches, map_groups, pieces
 from visitlake.llm.textbytes import BYTE_VALUES, Texts, prefix_hashes, span_hashes, texts_of
-from visitlake.scratch import via_table
+from visitlake.scratch import release, via_table
 
 LENGTH = 400
 SEED = 32
@@ -125,7 +125,7 @@ def _context_rows(length: int):
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Rows (id, print, start, end): spans of repeated windows; they may overlap."""
+    """Rows (id, print, spans): the spans (start, end) of repeated windows; they may overlap."""
     listed = map_batches(
         docs.select("id", "text", "print").where(F.octet_length("text") >= length),
         _context_rows(length),
@@ -144,11 +144,16 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         counted.join(shared, F.col("seed") == F.col("shared_seed")).drop("shared_seed"), "dedup-counts"
     )
     met = via_table(listed.join(counts, ["seed", "context"]), "dedup-met")
+    release(listed, counts)
     whole = met.where(F.col("copies") > 1).select(
         *REF, F.col("first").alias("start"), (F.col("last") + length).alias("end")
     )
     differing = _cut_out(docs, met.where(F.col("contexts") > 1), length)
-    return whole.unionByName(_by_index(differing, length)).unionByName(_by_rows(differing, length))
+    spans = whole.unionByName(_by_index(differing, length)).unionByName(_by_rows(differing, length))
+    united = spans.groupBy(*REF).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    united = via_table(united, "dedup-spans")
+    release(met, differing)
+    return united
 
 
 def _cut_out(docs: DataFrame, met: DataFrame, length: int) -> DataFrame:
@@ -349,8 +354,7 @@ def remove_repeats(
     """
     keyed = _keyed(docs, key, text, keep)
     spans = repeated_spans(keyed.select(*REF, "text"), length)
-    united = spans.groupBy(*REF).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    joined = keyed.join(united, REF, "left").select(
+    joined = keyed.join(spans, REF, "left").select(
         F.nullif("id", F.lit(-(2**63))).alias("key"),
         F.transform("spans", lambda x: x["start"]).alias("begins"),
         F.transform("spans", lambda x: x["end"]).alias("ends"),
