@@ -39,16 +39,29 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def via_path(df: DataFrame, name: str) -> str:
+    """Write ``df`` to a scratch table; returns where."""
+    path = new_scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return path
+
+
 def via_table(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df``, written to a scratch table once and read from there.
 
     It cuts the lineage with files that outlive a lost executor, and gives the planner the
     measured size of the table, by which it decides whether a join may broadcast it.
     """
-    spark = df.sparkSession
-    path = new_scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = via_path(df, name)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove tables of ``via_table`` from which everything has been computed and written."""
+    for table in tables:
+        drop_scratch(table.sparkSession, table.scratch_path)
 
 
 def join_path(root: str, name: str) -> str:
