@@ -68,6 +68,17 @@ def test_chains_and_passages(spark):
     assert len({c for _, _, c in expected}) < len(rows)
 
 
+def test_classes_of_size_meet(spark):
+    """Links between documents just below and above the sizes where points get more groups."""
+    draw = np.random.default_rng(9)
+    rows = []
+    for size in (590, 604, 2399):
+        base = [f"u{x}" for x in draw.integers(0, 10**6, size + 4)]
+        rows += [(len(rows) + i, " ".join(base + [f"more{i}x{j}" for j in range(12 * i)])) for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(docs) == brute_force(rows)
+
+
 def test_small_blocks(spark, monkeypatch):
     """A cell over many blocks gives the same links."""
     monkeypatch.setattr(jr, "BLOCK", 3)
@@ -82,23 +93,34 @@ def test_small_blocks(spark, monkeypatch):
 def test_tree_skips_no_pair():
     draw = np.random.default_rng(1)
     for _ in range(30):
-        base = draw.poisson(3, (1, jr.POINT_GROUPS))
-        points = np.maximum(base + draw.integers(-2, 3, (60, jr.POINT_GROUPS)), 0)
-        points[::3] = draw.poisson(3, (20, jr.POINT_GROUPS))
-        sizes = points.sum(1)
-        tree = jr.CountTree(points, sizes)
+        base = draw.poisson(3, (1, jr.GROUPS[0]))
+        points = np.maximum(base + draw.integers(-2, 3, (60, jr.GROUPS[0])), 0)
+        points[::3] = draw.poisson(3, (20, jr.GROUPS[0]))
+        over = draw.integers(0, 40, 60)
+        sizes = points.sum(1) + over
+        tree = jr.CountTree(points, over, sizes)
         for q in range(60):
-            least = np.minimum(points, points[q]).sum(1)
+            least = np.minimum(points, points[q]).sum(1) + np.minimum(over, over[q])
             fits = (7 * least >= 3 * (sizes + sizes[q])) & (
                 4 * np.minimum(sizes, sizes[q]) >= 3 * np.maximum(sizes, sizes[q])
             )
-            assert sorted(tree.search(points[q], sizes[q])) == np.flatnonzero(fits).tolist()
+            assert sorted(tree.search(points[q], over[q], sizes[q])) == np.flatnonzero(fits).tolist()
 
 
 def test_points_of_many_counts():
-    small, large = np.arange(jr.POINT_GROUPS), np.arange(jr.POINT_GROUPS) + 300
-    values = [small.astype(np.uint8).tobytes(), large.astype(np.uint32).tobytes()]
-    assert jr.read_points(values, jr.POINT_GROUPS).tolist() == [small.tolist(), large.tolist()]
+    draw = np.random.default_rng(4)
+    sets = [draw.integers(0, 2**50, size).astype(np.uint64) for size in (0, 599, 600, 2400, 700)]
+    sets.append(np.repeat(sets[1][:1], 40))
+    first = np.cumsum([0, *map(len, sets)])
+    values = jr.points(np.concatenate(sets), first)
+    assert jr.groups_of(values).tolist() == [256, 256, 1024, 4096, 1024, 256]
+    for some in ([0, 1, 2, 4, 5], [2, 3]):
+        groups = min(jr.groups_of([values[i] for i in some]))
+        low, over = jr.read_points([values[i] for i in some], groups)
+        for row, i in enumerate(some):
+            counts = np.bincount((sets[i] % np.uint64(groups)).astype(int), minlength=groups)
+            assert (low[row].sum(dtype=int) + over[row]) == len(sets[i])
+            assert (low[row] <= counts).all()
 
 
 def test_components_of_a_long_path(spark):

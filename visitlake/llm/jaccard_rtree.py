@@ -4,8 +4,6 @@ The shingles of a document are hashed into groups, and the counts of its groups
 overlap of two documents is at most the sum of the lesser counts of each group, so a pair can
 link only if 7 * that sum >= 3 * (sum of both sizes), which is a similarity of 0.75 or more.
 
-Points of two sizes are kept: small ones for the trees, and finer ones by which pairs are judged.
-
 1. Documents with the same shingles are one node. A node's shingles are ordered, those of
    seldom filled groups first. By the same bound with the finest groups, two nodes that link share one of the
    first n - ceil(0.75 n) + 1, so it is enough to compare nodes that meet in such a cell.
@@ -45,9 +43,11 @@ WORDS = 5
 #: Bits of a shingle's hash; with the document's place in its piece and the level they fill 64.
 BITS = 51
 LEVEL_BITS = 4
-POINT_GROUPS = 64
-#: Groups of the points by which pairs are judged once more before their sets move.
-FINE_GROUPS = 512
+#: Sizes at which a class of sets begins, and the groups of each class. Sets that link differ by a
+#: third in size at most, so they are of one class or of neighbouring ones.
+CLASS_SIZES = (600, 2400, 9600)
+GROUPS = (256, 1024, 4096, 16384)
+MOST_IN_GROUP = 15
 ORDER_BITS = 18
 SLICES = 64
 BLOCK = 4096
@@ -82,24 +82,44 @@ def prints(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return mixed(whole + size * np.uint64(0xA24BAED4963EE407)).view(np.int64)
 
 
-def points(hashes: np.ndarray, first: np.ndarray, groups: int) -> list[bytes]:
-    """Counts of the groups of each set: one byte each, or four if one is over 255."""
-    texts = len(first) - 1
-    group = (hashes % np.uint64(groups)).astype(np.int64)
-    counts = np.bincount(owners(first) * groups + group, minlength=texts * groups)
-    counts = counts.reshape(texts, groups)
-    small = counts.max(axis=1, initial=0) < 256
-    return [row.astype(np.uint8 if s else np.uint32).tobytes() for row, s in zip(counts, small)]
+def points(hashes: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """Counts of the groups of each set, in four bits each, and the sum of what is over 15.
+
+    A larger set has more groups, four times as many for each class of size, so that its groups hold few.
+    """
+    out = []
+    for start, end in zip(first[:-1], first[1:]):
+        groups = GROUPS[int(np.searchsorted(CLASS_SIZES, end - start, "right"))]
+        counts = np.bincount((hashes[start:end] % np.uint64(groups)).astype(np.int64), minlength=groups)
+        low = np.minimum(counts, MOST_IN_GROUP).astype(np.uint8)
+        over = np.uint32(end - start - low.sum(dtype=np.int64))
+        out.append(((low[0::2] << 4) | low[1::2]).tobytes() + over.tobytes())
+    return out
+
+
+def groups_of(values: list[bytes]) -> np.ndarray:
+    """Number of groups of each point."""
+    return np.array([2 * (len(value) - 4) for value in values], np.int64)
+
+
+def read_points(values: list[bytes], groups: int) -> tuple[np.ndarray, np.ndarray]:
+    """The counts as a matrix, and what is over. Points of more groups are folded into ``groups``."""
+    low, over = np.zeros((len(values), groups), np.uint8), np.zeros(len(values), np.int64)
+    own = groups_of(values)
+    for number in np.unique(own).tolist():
+        at = np.flatnonzero(own == number)
+        data = np.frombuffer(b"".join(values[i] for i in at), np.uint8).reshape(len(at), number // 2 + 4)
+        counts = np.empty((len(at), number), np.uint8)
+        counts[:, 0::2], counts[:, 1::2] = data[:, :-4] >> 4, data[:, :-4] & 15
+        # At most four groups are folded into one here, so a byte is enough.
+        low[at] = counts.reshape(len(at), number // groups, groups).sum(1, dtype=np.uint8)
+        over[at] = np.ascontiguousarray(data[:, -4:]).view(np.uint32)[:, 0]
+    return low, over
 
 
-def read_points(values: list[bytes], groups: int) -> np.ndarray:
-    """The points as a matrix."""
-    wide = np.array([len(value) > groups for value in values], bool)
-    matrix = np.empty((len(values), groups), np.int64)
-    for kind, chosen in ((np.uint8, ~wide), (np.uint32, wide)):
-        data = b"".join(value for value, take in zip(values, chosen) if take)
-        matrix[chosen] = np.frombuffer(data, kind).reshape(-1, groups)
-    return matrix
+def most_overlap(low_a, over_a, low_b, over_b) -> np.ndarray:
+    """Sum of the lesser counts of the groups, or somewhat more where counts are over 15."""
+    return np.minimum(low_a, low_b).sum(-1, dtype=np.int64) + np.minimum(over_a, over_b)
 
 
 def needed_length(size: np.ndarray) -> np.ndarray:
@@ -109,7 +129,7 @@ def needed_length(size: np.ndarray) -> np.ndarray:
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each document's size, print and point; and the task's counts of the order's groups in slices."""
-    names = ["id", "n", "print", "point", "fine", "slice", "task"]
+    names = ["id", "n", "print", "point", "slice", "task"]
     filled = np.zeros(1 << ORDER_BITS, np.int64)
     for batch in pieces(batches, 1):
         hashes, first = shingle_sets(texts_of(batch.column("text")))
@@ -120,8 +140,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 batch.column("id"),
                 pa.array(np.diff(first)),
                 pa.array(prints(hashes, first)),
-                pa.array(points(hashes, first, POINT_GROUPS), pa.binary()),
-                pa.array(points(hashes, first, FINE_GROUPS), pa.binary()),
+                pa.array(points(hashes, first), pa.binary()),
                 pa.nulls(rows, pa.int32()),
                 pa.nulls(rows, pa.int32()),
             ],
@@ -134,7 +153,6 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.nulls(SLICES, pa.int64()),
                 pa.nulls(SLICES, pa.int64()),
                 pa.array([part.tobytes() for part in filled.reshape(SLICES, -1)], pa.binary()),
-                pa.nulls(SLICES, pa.binary()),
                 pa.array(np.arange(SLICES, dtype=np.int32)),
                 pa.array(np.full(SLICES, TaskContext.get().partitionId(), np.int32)),
             ],
@@ -202,10 +220,10 @@ def _verified(texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame
     """Those of the pairs (a, b) that link: first by their points, then by their sets."""
     for side in "ab":
         own = nodes.select(
-            F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("fine").alias(f"fine_{side}")
+            F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("point").alias(f"point_{side}")
         )
         pairs = pairs.join(own, side)
-    pairs = pairs.where(_within("n_a", "n_b")).select("a", "b", "n_a", "n_b", "fine_a", "fine_b")
+    pairs = pairs.where(_within("n_a", "n_b")).select("a", "b", "n_a", "n_b", "point_a", "point_b")
     pairs = via_table(map_batches(pairs, _may_overlap, "a long, b long"), "may-overlap")
     sets, wanted = _sets(texts, nodes, pairs)
     with_sets = pairs
@@ -221,9 +239,13 @@ def _verified(texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame
 def _may_overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose summed lesser counts reach the overlap that a link needs."""
     for batch in pieces(batches):
-        least = np.minimum(
-            *[read_points(batch.column(c).to_pylist(), FINE_GROUPS) for c in ("fine_a", "fine_b")]
-        ).sum(1)
+        values = [batch.column(name).to_pylist() for name in ("point_a", "point_b")]
+        groups = np.minimum(*map(groups_of, values))
+        least = np.zeros(batch.num_rows, np.int64)
+        for number in np.unique(groups).tolist():
+            at = np.flatnonzero(groups == number)
+            a, b = (read_points([side[i] for i in at], number) for side in values)
+            least[at] = most_overlap(*a, *b)
         sizes = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
         yield batch.select(["a", "b"]).filter(pa.array(7 * least >= 3 * sizes))
 
@@ -273,23 +295,26 @@ def _sets(texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> tuple[DataFra
 class CountTree:
     """A packed R-tree of two levels over points: leaves of ``LEAF`` points of similar size."""
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray):
+    def __init__(self, points: np.ndarray, over: np.ndarray, sizes: np.ndarray):
         self.order = np.lexsort((points.argmax(1), sizes))
-        self.points, self.sizes = points[self.order], sizes[self.order]
+        self.points, self.over, self.sizes = points[self.order], over[self.order], sizes[self.order]
         starts = np.arange(0, len(points), LEAF)
         self.high = np.maximum.reduceat(self.points, starts, axis=0)
+        self.high_over = np.maximum.reduceat(self.over, starts)
         self.least_size = np.minimum.reduceat(self.sizes, starts)
         self.most_size = np.maximum.reduceat(self.sizes, starts)
 
-    def search(self, point: np.ndarray, size: int) -> np.ndarray:
+    def search(self, point: np.ndarray, over: int, size: int) -> np.ndarray:
         """Places of the points whose summed coordinate minima with ``point`` allow a link."""
         boxes = (4 * self.least_size <= 5.34 * size) & (4 * self.most_size >= 3 * size)
-        boxes &= 7 * np.minimum(self.high, point).sum(1) >= 3 * (self.least_size + size)
+        most = most_overlap(self.high, self.high_over, point, over)
+        boxes &= 7 * most >= 3 * (self.least_size + size)
         inside = (np.flatnonzero(boxes)[:, None] * LEAF + np.arange(LEAF)).ravel()
         inside = inside[inside < len(self.points)]
         sizes = self.sizes[inside]
         fits = 4 * np.minimum(sizes, size) >= 3 * np.maximum(sizes, size)
-        fits &= 7 * np.minimum(self.points[inside], point).sum(1) >= 3 * (sizes + size)
+        most = most_overlap(self.points[inside], self.over[inside], point, over)
+        fits &= 7 * most >= 3 * (sizes + size)
         return self.order[inside[fits]]
 
 
@@ -301,21 +326,32 @@ def _search_cells(table: pa.Table) -> pa.Table:
     node, n = table["node"].to_numpy(), table["n"].to_numpy().astype(np.int64)
     component, lead = table["component"].to_numpy(), table["lead"].to_numpy()
     searches, stored = table["searches"].to_numpy(zero_copy_only=False), table["stored"].to_numpy(zero_copy_only=False)
-    points = read_points(table["point"].to_pylist(), POINT_GROUPS)
+    values = table["point"].to_pylist()
+    groups = groups_of(values)
     a, b = [], []
-    for start, end in zip(edges, [*edges[1:], len(order)]):
-        own = order[start:end]
-        data, queries = own[stored[own]], own[searches[own]]
+
+    def search(data: np.ndarray, queries: np.ndarray, number: int) -> None:
+        """Search a tree over ``data`` for each of ``queries``, with so many groups."""
         if not len(data) or not len(queries):
-            continue
-        tree = CountTree(points[data], n[data])
-        for q in queries:
-            found = data[tree.search(points[q], n[q])]
+            return
+        low, over = read_points([values[i] for i in data], number)
+        asked, asked_over = read_points([values[i] for i in queries], number)
+        tree = CountTree(low, over, n[data])
+        for place, q in enumerate(queries):
+            found = data[tree.search(asked[place], asked_over[place], n[q])]
             # A pair with the cell's least node has been verified already.
             found = found[(component[found] != component[q]) & (node[found] != lead[q])]
             if node[q] != lead[q]:
-                a += np.minimum(node[found], node[q]).tolist()
-                b += np.maximum(node[found], node[q]).tolist()
+                a.extend(np.minimum(node[found], node[q]).tolist())
+                b.extend(np.maximum(node[found], node[q]).tolist())
+
+    for start, end in zip(edges, [*edges[1:], len(order)]):
+        own = order[start:end]
+        for number in np.unique(groups[own]).tolist():
+            same, larger = own[groups[own] == number], own[groups[own] == 4 * number]
+            both = np.concatenate((same, larger))
+            search(both[stored[both]], same[searches[same]], number)
+            search(same[stored[same]], larger[searches[larger]], number)
     pairs = np.unique(np.array([a, b], np.int64).reshape(2, -1), axis=1)
     return pa.table({"a": pairs[0], "b": pairs[1]})
 
@@ -334,14 +370,14 @@ def near_duplicates(docs: DataFrame, key: str, text: str) -> DataFrame:
         F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("id"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
-    schema = "id long, n long, print long, point binary, fine binary, slice int, task int"
+    schema = "id long, n long, print long, point binary, slice int, task int"
     described = via_table(map_batches(texts, _describe, schema), "described")
     sized = described.where(F.col("slice").isNull())
     nodes = (
         sized.where(F.col("n") > 0)
         .groupBy(F.col("print").alias("node"))
         .agg(F.min("id").alias("id"), F.min(F.nullif("id", F.lit(NO_ID))).alias("least"),
-             F.first("n").cast("int").alias("n"), F.first("point").alias("point"), F.first("fine").alias("fine"))
+             F.first("n").cast("int").alias("n"), F.first("point").alias("point"))
     )
     nodes = via_table(nodes, "nodes")
 
