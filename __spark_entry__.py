@@ -43,13 +43,14 @@ from visitlake.operators.quality import (
     unreadable_report,
 )
 from visitlake.plans import analytics, star
-from visitlake.plans.pipeline import row_counts, star_report
+from visitlake.plans.pipeline import refresh_demography, refresh_visits, row_counts, run, star_report
 from visitlake.scratch import new_scratch_path
-from visitlake.sinks import refresh_month, write_dimension, write_visits
+from visitlake.sinks import write_dimension, write_visits
 from visitlake.sources import (
     read_demography,
     read_dimension,
     read_label_lines,
+    read_months,
     read_raw_visits,
     read_visits,
     register_views,
@@ -67,8 +68,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 PORT = "P7"
 MONTH = 4
 REFRESHED = (1997, 4)
-PORT_FOLDERS = 5
-MONTHS = 84
+LAKE_PORT = "8"
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -269,8 +269,8 @@ def port_split_untrimmed(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- demography ------------------------------------------------------------------------------
 
 
-def demography_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """City files with empty, malformed and surplus cells, written, read and made unique."""
+def city_files(spark: SparkSession, sf_dir: str) -> str:
+    """City files with empty, malformed and surplus cells; returns where they are."""
     key = F.col("c_custkey")
     cells = (
         fx.table(spark, sf_dir, "customer")
@@ -296,7 +296,11 @@ def demography_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     path = new_scratch_path(spark, "cities")
     cells.write.csv(path, sep=";", header=True)
-    return star.city_demography(read_demography(spark, path))
+    return path
+
+
+def demography_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.city_demography(read_demography(spark, city_files(spark, sf_dir)))
 
 
 def dedup_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -309,11 +313,11 @@ def dedup_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def visits_by_port(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.count_visits(fx.port_visits(spark, sf_dir), "airport_code")
+    return analytics.count_visits(fx.visits(spark, sf_dir), "airport_code")
 
 
 def top_ports_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_views({VISITS: fx.port_visits(spark, sf_dir), PORTS: fx.ports(spark, sf_dir)})
+    register_views({VISITS: fx.visits(spark, sf_dir), PORTS: fx.ports(spark, sf_dir)})
     return spark.sql(
         f"""
         SELECT p.city, v.airport_code, v.immigrant_visits
@@ -328,19 +332,13 @@ def top_ports_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def top_ports_of_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.top_ports_of_month(
-        fx.port_visits(spark, sf_dir), fx.ports(spark, sf_dir), month=MONTH
-    )
-
-
-def top_ports_last_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.top_ports_of_last_month(
-        fx.port_visits(spark, sf_dir), fx.ports(spark, sf_dir)
+        fx.visits(spark, sf_dir), fx.ports(spark, sf_dir), month=MONTH
     )
 
 
 def _visit_share(spark: SparkSession, sf_dir: str, match_state: bool) -> DataFrame:
     return analytics.visit_share(
-        fx.port_visits(spark, sf_dir),
+        fx.visits(spark, sf_dir),
         fx.ports(spark, sf_dir),
         fx.demography(spark, sf_dir),
         fx.states(spark, sf_dir),
@@ -370,7 +368,7 @@ def top_countries_last_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 def visit_share_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_views(
         {
-            VISITS: fx.port_visits(spark, sf_dir),
+            VISITS: fx.visits(spark, sf_dir),
             PORTS: fx.ports(spark, sf_dir),
             DEMOGRAPHY: fx.demography(spark, sf_dir),
             STATES: fx.states(spark, sf_dir),
@@ -385,7 +383,8 @@ def visit_share_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
         JOIN {PORTS} p ON p.airport_code = v.airport_code
         JOIN {DEMOGRAPHY} d ON p.city = d.city AND p.us_state_id = d.state_id
         JOIN {STATES} s ON d.state_id = s.us_state_id
-        ORDER BY immigrant_share DESC NULLS LAST, v.immigrant_visits DESC, d.city, v.airport_code
+        ORDER BY immigrant_share DESC NULLS LAST, v.immigrant_visits DESC, d.city, v.airport_code,
+                 s.us_state_name, d.total_population
         LIMIT 5
         """
     )
@@ -437,7 +436,7 @@ def dq_unique_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_not_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    visits = fx.port_visits(spark, sf_dir)
+    visits = fx.visits(spark, sf_dir)
     return union_reports(
         [fill_report(VISITS, visits), fill_report("no_visits", visits.where("year < 0"))]
     ).select("table_name", "row_count", "is_filled")
@@ -493,10 +492,51 @@ def dq_unreadable_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- lake ------------------------------------------------------------------------------------
 
 
-def fact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+def new_lake(spark: SparkSession, sf_dir: str) -> str:
+    """A lake of its own with all visits, a folder per month and nation."""
     root = new_scratch_path(spark, "lake")
-    write_visits(fx.regional_visits(spark, sf_dir, PORT_FOLDERS), root, PORT_FOLDERS * MONTHS)
-    return read_visits(spark, root)
+    write_visits(fx.regional_visits(spark, sf_dir), root)
+    return root
+
+
+def shared_lake(spark: SparkSession, sf_dir: str) -> str:
+    """The lake that questions read; written once for them in a session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in LAKES:
+        LAKES[key] = new_lake(spark, sf_dir)
+    return LAKES[key]
+
+
+LAKES: dict[tuple[str, str], str] = {}
+
+
+def fact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_visits(spark, new_lake(spark, sf_dir))
+
+
+def top_ports_last_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = shared_lake(spark, sf_dir)
+    return analytics.top_ports_of_last_month(
+        read_visits(spark, root), fx.regional_ports(spark, sf_dir), months=read_months(spark, root)
+    )
+
+
+def lake_top_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One month of one year, from its folders alone."""
+    year, month = REFRESHED
+    return analytics.top_ports_of_month(
+        read_visits(spark, shared_lake(spark, sf_dir)), fx.regional_ports(spark, sf_dir), month, year
+    )
+
+
+def lake_top_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One port, from its folders alone."""
+    visits = read_visits(spark, shared_lake(spark, sf_dir))
+    return analytics.top_countries(visits, fx.countries(spark, sf_dir), LAKE_PORT, k=10)
+
+
+def lake_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_months(spark, shared_lake(spark, sf_dir))
 
 
 def dim_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -505,14 +545,62 @@ def dim_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_dimension(spark, root, PORTS)
 
 
+def refreshed_lake(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """A lake of which one month is replaced from records of all months, with another flight number
+    and one port less; and the report of that."""
+    root, newer = new_lake(spark, sf_dir), new_scratch_path(spark, "newer")
+    raw = fx.raw_regional_visits(spark, sf_dir).where(F.col("i94port") != LAKE_PORT)
+    raw.withColumn("fltno", F.lit("NEW")).write.parquet(newer)
+    return root, refresh_visits(spark, newer, root, *REFRESHED)
+
+
 def month_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One month is replaced by a version with another flight number and one port less."""
+    return read_visits(spark, refreshed_lake(spark, sf_dir)[0])
+
+
+def month_refresh_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the refresh reports, and the number of visits in the table of months after it."""
+    root, report = refreshed_lake(spark, sf_dir)
+    total = read_months(spark, root).agg(F.sum("visits").alias("row_count"))
+    return report.unionByName(
+        total.select(F.lit("immigration_months").alias("table_name"), F.lit("visits").alias("measure"), "row_count")
+    )
+
+
+def demography_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The city table of a lake, replaced from city files."""
     root = new_scratch_path(spark, "lake")
-    visits = fx.regional_visits(spark, sf_dir, PORT_FOLDERS)
-    write_visits(visits, root, PORT_FOLDERS * MONTHS)
-    newer = visits.where(F.col("airport_code") != "01").withColumn("flight_number", F.lit("NEW"))
-    refresh_month(newer, root, *REFRESHED, PORT_FOLDERS)
-    return read_visits(spark, root)
+    write_dimension(fx.demography(spark, sf_dir), root, DEMOGRAPHY)
+    refresh_demography(spark, city_files(spark, sf_dir), root)
+    return read_dimension(spark, root, DEMOGRAPHY)
+
+
+def run_job(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """The batch job over inputs made from all tables: where it has written, and its report."""
+    inputs, root = new_scratch_path(spark, "inputs"), new_scratch_path(spark, "lake")
+    return root, run(spark, *fx.write_job_inputs(spark, sf_dir, inputs), root)
+
+
+def job_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_job(spark, sf_dir)[1]
+
+
+def job_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_visits(spark, run_job(spark, sf_dir)[0])
+
+
+def fact_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visits whose admission numbers are text, with fractional months, NaN years and empty ports."""
+    mode = F.col("i94mode")
+    raw = fx.raw_visits(spark, sf_dir).withColumns(
+        {
+            "admnum": F.concat(F.lit("A"), F.col("admnum").cast("long").cast("string")),
+            "i94mon": F.when(mode == 7, F.col("i94mon") + 0.5).otherwise(F.col("i94mon")),
+            "i94yr": F.when(mode == 6, F.lit(float("nan"))).otherwise(F.col("i94yr")),
+            "i94port": F.when(mode == 5, "").otherwise(F.col("i94port")),
+        }
+    )
+    return star.immigration_facts(raw)
 
 
 def llm_part(what: str) -> dict:
@@ -566,6 +654,14 @@ def queries() -> dict[str, Query]:
         "fact_roundtrip": fact_roundtrip,
         "dim_roundtrip": dim_roundtrip,
         "month_refresh": month_refresh,
+        "month_refresh_report": month_refresh_report,
+        "demography_refresh": demography_refresh,
+        "lake_top_ports": lake_top_ports,
+        "lake_top_countries": lake_top_countries,
+        "lake_months": lake_months,
+        "job_report": job_report,
+        "job_visits": job_visits,
+        "fact_types": fact_types,
     }
 
 
@@ -736,17 +832,46 @@ ORPHANS = f"""
 """
 
 
-def _regional(folders: int) -> str:
-    """Named visits with port codes 00, 01, ... by nation number."""
+LAKE = f"""
+    {STAR},
+    lake AS (
+        SELECT * REPLACE (CAST(CAST(residence_country_id AS INTEGER) AS VARCHAR) AS airport_code)
+        FROM visits),
+    lake_ports AS (
+        SELECT CAST(n_nationkey AS VARCHAR) AS airport_code, n_name AS city,
+               CASE n_nationkey % 6 WHEN 0 THEN 'AUTOMOBILE' WHEN 1 THEN 'BUILDING'
+                    WHEN 2 THEN 'FURNITURE' WHEN 3 THEN 'HOUSEHOLD' WHEN 4 THEN 'MACHINERY' END
+                   AS us_state_id
+        FROM nation)
+"""
+
+
+def _lake_top_ports(where: str) -> str:
     return f"""
-        WITH raw AS ({RAW}), visits AS ({NAMED})
-        SELECT * REPLACE (
-            '0' || CAST(CAST(split_part(state_id, '_', 2) AS INTEGER) % {folders} AS VARCHAR)
-                AS airport_code)
-        FROM visits
+        WITH {LAKE}
+        SELECT p.city, v.airport_code, v.immigrant_visits
+        FROM (SELECT airport_code, COUNT(*) AS immigrant_visits FROM lake
+              WHERE {where} GROUP BY airport_code
+              ORDER BY immigrant_visits DESC, airport_code LIMIT 10) v
+        JOIN lake_ports p ON p.airport_code = v.airport_code
+        ORDER BY v.immigrant_visits DESC, v.airport_code
     """
 
 
+def _measures(table: str, **counts: str) -> str:
+    """Rows (table_name, measure, row_count), one per count."""
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{measure.replace('__', ' ')}' AS measure, "
+        f"CAST(({count}) AS BIGINT) AS row_count"
+        for measure, count in counts.items()
+    )
+
+
+UNREADABLE = {
+    f"unreadable__{name}": "SELECT 0" for name in ("year", "month", "arrival_date", "departure_date")
+} | {"blank__airport_code": "SELECT 0"}
+
+
 def oracle_sql() -> dict[str, str]:
     year, month = REFRESHED
     return llm_part("ORACLE_SQL") | {
@@ -815,7 +940,7 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN p_size % 10 <> 0 THEN p_type END AS us_state_id
             FROM part
         """,
-        "demography_csv": """
+        **dict.fromkeys(("demography_csv", "demography_refresh"), """
             WITH cells AS (
                 SELECT lower(c_mktsegment) || ' ' || CAST(c_custkey // 500 AS VARCHAR) AS city,
                        n_name AS state, c_acctbal AS median_age,
@@ -841,7 +966,7 @@ def oracle_sql() -> dict[str, str]:
                    total_population, number_of_veterans, foreign_born, average_household_size,
                    state_id, race
             FROM ranked WHERE rn = 1
-        """,
+        """),
         "dedup_by_key": """
             SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment
             FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey, c_mktsegment
@@ -855,9 +980,47 @@ def oracle_sql() -> dict[str, str]:
         """,
         "top_ports_sql": _top_ports(f"month = {MONTH}"),
         "top_ports_of_month": _top_ports(f"month = {MONTH}"),
-        "top_ports_last_month": _top_ports(
+        "top_ports_last_month": _lake_top_ports(
             "year * 12 + month = (SELECT max(year * 12 + month) FROM visits)"
         ),
+        "lake_top_ports": _lake_top_ports(f"year = {year} AND month = {month}"),
+        "lake_top_countries": f"""
+            WITH {LAKE}
+            SELECT c.country_name AS country_of_origin, v.immigrant_visits
+            FROM (SELECT citizen_country_id, COUNT(*) AS immigrant_visits FROM lake
+                  WHERE airport_code = '{LAKE_PORT}' GROUP BY citizen_country_id
+                  ORDER BY immigrant_visits DESC, citizen_country_id NULLS LAST LIMIT 10) v
+            JOIN countries c ON v.citizen_country_id = c.country_id
+            ORDER BY v.immigrant_visits DESC, v.citizen_country_id
+        """,
+        "lake_months": f"""
+            WITH {LAKE} SELECT year, month, COUNT(*) AS visits FROM lake GROUP BY year, month
+        """,
+        "job_visits": f"WITH {LAKE} SELECT DISTINCT * FROM lake",
+        "job_report": f"""
+            WITH {LAKE}
+            {_measures(VISITS, rows="SELECT COUNT(*) FROM (SELECT DISTINCT * FROM lake)", **UNREADABLE)}
+            UNION ALL {_measures(DEMOGRAPHY, rows="SELECT COUNT(*) FROM demography")}
+            UNION ALL {_measures(MODES, rows="SELECT COUNT(DISTINCT l_linenumber) FROM lineitem")}
+            UNION ALL {_measures(COUNTRIES, rows="SELECT COUNT(*) FROM countries")}
+            UNION ALL {_measures(VISAS, rows="SELECT COUNT(DISTINCT l_returnflag) FROM lineitem")}
+            UNION ALL {_measures(STATES, rows="SELECT COUNT(*) FROM nation")}
+            UNION ALL {_measures(PORTS, rows="SELECT COUNT(*) FROM nation")}
+            UNION ALL {_measures(VISITS,
+                orphan__citizen_country_id="SELECT COUNT(*) FROM lake WHERE citizen_country_id % 7 = 0",
+                empty__citizen_country_id="SELECT 0",
+                orphan__residence_country_id="SELECT COUNT(*) FROM lake WHERE residence_country_id % 7 = 0",
+                empty__residence_country_id="SELECT 0")}
+        """,
+        "fact_types": f"""
+            WITH raw AS (SELECT DISTINCT * FROM ({RAW})), visits AS ({NAMED})
+            SELECT * REPLACE (
+                CASE WHEN travel_mode_id <> 6 THEN year END AS year,
+                CASE WHEN travel_mode_id <> 7 THEN month END AS month,
+                CASE WHEN travel_mode_id <> 5 THEN airport_code END AS airport_code,
+                'A' || CAST(CAST(admin_num AS BIGINT) AS VARCHAR) AS admin_num)
+            FROM visits
+        """,
         "visit_share": _visit_share_sql("p.city = d.city AND p.us_state_id = d.state_id"),
         "visit_share_by_name": _visit_share_sql("p.city = d.city"),
         "visit_share_sql": _visit_share_sql("p.city = d.city AND p.us_state_id = d.state_id"),
@@ -908,13 +1071,23 @@ def oracle_sql() -> dict[str, str]:
             SELECT CAST(0 AS BIGINT) AS arrdate, COUNT(*) FILTER (WHERE l_quantity > 40) AS depdate
             FROM lineitem
         """,
-        "fact_roundtrip": _regional(PORT_FOLDERS),
+        "fact_roundtrip": f"WITH {LAKE} SELECT * FROM lake",
         "dim_roundtrip": f"WITH {STAR} SELECT airport_code, city, us_state_id FROM ports",
         "month_refresh": f"""
+            WITH {LAKE}
             SELECT * REPLACE (
                 CASE WHEN year = {year} AND month = {month} THEN 'NEW' ELSE flight_number END
                     AS flight_number)
-            FROM ({_regional(PORT_FOLDERS)})
-            WHERE NOT (year = {year} AND month = {month} AND airport_code = '01')
+            FROM lake
+            WHERE NOT (year = {year} AND month = {month} AND airport_code = '{LAKE_PORT}')
+        """,
+        "month_refresh_report": f"""
+            WITH {LAKE}, newer AS (SELECT * FROM lake WHERE airport_code <> '{LAKE_PORT}'),
+            inside AS (SELECT * FROM newer WHERE year = {year} AND month = {month})
+            {_measures(VISITS, rows="SELECT COUNT(*) FROM inside", **UNREADABLE)}
+            UNION ALL SELECT '{VISITS}', 'records of other months',
+                   (SELECT COUNT(*) FROM newer) - (SELECT COUNT(*) FROM inside)
+            UNION ALL SELECT 'immigration_months', 'visits', COUNT(*) FROM lake
+            WHERE NOT (year = {year} AND month = {month} AND airport_code = '{LAKE_PORT}')
         """,
     }

@@ -27,7 +27,7 @@ from visitlake.plans.pipeline import (
 )
 from visitlake.scratch import ensure_checkpoint_dir, join_path, new_scratch_path
 from visitlake.sinks import refresh_month, write_visits
-from visitlake.sources import read_demography, read_star, read_visits
+from visitlake.sources import read_demography, read_months, read_star, read_visits
 
 RAW_SCHEMA = ", ".join(
     f"{name} {'string' if kind == 'string' else 'double'}" for name, _, kind in VISIT_FIELDS
@@ -95,7 +95,12 @@ def inputs(spark, tmp_path):
 
 def test_job(spark, inputs):
     paths = inputs([visit(1), visit(1), visit(2, "060", country=7.0), visit(3, None, month=3)])
-    counts = {row.table_name: row.row_count for row in run(spark, *paths).collect()}
+    report = run(spark, *paths).collect()
+    counts = {row.table_name: row.row_count for row in report if row.measure == "rows"}
+    measures = {row.measure: row.row_count for row in report if row.measure != "rows"}
+    assert {name for name, count in measures.items() if count} == {
+        "empty airport_code", "orphan citizen_country_id"
+    }
     assert counts == {
         VISITS: 3,
         DEMOGRAPHY: 2,
@@ -131,7 +136,7 @@ def test_command(spark, inputs, monkeypatch, capsys):
     paths = inputs([visit(1), visit(2)])
     monkeypatch.setattr("sys.argv", ["visitlake", *paths])
     command()
-    assert "immigration_facts  |2" in capsys.readouterr().out
+    assert "immigration_facts  |rows                     |2" in capsys.readouterr().out
     assert read_visits(spark, paths[-1]).count() == 2
 
 
@@ -149,7 +154,8 @@ def test_refresh_of_one_input(spark, inputs, tmp_path):
     newer = str(tmp_path / "newer")
     raw = [visit(7), visit(7), visit(8, month=3)]
     spark.createDataFrame(raw, RAW_SCHEMA).write.parquet(newer)
-    assert refresh_visits(spark, newer, paths[-1], 2016, 4) == 1
+    report = {r.measure: r.row_count for r in refresh_visits(spark, newer, paths[-1], 2016, 4).collect()}
+    assert (report["rows"], report["records of other months"]) == (1, 1)
     ids = {row.citizen_id for row in read_visits(spark, paths[-1]).collect()}
     assert ids == {1.0, 7.0}
     with pytest.raises(DataQualityError):
@@ -241,21 +247,89 @@ def test_one_large_folder_is_split(spark, tmp_path):
         F.when(F.col("id") % 100 == 0, "B").otherwise("A").alias("airport_code"),
         F.sha2(F.col("id").cast("string"), 256).alias("airline"),
     )
-    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256KB"}
-    kept = {name: spark.conf.get(name) for name in settings}
-    for name, value in settings.items():
-        spark.conf.set(name, value)
-    try:
-        written = write_visits(rows.repartition(20), str(tmp_path), shuffle_partitions=16)
-    finally:
-        for name, value in kept.items():
-            spark.conf.set(name, value)
+    written = write_visits(rows.repartition(20), str(tmp_path), 16)
     folder = tmp_path / VISITS / "year=2016" / "month=4"
-    assert len(list((folder / "airport_code=A").glob("*.parquet"))) > 3
-    assert len(list((folder / "airport_code=B").glob("*.parquet"))) == 1
+    assert len(list((folder / "airport_code=A").glob("*.parquet"))) > 10
+    assert len(list((folder / "airport_code=B").glob("*.parquet"))) <= 2
     assert written == read_visits(spark, str(tmp_path)).count() == 60000
 
 
+@pytest.mark.parametrize("partitions", [3, 20])
+def test_files_are_folders_and_partitions_at_most(spark, tmp_path, partitions):
+    """More folders than partitions or fewer, and a port with 40 % of the rows."""
+    port = F.when(F.col("id") % 5 < 2, 0).otherwise(F.col("id") % 9 + 1).cast("string")
+    rows = spark.range(6000).select(
+        F.col("id").cast("double").alias("citizen_id"),
+        F.lit(2016).alias("year"),
+        (1 + F.col("id") % 2).cast("int").alias("month"),
+        port.alias("airport_code"),
+    )
+    write_visits(rows.repartition(7), str(tmp_path), partitions)
+    files = list((tmp_path / VISITS).glob("*/*/*/*.parquet"))
+    folders = {file.parent for file in files}
+    assert len(folders) <= len(files) <= len(folders) + partitions - 1
+    assert read_visits(spark, str(tmp_path)).count() == 6000
+
+
+def test_load_and_refresh_agree_on_odd_values(spark, inputs, tmp_path):
+    """Fractions, NaN and text are no year or month; an empty port is none; other text stays."""
+    nan = float("nan")
+    odd = [visit(1), visit(2, month=4.5), visit(3, i94yr=nan), visit(4, ""), visit(5, i94yr=2016.9), visit(6, month=3)]
+    paths = inputs(odd)
+    raw = spark.createDataFrame(odd, RAW_SCHEMA)
+    raw = raw.withColumn("admnum", F.concat(F.lit("A0"), F.col("cicid").cast("int").cast("string")))
+    raw.write.mode("overwrite").parquet(paths[0])
+    report = {r.measure: r.row_count for r in run(spark, *paths).collect() if r.table_name == VISITS}
+    assert report["unreadable month"] == 1 and report["unreadable year"] == 2
+    assert report["blank airport_code"] == 1
+    loaded = read_visits(spark, paths[-1])
+    assert sorted(r.admin_num for r in loaded.collect()) == [f"A0{i}" for i in range(1, 7)]
+    april = sorted(map(tuple, loaded.where("year = 2016 and month = 4").collect()), key=repr)
+    months = {(r.year, r.month): r.visits for r in read_months(spark, paths[-1]).collect()}
+    assert months == {(2016, 4): 2, (2016, None): 1, (None, 4): 2, (2016, 3): 1}
+    for _ in range(2):
+        refreshed = refresh_visits(spark, paths[0], paths[-1], 2016, 4)
+        left_out = {r.measure: r.row_count for r in refreshed.collect()}["records of other months"]
+        assert left_out == 4
+        again = read_visits(spark, paths[-1])
+        assert sorted(map(tuple, again.where("year = 2016 and month = 4").collect()), key=repr) == april
+        assert {(r.year, r.month): r.visits for r in read_months(spark, paths[-1]).collect()} == months
+
+
+def test_label_folder_with_a_file_per_section(spark, inputs, tmp_path):
+    paths = inputs([visit(1)])
+    folder = tmp_path / "labels"
+    folder.mkdir()
+    parts = LABELS.replace(";\n", ";\n\0").split("\0")
+    for number, text in enumerate(parts):
+        (folder / f"{number}.txt").write_text(text)
+    counts = {r.table_name: r.row_count for r in run(spark, *paths[:2], str(folder), paths[-1]).collect() if r.measure == "rows"}
+    assert (counts[COUNTRIES], counts[PORTS], counts[MODES], counts[STATES], counts[VISAS]) == (3, 2, 2, 1, 1)
+    (folder / "2.txt").write_text("value i94model\n 1 = 'Air'\n")
+    with pytest.raises(DataQualityError, match="2.txt: i94model: section not closed"):
+        run(spark, *paths[:2], str(folder), paths[-1])
+
+
+def test_all_failures_at_once(spark, inputs):
+    labels = LABELS.replace("i94model", "mode").replace("'060'", "'NYC'")
+    with pytest.raises(DataQualityError) as error:
+        run(spark, *inputs([], labels))
+    for part in ("i94model: section not found", "immigration_facts: 0 rows", "dim_airport_codes: 2 rows"):
+        assert part in str(error.value)
+
+
+def test_job_leaves_no_scratch_behind(spark, inputs):
+    root = ensure_checkpoint_dir(spark)
+    folder = Path(root.removeprefix("file:"))
+    before = set(folder.glob("*")) if folder.exists() else set()
+    paths = inputs([visit(1), visit(2)])
+    run(spark, *paths)
+    refresh_visits(spark, paths[0], paths[-1], 2016, 4)
+    with pytest.raises(DataQualityError):
+        run(spark, paths[0], paths[1], paths[1], paths[-1])
+    assert set(folder.glob("*")) <= before
+
+
 def test_scratch_paths_are_new_and_in_the_session_folder(spark):
     folder = ensure_checkpoint_dir(spark)
     paths = {new_scratch_path(spark, "x") for _ in range(3)}

@@ -9,8 +9,10 @@ import __spark_entry__ as contract
 from visitlake import fixtures as fx
 from visitlake.plans import analytics
 from visitlake.plans.star import immigration_facts
+from visitlake.fixed import LABEL_SECTIONS, VISITS
+from visitlake.operators import label_pairs
 from visitlake.sinks import write_visits
-from visitlake.sources import read_visits
+from visitlake.sources import read_label_lines, read_months, read_visits
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -20,7 +22,7 @@ def plan(df):
 
 
 @pytest.fixture(scope="module")
-def lake(spark, tmp_path_factory):
+def lake_root(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("lake"))
     write_visits(
         spark.range(400).select(
@@ -32,7 +34,12 @@ def lake(spark, tmp_path_factory):
         ),
         root,
     )
-    return read_visits(spark, root)
+    return root
+
+
+@pytest.fixture(scope="module")
+def lake(spark, lake_root):
+    return read_visits(spark, lake_root)
 
 
 def scan_part(text, part):
@@ -50,6 +57,22 @@ def test_last_month_is_a_partition_filter(lake):
     assert "Subquery" in scan_part(text, "PartitionFilters")[0]
 
 
+def test_last_month_from_the_month_table_reads_no_unfiltered_visits(spark, lake, lake_root):
+    months = read_months(spark, lake_root)
+    text = plan(analytics.in_last_month(lake, months))
+    scans = [line for line in text.split("\n") if "FileScan" in line and VISITS in line]
+    assert scans and all("PartitionFilters: [isnotnull" in line for line in scans)
+    assert {row.month for row in analytics.in_last_month(lake, months).collect()} == {4}
+
+
+def test_label_text_is_scanned_twice(spark, tmp_path):
+    """Once for the bounds of the sections, once for the pairs."""
+    (tmp_path / "labels.txt").write_text("value i94model\n 1 = 'Air' ;\n")
+    lines = read_label_lines(spark, str(tmp_path))
+    text = plan(label_pairs(lines, LABEL_SECTIONS))
+    assert text.count("FileScan") == 2
+
+
 def test_port_is_a_partition_filter(spark, lake):
     countries = spark.createDataFrame([(1, "ONE")], "country_id int, country_name string")
     text = plan(analytics.top_countries(lake, countries, "NYC"))

@@ -14,7 +14,7 @@ def main() -> None:
     parser.add_argument("labels", help="label file or folder")
     parser.add_argument("target", help="folder the tables are written to")
     parser.add_argument(
-        "--shuffle-partitions", type=int, help="about the number of year, month and port folders"
+        "--partitions", type=int, help="ranges of visits to write, else the session's number"
     )
     arguments = parser.parse_args()
     spark = SparkSession.builder.appName("visitlake").getOrCreate()
@@ -24,7 +24,7 @@ def main() -> None:
         arguments.demography,
         arguments.labels,
         arguments.target,
-        arguments.shuffle_partitions,
+        arguments.partitions,
     ).show(truncate=False)
 
 

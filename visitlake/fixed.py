@@ -1,6 +1,8 @@
 """Names, types and patterns that are given by the data set."""
 
-# Visit record columns as (source name, table name, table type).
+# Visit record columns as (source name, table name, kind). Dates, whole numbers and
+# the port text are converted; the other columns stay as they are stored ("double" and "string" are
+# what the source has as a rule).
 VISIT_FIELDS = [
     ("cicid", "citizen_id", "double"),
     ("i94yr", "year", "int"),
@@ -22,6 +24,8 @@ VISIT_FIELDS = [
     ("fltno", "flight_number", "string"),
 ]
 
+YEAR_FIELD, MONTH_FIELD, PORT_FIELD = "i94yr", "i94mon", "i94port"
+
 # City demography file, by position. The header is skipped.
 DEMOGRAPHY_SCHEMA = """
     city string, state string, median_age double, male_population int,
@@ -54,6 +58,8 @@ STATES = "dim_us_states"
 PORTS = "dim_airport_codes"
 
 VISIT_PARTITIONS = ["year", "month", "airport_code"]
+VISIT_PARTITION_KINDS = ["int", "int", "string"]
+VISIT_MONTHS = "immigration_months"
 
 # Primary key of each dimension.
 DIMENSION_KEYS = {

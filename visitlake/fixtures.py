@@ -5,6 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from visitlake.fixed import (
+    COUNTRY_SECTION,
+    MODE_SECTION,
+    PORT_SECTION,
+    STATE_SECTION,
+    VISA_SECTION,
+)
 from visitlake.functions.dates import SAS_EPOCH
 from visitlake.plans.star import name_visits
 
@@ -15,19 +22,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw_port_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Columns of the raw visits that do not need the orders: one visit per line item."""
+def raw_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 18 source columns, one visit per line item of an order.
+
+    The orders meet their customers first, so the line items are shuffled for this once.
+    """
     shipped = F.col("l_shipdate").cast("date")
     day = F.datediff(shipped, F.lit(SAS_EPOCH)).cast("double")
     flag = F.col("l_returnflag")
     suppliers = table(spark, sf_dir, "supplier").join(
         table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
     )
+    buyers = (
+        table(spark, sf_dir, "orders")
+        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .select(
+            "o_orderkey",
+            F.col("o_orderpriority").alias("visatype"),
+            F.col("c_nationkey").cast("double").alias("i94cit"),
+            F.col("c_mktsegment").alias("airline"),
+        )
+    )
     return (
         table(spark, sf_dir, "lineitem")
         .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
-            "l_orderkey",
             F.col("l_orderkey").cast("double").alias("cicid"),
             F.year(shipped).cast("double").alias("i94yr"),
             F.month(shipped).cast("double").alias("i94mon"),
@@ -37,61 +57,93 @@ def raw_port_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(flag != "N", day + F.col("l_quantity")).alias("depdate"),
             F.col("l_linenumber").cast("double").alias("i94mode"),
             F.when(flag == "A", 1.0).when(flag == "N", 2.0).otherwise(3.0).alias("i94visa"),
+            "visatype",
+            "i94cit",
             F.col("s_nationkey").cast("double").alias("i94res"),
             (1930 + F.col("l_partkey") % 80).cast("double").alias("biryear"),
             F.when(F.col("l_linestatus") == "F", "F").otherwise("M").alias("gender"),
             F.col("l_partkey").cast("string").alias("insnum"),
+            "airline",
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("double").alias("admnum"),
             F.concat(F.lit("F"), (F.col("l_suppkey") % 1000).cast("string")).alias("fltno"),
         )
     )
 
 
-def raw_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All 18 source columns; nationality, visa type and airline come from the order's customer.
+def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return name_visits(raw_visits(spark, sf_dir))
 
-    The orders meet their customers first, so the line items are shuffled for this once.
-    """
-    buyers = (
-        table(spark, sf_dir, "orders")
-        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .select(
-            F.col("o_orderkey").alias("l_orderkey"),
-            F.col("o_orderpriority").alias("visatype"),
-            F.col("c_nationkey").cast("double").alias("i94cit"),
-            F.col("c_mktsegment").alias("airline"),
-        )
+
+def raw_regional_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw visits with the supplier's nation as port code, for tables with a folder per port."""
+    return raw_visits(spark, sf_dir).withColumn(
+        "i94port", F.col("i94res").cast("int").cast("string")
     )
-    return raw_port_visits(spark, sf_dir).join(buyers, "l_orderkey").drop("l_orderkey")
 
 
-def port_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Visits under their table names, without the columns that need the orders."""
-    return name_visits(raw_port_visits(spark, sf_dir))
+def regional_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return name_visits(raw_regional_visits(spark, sf_dir))
 
 
-def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return name_visits(raw_visits(spark, sf_dir))
+def regional_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A port per nation, in the state of a segment or none, as in the label text of the job."""
+    return table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("string").alias("airport_code"),
+        F.col("n_name").alias("city"),
+        _segment("n_nationkey").alias("us_state_id"),
+    )
+
 
+def write_job_inputs(spark: SparkSession, sf_dir: str, path: str) -> list[str]:
+    """The three inputs of the batch job made from the tables; returns their paths."""
+    visits_path, cities_path, labels_path = (f"{path}/{x}" for x in ("visits", "cities", "labels"))
+    raw_regional_visits(spark, sf_dir).write.parquet(visits_path)
 
-def regional_visits(spark: SparkSession, sf_dir: str, folders: int) -> DataFrame:
-    """Visits with few port codes, for partitioned tables: real ports are hundreds, not more."""
-    code = F.concat(F.lit("0"), (F.substring_index("state_id", "_", -1).cast("int") % folders))
-    return visits(spark, sf_dir).withColumn("airport_code", code)
+    people = table(spark, sf_dir, "customer").join(
+        table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
+    )
+    none = F.lit(None).cast("string")
+    race = F.concat(F.lit("R"), (F.col("c_custkey") % 7).cast("string"))
+    people.select(
+        F.col("n_name").alias("City"),
+        F.lower("c_mktsegment").alias("State"),
+        *[none.alias(f"n{i}") for i in range(3)],
+        F.col("c_custkey").alias("Total"),
+        *[none.alias(f"n{i}") for i in range(3, 6)],
+        F.col("c_mktsegment").alias("Code"),
+        race.alias("Race"),
+    ).write.csv(cities_path, sep=";", header=True)
+
+    nations, lines = table(spark, sf_dir, "nation"), table(spark, sf_dir, "lineitem")
+    modes, flags = lines.select("l_linenumber").distinct(), lines.select("l_returnflag").distinct()
+    ports = regional_ports(spark, sf_dir)
+    port_name = F.concat_ws(", ", "city", "us_state_id")
+    sections = [
+        (COUNTRY_SECTION, countries(spark, sf_dir), F.col("country_id"), F.col("country_name")),
+        (PORT_SECTION, ports, F.col("airport_code"), port_name),
+        (MODE_SECTION, modes, F.col("l_linenumber"),
+         F.concat(F.lit("mode "), F.col("l_linenumber").cast("string"))),
+        (STATE_SECTION, nations, F.col("n_name"), F.lower("n_name")),
+        (VISA_SECTION, flags, F.position(F.col("l_returnflag"), F.lit("ANR")), F.col("l_returnflag")),
+    ]
+    for name, df, code, label in sections:
+        position = F.pmod(F.xxhash64(code.cast("string")), F.lit(AFTER_ALL_PAIRS))
+        text = label_lines(df, F.lit(name), position, quoted_pair(code, label), f"value {name}")
+        # One file per section, with its lines in order.
+        in_order = text.repartition(1).sortWithinPartitions("position").select("line")
+        in_order.write.mode("append").text(labels_path)
+    return [visits_path, cities_path, labels_path]
 
 
 def ports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One port per supplier; its city is a nation, its state a market segment or none."""
-    segment = F.get(
-        F.array(*[F.lit(name) for name in SEGMENTS]), (F.col("s_suppkey") % 6).cast("int")
-    )
     return (
         table(spark, sf_dir, "supplier")
         .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .select(
             port_code("s_suppkey").alias("airport_code"),
             F.col("n_name").alias("city"),
-            segment.alias("us_state_id"),
+            _segment("s_suppkey").alias("us_state_id"),
         )
     )
 
@@ -133,6 +185,10 @@ def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
+def _segment(key: str) -> Column:
+    return F.get(F.array(*[F.lit(name) for name in SEGMENTS]), (F.col(key) % 6).cast("int"))
+
+
 def port_code(key: str) -> Column:
     return F.concat(F.lit("P"), F.col(key).cast("string"))
 

@@ -2,8 +2,8 @@
 
 Label text is given as one row per line: ``source`` (which text), ``position`` (any sortable
 value that orders the lines of a text) and ``line``. A text is never gathered into one row or
-one task: the section bounds are found with two small aggregates, and the lines are then matched
-with the bounds of their own text.
+one task: the few lines that hold a section name or a semicolon give the bounds of the sections, and
+the lines are then matched with the bounds of their own text.
 
 A section starts at the first place in the text where its name stands, and ends at the next
 semicolon. Inside it, a line with exactly one ``=`` is a pair.
@@ -15,13 +15,14 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlake.functions import strip_label
 
 END = ";"
 EQUALS = "="
+NOT_FOUND, NOT_CLOSED = "section not found", "section not closed"
 
 
 def label_pairs(lines: DataFrame, sections: Sequence[str]) -> DataFrame:
@@ -59,9 +60,7 @@ def section_faults(lines: DataFrame, sections: Sequence[str]) -> DataFrame:
         .distinct()
         .withColumn("section", F.explode(F.array(*[F.lit(name) for name in sections])))
     )
-    fault = F.when(F.col("first").isNull(), "section not found").when(
-        F.col("last").isNull(), "section not closed"
-    )
+    fault = F.when(F.col("first").isNull(), NOT_FOUND).when(F.col("last").isNull(), NOT_CLOSED)
     return (
         wanted.join(_bounds(lines, sections), ["source", "section"], "left")
         .select("source", "section", fault.alias("fault"))
@@ -69,30 +68,42 @@ def section_faults(lines: DataFrame, sections: Sequence[str]) -> DataFrame:
     )
 
 
-def _bounds(lines: DataFrame, sections: Sequence[str]) -> DataFrame:
-    """Per text and section: first line, offset of the name in it, last line (NULL if open)."""
-    starts = _starts(lines, sections)
-    ends = lines.where(F.contains("line", F.lit(END))).select("source", F.col("position").alias("end"))
-    closes = (F.col("end") > F.col("first")) | (
-        (F.col("end") == F.col("first")) & F.col("closed_on_first")
+def load_faults(lines: DataFrame, sections: Sequence[str]) -> DataFrame:
+    """Rows (source, section, fault) for texts that make up one load: a section may stand in any of
+    them, but each must be found once and be closed where it is found. A NULL source is all texts."""
+    bounds = _bounds(lines, sections)
+    wanted = lines.sparkSession.createDataFrame([(name,) for name in sections], "section string")
+    missing = wanted.join(bounds, "section", "left_anti").select(
+        F.lit(None).cast("string").alias("source"), "section", F.lit(NOT_FOUND).alias("fault")
     )
-    closed = (
-        ends.join(starts, "source")
-        .where(closes)
-        .groupBy("source", "section")
-        .agg(F.min("end").alias("last"))
+    still_open = bounds.where(F.col("last").isNull()).select(
+        F.col("source").cast("string").alias("source"), "section", F.lit(NOT_CLOSED).alias("fault")
     )
-    return starts.drop("closed_on_first").join(closed, ["source", "section"], "left")
+    return missing.unionByName(still_open)
 
 
-def _starts(lines: DataFrame, sections: Sequence[str]) -> DataFrame:
-    """Per text and section: the first line that holds the name."""
+def _bounds(lines: DataFrame, sections: Sequence[str]) -> DataFrame:
+    """Per text and section: first line, offset of the name in it, last line (NULL if open).
+
+    One scan keeps the lines with a name or an end. In the order of their text, each learns where the
+    next end after it stands; the first line of a section then gives both bounds.
+    """
     has_name = [F.contains("line", F.lit(name)) for name in sections]
-    names = [F.when(found, F.lit(name)) for found, name in zip(has_name, sections)]
+    has_end = F.contains("line", F.lit(END))
+    following = (
+        Window.partitionBy("source").orderBy("position").rowsBetween(1, Window.unboundedFollowing)
+    )
     offset = F.position("section", "line")
     return (
-        lines.where(reduce(or_, has_name))
-        .withColumn("section", F.explode(F.array(*names)))
+        lines.where(reduce(or_, [*has_name, has_end]))
+        .withColumn(
+            "next_end",
+            F.first(F.when(has_end, F.col("position")), ignorenulls=True).over(following),
+        )
+        .withColumn(
+            "section",
+            F.explode(F.array(*[F.when(found, F.lit(name)) for found, name in zip(has_name, sections)])),
+        )
         .where(F.col("section").isNotNull())
         .groupBy("source", "section")
         .agg(
@@ -101,6 +112,7 @@ def _starts(lines: DataFrame, sections: Sequence[str]) -> DataFrame:
                     "position",
                     offset.alias("offset"),
                     (F.position(F.lit(END), "line", offset) > 0).alias("closed_on_first"),
+                    "next_end",
                 )
             ).alias("start")
         )
@@ -109,6 +121,8 @@ def _starts(lines: DataFrame, sections: Sequence[str]) -> DataFrame:
             "section",
             F.col("start.position").alias("first"),
             "start.offset",
-            "start.closed_on_first",
+            F.when(F.col("start.closed_on_first"), F.col("start.position"))
+            .otherwise(F.col("start.next_end"))
+            .alias("last"),
         )
     )

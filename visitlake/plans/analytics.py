@@ -19,14 +19,19 @@ def count_visits(visits: DataFrame, *keys: str) -> DataFrame:
     return visits.groupBy(*keys).agg(F.count(F.lit(1)).alias(VISIT_COUNT))
 
 
-def in_last_month(visits: DataFrame) -> DataFrame:
-    """Visits of the latest month there is. The month is found from the partition columns."""
+def in_last_month(visits: DataFrame, months: DataFrame | None = None) -> DataFrame:
+    """Visits of the latest month there is.
+
+    Give the lake's table of months, which has a row per month; without it the month is looked for in the visits.
+    """
     month_number = F.col("year") * 12 + F.col("month")
-    return visits.where(month_number == visits.agg(F.max(month_number)).scalar())
+    known = visits if months is None else months
+    return visits.where(month_number == known.agg(F.max(month_number)).scalar())
 
 
-def in_last_year(visits: DataFrame) -> DataFrame:
-    return visits.where(F.col("year") == visits.agg(F.max("year")).scalar())
+def in_last_year(visits: DataFrame, months: DataFrame | None = None) -> DataFrame:
+    known = visits if months is None else months
+    return visits.where(F.col("year") == known.agg(F.max("year")).scalar())
 
 
 def top_ports(visits: DataFrame, ports: DataFrame, k: int = 10) -> DataFrame:
@@ -51,8 +56,10 @@ def top_ports_of_month(
     return top_ports(visits.where(period), ports, k)
 
 
-def top_ports_of_last_month(visits: DataFrame, ports: DataFrame, k: int = 10) -> DataFrame:
-    return top_ports(in_last_month(visits), ports, k)
+def top_ports_of_last_month(
+    visits: DataFrame, ports: DataFrame, k: int = 10, months: DataFrame | None = None
+) -> DataFrame:
+    return top_ports(in_last_month(visits, months), ports, k)
 
 
 def visit_share(

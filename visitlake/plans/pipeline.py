@@ -2,19 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from visitlake.fixed import DEMOGRAPHY, DIMENSION_KEYS, LABEL_SECTIONS, VISIT_REFERENCES, VISITS
-from visitlake.operators import label_pairs, section_faults
-from visitlake.operators.quality import fill_report, key_report, orphan_keys, union_reports
+
+from visitlake.fixed import (
+    DEMOGRAPHY,
+    DIMENSION_KEYS,
+    LABEL_SECTIONS,
+    MONTH_FIELD,
+    PORT_FIELD,
+    VISIT_FIELDS,
+    VISIT_REFERENCES,
+    VISITS,
+    YEAR_FIELD,
+)
+from visitlake.functions import not_whole, unreadable_sas_date, whole_number
+from visitlake.operators import label_pairs
+from visitlake.operators.labels import load_faults
+from visitlake.operators.quality import (
+    fill_report,
+    key_report,
+    orphan_keys,
+    orphan_report,
+    union_reports,
+)
 from visitlake.plans.star import build_star, city_demography, immigration_facts
+from visitlake.scratch import drop_scratch, via_path
 from visitlake.sinks import refresh_month, write_dimension, write_visits
-from visitlake.sources import read_demography, read_label_lines, read_raw_visits
-
+from visitlake.sources import read_demography, read_raw_visits, read_visits
+from visitlake.sources.labels import write_label_lines
 
-# Beyond this number of shuffle partitions Spark keeps average block sizes unless
-# spark.shuffle.accurateBlockSkewedFactor is set, and would not see that a folder is large.
-EXACT_PARTITIONS = 2000
+REPORT = "table_name string, measure string, row_count bigint"
+ROWS = "rows"
+#: Faults that an error message lists; it always gives their number.
+LISTED = 20
 
 
 class DataQualityError(ValueError):
@@ -27,31 +48,43 @@ def run(
     demography_path: str,
     labels_path: str,
     root: str,
-    shuffle_partitions: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Build the star schema from the three inputs and write it under ``root``.
 
-    All checks come before the first write. The returned table (table_name, row_count) has the
-    counts of the checks and, for the visits, of the write itself, so nothing is read back.
+    All checks come before the first write, and all failures are raised at once. The returned
+    report (table_name, measure, row_count) has the rows of each table, and for the visits the
+    records whose dates, year or month could not be read or whose port is empty, and the rows
+    whose keys no dimension has. Rows of the visits are counted as they are written.
     """
     raw_visits = read_raw_visits(spark, visits_path)
-    lines = read_label_lines(spark, labels_path)
-    require_sections(section_faults(lines, LABEL_SECTIONS))
-
-    pairs = label_pairs(lines, LABEL_SECTIONS).persist()
+    scratch = [write_label_lines(spark, labels_path)]
     try:
+        lines = spark.read.parquet(scratch[0])
+        scratch.append(via_path(label_pairs(lines, LABEL_SECTIONS), "label-pairs"))
+        pairs = spark.read.parquet(scratch[1])
         star = build_star(raw_visits, read_demography(spark, demography_path), pairs)
-        require_visits(raw_visits)
-        counts = require_passed(dimension_report(star))
 
-        counts[VISITS] = write_visits(
-            star[VISITS], root, shuffle_partitions or folder_partitions(raw_visits)
+        records, *measures = raw_report(raw_visits).collect()
+        dimensions = dimension_report(star).collect()
+        require_passed(
+            section_problems(load_faults(lines, LABEL_SECTIONS))
+            + visit_problems(records.row_count)
+            + key_problems(dimensions)
         )
+        counts = [(VISITS, ROWS, write_visits(star[VISITS], root, partitions))]
         for table in DIMENSION_KEYS:
             write_dimension(star[table], root, table)
+        star[VISITS] = read_visits(spark, root)
+        counts += [(row.table_name, ROWS, row.row_count) for row in dimensions]
+        counts += [tuple(row) for row in measures]
+        for row in orphan_report(star_orphans(star)).collect():
+            counts.append((VISITS, f"orphan {row.column_name}", row.orphan_rows))
+            counts.append((VISITS, f"empty {row.column_name}", row.null_rows))
     finally:
-        pairs.unpersist()
-    return spark.createDataFrame(list(counts.items()), "table_name string, row_count bigint")
+        for path in scratch:
+            drop_scratch(spark, path)
+    return spark.createDataFrame(counts, REPORT)
 
 
 def refresh_visits(
@@ -60,37 +93,66 @@ def refresh_visits(
     root: str,
     year: int,
     month: int,
-    shuffle_partitions: int | None = None,
-) -> int:
+    partitions: int | None = None,
+) -> DataFrame:
     """Replace one month of the visits table by its records in ``visits_path``.
 
-    Returns the number of visits. A month without any record is refused, not emptied.
+    Returns the same report as ``run`` for the visits, with the records of other months, which
+    are left out. A month without any record is refused, not emptied.
     """
-    raw = read_raw_visits(spark, visits_path).where(
-        (F.col("i94yr") == year) & (F.col("i94mon") == month)
-    )
-    require_visits(raw)
-    return refresh_month(
-        immigration_facts(raw), root, year, month, shuffle_partitions or folder_partitions(raw)
+    raw = read_raw_visits(spark, visits_path)
+    of_month = in_month(year, month)
+    records, *measures = raw_report(raw, left_out=~of_month).collect()
+    left_out = measures.pop()
+    require_passed(visit_problems(records.row_count - left_out.row_count))
+    rows = refresh_month(immigration_facts(raw.where(of_month)), root, year, month, partitions)
+    report = [(VISITS, ROWS, rows), *map(tuple, measures), tuple(left_out)]
+    return spark.createDataFrame(report, REPORT)
+
+
+def in_month(year: int, month: int) -> Column:
+    """Records of a month, by the numbers that the visits table gets."""
+    same = (whole_number(YEAR_FIELD) == year) & (whole_number(MONTH_FIELD) == month)
+    return F.coalesce(same, F.lit(False))
+
+
+def raw_report(raw_visits: DataFrame, left_out: Column | None = None) -> DataFrame:
+    """Rows (table_name, measure, row_count): records, and those with values that are not kept.
+
+    One pass over five columns. ``left_out`` adds the records for which it holds, in the last row.
+    """
+    kinds = {source: kind for source, _, kind in VISIT_FIELDS}
+    names = {source: name for source, name, _ in VISIT_FIELDS}
+    measures = {"records": F.lit(True)}
+    for source, kind in kinds.items():
+        if kind == "date":
+            measures[f"unreadable {names[source]}"] = unreadable_sas_date(source)
+        elif kind == "int":
+            measures[f"unreadable {names[source]}"] = not_whole(source)
+    measures["blank airport_code"] = F.col(PORT_FIELD).cast("string") == ""
+    if left_out is not None:
+        measures["records of other months"] = left_out
+    counted = raw_visits.agg(
+        *[F.count_if(holds).alias(measure) for measure, holds in measures.items()]
     )
+    rows = [
+        F.struct(
+            F.lit(VISITS).alias("table_name"),
+            F.lit(measure).alias("measure"),
+            F.col(measure).alias("row_count"),
+        )
+        for measure in measures
+    ]
+    return counted.select(F.inline(F.array(*rows)))
 
 
 def refresh_demography(spark: SparkSession, demography_path: str, root: str) -> int:
     """Replace the city table; returns the number of cities."""
     cities = city_demography(read_demography(spark, demography_path))
-    counts = require_passed(key_report(DEMOGRAPHY, cities, DIMENSION_KEYS[DEMOGRAPHY]))
+    report = key_report(DEMOGRAPHY, cities, DIMENSION_KEYS[DEMOGRAPHY]).collect()
+    require_passed(key_problems(report))
     write_dimension(cities, root, DEMOGRAPHY)
-    return counts[DEMOGRAPHY]
-
-
-def folder_partitions(raw_visits: DataFrame) -> int:
-    """Shuffle partitions for the write: one per year, month and port folder, up to the limit.
-
-    With fewer partitions than folders, every piece of a large partition writes a file to each
-    of its folders. Three columns are read for the count.
-    """
-    folders = raw_visits.select("i94yr", "i94mon", "i94port").distinct().count()
-    return min(folders, EXACT_PARTITIONS)
+    return report[0].row_count
 
 
 def dimension_report(star: dict[str, DataFrame]) -> DataFrame:
@@ -118,31 +180,29 @@ def row_counts(star: dict[str, DataFrame]) -> DataFrame:
     return union_reports(reports).select("table_name", "row_count")
 
 
-def require_passed(report: DataFrame) -> dict[str, int]:
-    """Row count per table; raises once for all tables that are empty or repeat a key.
+def require_passed(problems: list[str]) -> None:
+    if problems:
+        raise DataQualityError("data quality check not passed: " + "; ".join(problems))
 
-    The report has one row per table, and these are fetched.
-    """
-    rows = report.collect()
-    problems = [
+
+def key_problems(report: list) -> list[str]:
+    """Tables that are empty or repeat a key, from a fetched report with one row per table."""
+    return [
         f"{row.table_name}: {row.row_count} rows, {row.duplicate_keys} keys more than once"
-        for row in rows
+        for row in report
         if not row.is_filled or row.is_unique is False
     ]
-    if problems:
-        raise DataQualityError("data quality check not passed: " + "; ".join(problems))
-    return {row.table_name: row.row_count for row in rows}
 
 
-def require_visits(raw_visits: DataFrame) -> None:
-    """Raise if there is no visit at all. Records stay or go as a whole, so the raw ones tell."""
-    if raw_visits.isEmpty():
-        raise DataQualityError(f"data quality check not passed: {VISITS}: 0 rows")
+def visit_problems(records: int) -> list[str]:
+    """Records stay or go as a whole, so their number tells whether there are visits."""
+    return [] if records else [f"{VISITS}: 0 rows"]
 
 
-def require_sections(faults: DataFrame) -> None:
-    """Raise if label sections are missing. The message names the first few of them."""
-    shown = faults.orderBy("source", "section").limit(20).collect()
-    if shown:
-        listed = "; ".join(f"{row.source}: {row.section}: {row.fault}" for row in shown)
-        raise DataQualityError(f"label text is not complete: {listed}")
+def section_problems(faults: DataFrame) -> list[str]:
+    """Label sections that are missing or open: how many, and the first of them."""
+    number = faults.count()
+    shown = faults.orderBy("source", "section").limit(LISTED).collect() if number else []
+    listed = [f"{row.source or 'all label files'}: {row.section}: {row.fault}" for row in shown]
+    more = [f"{number - LISTED} more label faults"] if number > LISTED else []
+    return listed + more

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitlake.fixed import (
@@ -13,6 +13,7 @@ from visitlake.fixed import (
     MODES,
     OTHER_STATE_CODE,
     PORT_SECTION,
+    PORT_FIELD,
     PORTS,
     STATE_SECTION,
     STATES,
@@ -27,6 +28,7 @@ from visitlake.functions import (
     port_state,
     replace_invalid_country,
     sas_date,
+    whole_number,
 )
 from visitlake.operators import first_per_key, rename_positional
 
@@ -41,15 +43,23 @@ def immigration_facts(raw: DataFrame) -> DataFrame:
 
 
 def name_visits(raw: DataFrame) -> DataFrame:
-    """Types and names of the visits table for those of its columns that ``raw`` has."""
-    fields = [field for field in VISIT_FIELDS if field[0] in raw.columns]
-    typed = raw.select(
-        *[
-            (sas_date(source) if kind == "date" else F.col(source).try_cast(kind)).alias(source)
-            for source, _, kind in fields
-        ]
-    )
-    return rename_positional(typed, [name for _, name, _ in fields])
+    """Types and names of the visits table.
+
+    Day numbers become dates, year and month whole numbers, and an empty port code becomes NULL,
+    because a folder cannot tell the two apart. All other columns stay as they are stored.
+    """
+    typed = raw.select(*[_typed(source, kind).alias(source) for source, _, kind in VISIT_FIELDS])
+    return rename_positional(typed, [name for _, name, _ in VISIT_FIELDS])
+
+
+def _typed(source: str, kind: str) -> Column:
+    if kind == "date":
+        return sas_date(source)
+    if kind == "int":
+        return whole_number(source)
+    if source == PORT_FIELD:
+        return F.nullif(F.col(source).cast("string"), F.lit(""))
+    return F.col(source)
 
 
 def city_demography(raw: DataFrame) -> DataFrame:

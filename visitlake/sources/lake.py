@@ -1,21 +1,37 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
-from visitlake.fixed import DIMENSION_KEYS, VISIT_FIELDS, VISITS
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
+
+from visitlake.fixed import (
+    DIMENSION_KEYS,
+    VISIT_FIELDS,
+    VISIT_MONTHS,
+    VISIT_PARTITION_KINDS,
+    VISIT_PARTITIONS,
+    VISITS,
+)
 from visitlake.scratch import join_path
 
-VISIT_SCHEMA = ", ".join(f"{name} {kind}" for _, name, kind in VISIT_FIELDS)
-
 
 def read_visits(spark: SparkSession, root: str) -> DataFrame:
-    """Visits table of a lake.
+    """Visits table of a lake, with the types its files have.
 
-    The schema is given, so port codes made of digits stay text. Its partition columns come out
-    in the place they have in the schema, not at the end.
+    The types of the folder columns are given, so port codes made of digits stay text. All
+    columns come out in the order of the table, the folder columns not at the end.
     """
-    table = spark.read.schema(VISIT_SCHEMA).parquet(join_path(root, VISITS))
-    return table.select(*[name for _, name, _ in VISIT_FIELDS])
+    path = join_path(root, VISITS)
+    kinds = dict(zip(VISIT_PARTITIONS, VISIT_PARTITION_KINDS))
+    stored = spark.read.parquet(path).schema.fields
+    data = [field for field in stored if field.name not in kinds]
+    folders = [StructField(name, _parse_datatype_string(kind)) for name, kind in kinds.items()]
+    table = spark.read.schema(StructType([*data, *folders])).parquet(path)
+    return table.select(*[name for _, name, _ in VISIT_FIELDS if name in table.columns])
+
+
+def read_months(spark: SparkSession, root: str) -> DataFrame:
+    """Rows (year, month, visits), one per month of the visits table."""
+    return spark.read.parquet(join_path(root, VISIT_MONTHS))
 
 
 def read_dimension(spark: SparkSession, root: str, table: str) -> DataFrame:
