@@ -107,32 +107,65 @@ def contexts_of(texts: Texts, length: int = LENGTH) -> tuple[np.ndarray, ...]:
 def _context_rows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 1):
-            doc, seed, context, first, last = contexts_of(texts_of(batch.column("text")), length)
-            place = pa.array(doc, pa.int64())
+            found = contexts_of(texts_of(batch.column("text")), length)
+            doc, seed, context, first, last, here = _once_per_text(*found, length)
+            place, known = pa.array(doc, pa.int64()), here > 0
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id").take(place),
                     batch.column("print").take(place),
-                    pa.array(seed),
-                    pa.array(context),
+                    pa.array(seed, pa.int64(), mask=~known),
+                    pa.array(context, pa.int64(), mask=~known),
                     pa.array(first.astype(np.int64)),
                     pa.array(last.astype(np.int64)),
+                    pa.array(here),
                 ],
-                names=[*REF, "seed", "context", "first", "last"],
+                names=[*REF, "seed", "context", "first", "last", "here"],
             )
 
     return run
 
 
+def _once_per_text(doc, seed, context, first, last, length: int) -> tuple[np.ndarray, ...]:
+    """One row per text and context with its number of places in the text (``here``).
+
+    The places of a context that a text holds several times are repeated as they stand; they are united
+    into few rows with ``here`` 0, so a text that repeats a short line does not give a row per line.
+    """
+    order = np.lexsort((first, context, seed, doc))
+    new = np.ones(len(order), bool)
+    same = [np.diff(column[order]) == 0 for column in (doc, seed, context)]
+    new[1:] = ~(same[0] & same[1] & same[2])
+    group = np.cumsum(new) - 1
+    counts = np.bincount(group) if len(order) else np.zeros(0, np.int64)
+    one = order[new]
+    several = np.sort(order[counts[group] > 1])  # places are in the order of the texts
+    begin, end, owner = first[several], last[several], doc[several]
+    apart = np.ones(len(several), bool)
+    apart[1:] = (owner[1:] != owner[:-1]) | (begin[1:] > end[:-1] + length)
+    starts = np.flatnonzero(apart)
+    ends = np.append(starts[1:], len(several))[: len(starts)] - 1
+    none = np.zeros(len(starts), np.int64)
+    return (
+        np.concatenate((doc[one], owner[starts])),
+        np.concatenate((seed[one], none)),
+        np.concatenate((context[one], none)),
+        np.concatenate((first[one], begin[starts])),
+        np.concatenate((last[one], end[ends])),
+        np.concatenate((counts, none)).astype(np.int64),
+    )
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Rows (id, print, spans): the spans (start, end) of repeated windows; they may overlap."""
     listed = map_batches(
         docs.select("id", "text", "print").where(F.octet_length("text") >= length),
         _context_rows(length),
-        "id long, print long, seed long, context long, first long, last long",
+        "id long, print long, seed long, context long, first long, last long, here long",
     )
     listed = via_table(listed, "dedup-contexts")
-    counted = listed.groupBy("seed", "context").agg(F.count("*").alias("copies"))
+    contexts = listed.where(F.col("seed").isNotNull())
+    counted = contexts.groupBy("seed", "context").agg(F.sum("here").alias("copies"))
     shared = (
         counted.groupBy("seed")
         .agg(F.count("*").alias("contexts"), F.sum("copies").alias("places"))
@@ -143,16 +176,20 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     counts = via_table(
         counted.join(shared, F.col("seed") == F.col("shared_seed")).drop("shared_seed"), "dedup-counts"
     )
-    met = via_table(listed.join(counts, ["seed", "context"]), "dedup-met")
-    release(listed, counts)
+    met = via_table(contexts.drop("here").join(counts, ["seed", "context"]), "dedup-met")
+    release(counts)
     whole = met.where(F.col("copies") > 1).select(
         *REF, F.col("first").alias("start"), (F.col("last") + length).alias("end")
     )
     differing = _cut_out(docs, met.where(F.col("contexts") > 1), length)
-    spans = whole.unionByName(_by_index(differing, length)).unionByName(_by_rows(differing, length))
+    within = listed.where(F.col("seed").isNull()).select(
+        *REF, F.col("first").alias("start"), (F.col("last") + length).alias("end")
+    )
+    spans = within.unionByName(whole).unionByName(_by_index(differing, length))
+    spans = spans.unionByName(_by_rows(differing, length))
     united = spans.groupBy(*REF).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     united = via_table(united, "dedup-spans")
-    release(met, differing)
+    release(listed, met, differing)
     return united
 
 
