@@ -66,6 +66,14 @@ def test_blocks_keep_totals_and_reruns_agree(spark):
     assert sorted(map(tuple, one)) == sorted(map(tuple, again))
 
 
+@pytest.mark.parametrize("names", ["abcd", "abcdefgh"])
+def test_sources_of_equal_size_share_all_words(spark, names):
+    units = spark.createDataFrame([(s, 10) for s in names], "source string, size long")
+    got = {r["source"]: r["target"] for r in mixing.source_targets(units).collect()}
+    assert got == pytest.approx(fill_targets({s: 10 for s in names}))
+    assert sum(got.values()) == pytest.approx(10 * len(names))
+
+
 def test_flight_keeps_both_totals():
     draw = random.Random(5)
     for _ in range(20):

@@ -78,7 +78,8 @@ def source_targets(
             "common",
             F.min_by(
                 F.when(F.col("level") >= F.col("shared"), F.col("shared")),
-                F.when(F.col("level") >= F.col("shared"), F.col("level")),
+                # Sources of one level have different values of "shared"; only the first one's is whole.
+                F.when(F.col("level") >= F.col("shared"), F.struct("level", "place")),
             ).over(everything),
         )
         .select(
