@@ -1,6 +1,8 @@
 """Listed rules against string handling in Python, and mined rules on planted tokens."""
 
+import itertools
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -83,3 +85,45 @@ def test_tokens(spark):
         "scheme=http", "host=a.b.org", "label=a", "label=b", "label=org", "part=x", "part=y.html",
         "ending=html", "key=k", "key=l", "fragment=frag",
     ]
+
+
+def rules_by_hand(rows, tokens_of, min_rows=5, min_confidence=0.6):
+    """Rules over all combinations of tokens, without those that a shorter one covers."""
+    hits, bads = Counter(), Counter()
+    for url, bad in rows:
+        for k in range(1, len(tokens_of[url]) + 1):
+            for some in itertools.combinations(sorted(tokens_of[url]), k):
+                hits[some] += 1
+                bads[some] += bad
+    common = {t for (t, *rest), n in hits.items() if not rest and n == len(rows)}
+    found = {
+        some: bads[some] / n for some, n in hits.items()
+        if bads[some] >= min_rows and bads[some] / n >= min_confidence and not common & set(some)
+    }
+    shorter = lambda some: (c for k in range(1, len(some)) for c in itertools.combinations(some, k))
+    return {some: c for some, c in found.items() if not any(found.get(s, -1) >= c for s in shorter(some))}
+
+
+def compare_by_hand(spark, rows, **options):
+    labelled = spark.createDataFrame(rows, "url string, bad boolean")
+    tokens_of = dict(map(tuple, labelled.select("url", url_rules.url_tokens(F.col("url"))).collect()))
+    got = {tuple(r["tokens"]): r["confidence"] for r in url_rules.mine_rules(labelled, "url", "bad", **options).collect()}
+    expected = rules_by_hand(rows, tokens_of, **options)
+    assert got == pytest.approx(expected)
+    return got
+
+
+def test_rule_with_a_common_token(spark):
+    """Part "promo" is bad only with the scheme that 60% of the URLs have."""
+    draw, rows = random.Random(4), []
+    for i in range(400):
+        scheme, part = "https" if draw.random() < 0.6 else "http", draw.choice(["promo", "news", "blog"])
+        rows.append((f"{scheme}://{draw.choice('ab')}.example.com/{part}/{i}", scheme == "https" and part == "promo"))
+    got = compare_by_hand(spark, rows)
+    assert got[("part=promo", "scheme=https")] == 1.0
+
+
+def test_rules_of_tokens_on_the_same_urls(spark):
+    rows = [(f"http://bad{i % 2}.example.com/deep/path/of/{i % 2}/x{i}", i % 2 == 0) for i in range(12)]
+    rows += [("http://good.example.com/deep/x", False)] * 7 + [("https://good.example.com/of/x", True)] * 5
+    assert ("host=bad0.example.com",) in compare_by_hand(spark, rows) and ("part=0",) in compare_by_hand(spark, rows)

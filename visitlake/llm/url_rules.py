@@ -1,13 +1,14 @@
 """Block and allow URLs by listed rules and by rules mined from labelled URLs.
 
-Spark's FP-growth finds combinations of URL tokens that often go with the label "block". A
-combination whose confidence or support is low is dropped, and so is one that a shorter combination
-of at least its confidence covers. Each rule is indexed under its rarest token: a URL looks up its tokens and
+Spark's FP-growth finds combinations of tokens that bad URLs share, and their confidence is counted
+over all labelled URLs. A combination whose confidence or support is low is dropped, and so is one
+that a shorter combination of at least its confidence covers. Each rule is indexed under its rarest token: a URL looks up its tokens and
 holds a rule if it has all tokens of it.
 
 At scale: URLs are made distinct before they are matched, so a URL or host with a third of all rows
-is one lookup. Tokens that most URLs have tell nothing and are left out of mining, which bounds the
-length of transactions. The mined rules are written as a table, so Spark broadcasts them only if
+is one lookup. Tokens that every labelled URL has tell nothing and are left out of mining; tokens that are on the
+same URLs are mined as one item and written out again, which shortens transactions without loss, as one
+covers the other. The mined rules are written as a table, so Spark broadcasts them only if
 their measured size is small. A hot token's lookups are split by adaptive execution.
 
 Defined results: a null URL, or one without "://", has an empty host and path, no listed rule and no
@@ -17,18 +18,18 @@ any URL, or altogether: then nothing is mined. Columns that are not named do not
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from string import ascii_lowercase, ascii_uppercase
 from typing import NamedTuple
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlake.scratch import via_table
 
 BLOCK, ALLOW = "block", "allow"
-BAD = "label=block"
 NO_TOKENS = "array<string>"
 
 
@@ -102,12 +103,11 @@ def mine_rules(
     min_support: float = 0.0005,
     min_rows: int = 5,
     min_confidence: float = 0.6,
-    most_share: float = 0.5,
 ) -> DataFrame:
     """Rows (tokens, anchor, confidence, support) from URLs with a boolean column ``bad``.
 
     ``anchor`` is the rule's rarest token. A rule needs a share of ``min_support`` of the URLs and
-    ``min_rows`` of them. Tokens in more than ``most_share`` of the URLs are left out.
+    ``min_rows`` of them, all bad. Only tokens that every URL has are left out.
     """
     rows = labelled.where(F.col(url).isNotNull() & F.col(bad).isNotNull()).select(
         F.monotonically_increasing_id().alias("row"), url_tokens(F.col(url)).alias("tokens"),
@@ -115,36 +115,83 @@ def mine_rules(
     )
     rows = via_table(rows, "labelled-urls")
     total = rows.count()
-    min_support = max(min_support, min_rows / max(total, 1))
-    if total == 0:
-        return rows.select(
-            "tokens", F.lit("").alias("anchor"), F.lit(0.0).alias("confidence"), F.lit(0.0).alias("support")
-        ).limit(0)
-    counts = rows.select(F.explode("tokens").alias("token")).groupBy("token").count()
-    useful = counts.where(
-        (F.col("count") >= min_support * total) & (F.col("count") <= most_share * total)
+    least = max(min_rows, min_support * total)
+    each = rows.select("row", "bad", F.explode("tokens").alias("token"))
+    same_rows = [F.bit_xor(F.xxhash64(F.lit(seed), "row")) for seed in (1, 2)]
+    counts = each.groupBy("token").agg(
+        F.count("*").alias("count"), F.count_if("bad").alias("bad_count"),
+        same_rows[0].alias("rows_1"), same_rows[1].alias("rows_2"),
     )
-    useful = via_table(useful, "url-tokens")
+    # Tokens on the same URLs are one item.
+    item = F.min("token").over(Window.partitionBy("count", "rows_1", "rows_2"))
+    useful = counts.where((F.col("bad_count") >= least) & (F.col("count") < total))
+    useful = via_table(useful.select("token", "count", item.alias("item")), "url-tokens")
     items = (
-        rows.select("row", "bad", F.explode("tokens").alias("token"))
-        .join(useful, "token")
+        each.join(useful.where(F.col("token") == F.col("item")), "token")
         .groupBy("row", "bad")
-        .agg(F.collect_set("token").alias("tokens"))
-        .select(F.when(F.col("bad"), F.array_append("tokens", F.lit(BAD))).otherwise(F.col("tokens")).alias("items"))
-    )
-    # FP-growth takes a share of the rows that it sees: those with a useful token.
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
-    rules = model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD))).select(
-        F.array_sort("antecedent").alias("tokens"), "confidence", "support"
+        .agg(F.array_sort(F.collect_set("token")).alias("items"))
+        .select("bad", "items")
     )
+    items = via_table(items, "url-items")
+    bad_items = items.where("bad").select("items")
+    seen = bad_items.count()
+    if seen < least:
+        return rows.select(
+            "tokens", F.lit("").alias("anchor"), F.lit(0.0).alias("confidence"), F.lit(0.0).alias("support")
+        ).limit(0)
+    # FP-growth takes a share of the rows that it sees; half a row less, against rounding.
+    share = max(math.ceil(least) - 0.5, 0) / seen
+    sets = FPGrowth(itemsCol="items", minSupport=share).fit(bad_items).freqItemsets
+    sets = via_table(sets.select(F.array_sort("items").alias("tokens"), F.col("freq").alias("bad_count")), "url-sets")
+    rules = _with_confidence(_anchored(sets, useful), items).where(F.col("confidence") >= min_confidence)
+    rules = rules.withColumn("support", F.col("bad_count") / F.lit(float(total))).drop("bad_count")
+    rules = _without_covered(via_table(rules, "url-rules"))
+    return via_table(_anchored(_by_token(rules, useful), useful), "url-rules")
+
+
+def _anchored(sets: DataFrame, counts: DataFrame) -> DataFrame:
+    """``sets`` with the rarest of their ``tokens`` as ``anchor``."""
     anchors = (
-        rules.select("tokens", F.explode("tokens").alias("token"))
-        .join(useful, "token")
+        sets.select("tokens", F.explode("tokens").alias("token"))
+        .join(counts, "token")
         .groupBy("tokens")
         .agg(F.min_by("token", F.struct("count", "token")).alias("anchor"))
     )
-    rules = via_table(rules.join(anchors, "tokens"), "url-rules")
-    return _without_covered(rules)
+    return sets.join(anchors, "tokens")
+
+
+def _with_confidence(sets: DataFrame, items: DataFrame) -> DataFrame:
+    """``sets`` with the share of bad ones among all rows of ``items`` that hold them."""
+    sets = via_table(sets, "url-sets")
+    holding = (
+        items.groupBy("items").agg(F.count("*").alias("n"))
+        .withColumn("token", F.explode("items"))
+        .join(sets, F.col("token") == F.col("anchor"))
+        .where(F.size(F.array_except("tokens", "items")) == 0)
+        .groupBy("tokens")
+        .agg(F.sum("n").alias("n"))
+    )
+    return sets.join(holding, "tokens").withColumn("confidence", F.col("bad_count") / F.col("n")).drop("n")
+
+
+def _by_token(rules: DataFrame, useful: DataFrame) -> DataFrame:
+    """Rules of items as rules of tokens: one for each choice of a token for each item."""
+    members = useful.groupBy("item").agg(F.collect_list("token").alias("members"))
+    choices = F.aggregate(
+        F.collect_list("members"),
+        F.array(F.array().cast(NO_TOKENS)),
+        lambda found, members: F.flatten(
+            F.transform(found, lambda some: F.transform(members, lambda token: F.array_append(some, token)))
+        ),
+    )
+    return (
+        rules.withColumn("item", F.explode("tokens"))
+        .join(members, "item")
+        .groupBy("tokens", "confidence", "support")
+        .agg(choices.alias("choices"))
+        .select(F.explode("choices").alias("choice"), "confidence", "support")
+        .select(F.array_sort("choice").alias("tokens"), "confidence", "support")
+    )
 
 
 def _without_covered(rules: DataFrame) -> DataFrame:
