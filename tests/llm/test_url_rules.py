@@ -127,3 +127,12 @@ def test_rules_of_tokens_on_the_same_urls(spark):
     rows = [(f"http://bad{i % 2}.example.com/deep/path/of/{i % 2}/x{i}", i % 2 == 0) for i in range(12)]
     rows += [("http://good.example.com/deep/x", False)] * 7 + [("https://good.example.com/of/x", True)] * 5
     assert ("host=bad0.example.com",) in compare_by_hand(spark, rows) and ("part=0",) in compare_by_hand(spark, rows)
+
+
+def test_small_bad_host_among_many_urls(spark):
+    """Support is a number of URLs, so a host with six bad pages has a rule at every size."""
+    rows = [(f"http://h{i % 40}.example.com/{i % 7}", False) for i in range(20_000)]
+    rows += [(f"http://bad.example.com/{i % 2}", True) for i in range(6)]
+    compare_by_hand(spark, rows)
+    assert any("host=bad.example.com" in r["tokens"] for r in url_rules.mine_rules(
+        spark.createDataFrame(rows, "url string, bad boolean"), "url", "bad").collect())

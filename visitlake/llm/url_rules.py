@@ -18,7 +18,6 @@ any URL, or altogether: then nothing is mined. Columns that are not named do not
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from string import ascii_lowercase, ascii_uppercase
 from typing import NamedTuple
@@ -100,14 +99,13 @@ def mine_rules(
     labelled: DataFrame,
     url: str,
     bad: str,
-    min_support: float = 0.0005,
     min_rows: int = 5,
     min_confidence: float = 0.6,
 ) -> DataFrame:
     """Rows (tokens, anchor, confidence, support) from URLs with a boolean column ``bad``.
 
-    ``anchor`` is the rule's rarest token. A rule needs a share of ``min_support`` of the URLs and
-    ``min_rows`` of them, all bad. Only tokens that every URL has are left out.
+    ``anchor`` is the rule's rarest token. A rule needs ``min_rows`` bad URLs, however many there are in
+    all. Only tokens that every URL has are left out.
     """
     rows = labelled.where(F.col(url).isNotNull() & F.col(bad).isNotNull()).select(
         F.monotonically_increasing_id().alias("row"), url_tokens(F.col(url)).alias("tokens"),
@@ -115,7 +113,6 @@ def mine_rules(
     )
     rows = via_table(rows, "labelled-urls")
     total = rows.count()
-    least = max(min_rows, min_support * total)
     each = rows.select("row", "bad", F.explode("tokens").alias("token"))
     same_rows = [F.bit_xor(F.xxhash64(F.lit(seed), "row")) for seed in (1, 2)]
     counts = each.groupBy("token").agg(
@@ -124,7 +121,7 @@ def mine_rules(
     )
     # Tokens on the same URLs are one item.
     item = F.min("token").over(Window.partitionBy("count", "rows_1", "rows_2"))
-    useful = counts.where((F.col("bad_count") >= least) & (F.col("count") < total))
+    useful = counts.where((F.col("bad_count") >= min_rows) & (F.col("count") < total))
     useful = via_table(useful.select("token", "count", item.alias("item")), "url-tokens")
     items = (
         each.join(useful.where(F.col("token") == F.col("item")), "token")
@@ -135,12 +132,12 @@ def mine_rules(
     items = via_table(items, "url-items")
     bad_items = items.where("bad").select("items")
     seen = bad_items.count()
-    if seen < least:
+    if seen < max(min_rows, 1):
         return rows.select(
             "tokens", F.lit("").alias("anchor"), F.lit(0.0).alias("confidence"), F.lit(0.0).alias("support")
         ).limit(0)
     # FP-growth takes a share of the rows that it sees; half a row less, against rounding.
-    share = max(math.ceil(least) - 0.5, 0) / seen
+    share = max(min_rows - 0.5, 0) / seen
     sets = FPGrowth(itemsCol="items", minSupport=share).fit(bad_items).freqItemsets
     sets = via_table(sets.select(F.array_sort("items").alias("tokens"), F.col("freq").alias("bad_count")), "url-sets")
     rules = _with_confidence(_anchored(sets, useful), items).where(F.col("confidence") >= min_confidence)
