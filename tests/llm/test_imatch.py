@@ -57,3 +57,13 @@ def test_native_plan(edge_docs, no_docs):
     plan = imatch.fingerprints(edge_docs, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
     assert rows_of(no_docs) == []
+
+
+def test_near_copies_in_a_rare_language(spark):
+    """Two near copies and a text of words of its own among 3,000 documents of another language."""
+    rows = [(i, " ".join(f"word{(i * 31 + j * j) % 900}" for j in range(40))) for i in range(3000)]
+    rare = [f"seldom{j}" for j in range(300)]
+    rows += [(5000, " ".join(rare)), (5001, " ".join([*rare[:150], "changed", *rare[151:]])), (-7, " ".join(f"lone{j}" for j in range(300)))]
+    got = {r["key"]: r for r in rows_of(spark.createDataFrame(rows, "doc_id long, text string")) if r["key"] in (5000, 5001, -7)}
+    assert 0.8 < got[5000]["near_next"] <= 1 and got[5000]["near_edited"] > 0.4
+    assert got[-7]["near_edited"] > 0.4 and got[-7]["near_next"] < 0.1

@@ -1,19 +1,20 @@
 """Document fingerprints by I-Match, from DataFrame functions alone.
 
-Terms whose share of documents lies within a band (the middle of the inverse document frequencies) are
-the lexicon. A hash of the term splits it into 2^l randomised subsets, and the first ``SUBSETS`` of these make a
+Terms of at least ``LEAST_DOCUMENTS`` documents and at most a share of ``MOST_SHARE`` of them (a band of
+the inverse document frequencies) are the lexicon. A hash of the term splits it into 2^l randomised subsets, and the first ``SUBSETS`` of these make a
 fingerprint: the distinct terms of the text that are in a subset are sorted and hashed. The level l
 grows with the number of terms, so that a subset holds few terms of a long text too; a fingerprint
 has the hashes of two neighbouring levels, so texts that differ somewhat in length can be compared.
 
-At scale: document frequencies are counted with partial sums in each task. The lexicon is
-broadcast: a term of it is in at least ``LEAST_SHARE`` of the documents, so it has at most (mean number
-of distinct terms per document) / ``LEAST_SHARE`` terms, however many documents there are. Terms are
-matched within the task that has the text.
+At scale: document frequencies are counted with partial sums in each task. The lexicon grows with the
+corpus, so it is a table that Spark broadcasts only if its measured size is small. It meets slim rows of a
+document's place and one term, of the few terms that lie in its subsets; texts do not move for it.
 
-Defined results: a null text is empty. A text without terms of the lexicon in its subsets is hashed as the
-sorted list of all its words, and is like equal texts only. Equal texts have equal fingerprints, and
-likeness 1. Columns that are not named do not matter; an empty table gives no rows.
+Defined results: a null text is empty. A text without terms of the lexicon in its subsets, such as one in a
+language of its own, is hashed by all its terms in them, and compared with others by all of theirs.
+One without any term in them is hashed as the sorted list of all its words, and is like equal texts
+only. Equal texts have equal fingerprints, and likeness 1. Columns that are not named do not matter; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ SUBSETS = 16
 FIRST_LEVEL = 4  # 2^4 subsets
 #: Distinct terms from which on the level grows with each doubling.
 FIRST_TERMS = 32
-LEAST_SHARE, MOST_SHARE = 0.001, 0.2
+MOST_SHARE = 0.2
 LEAST_DOCUMENTS = 2
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 #: Text of a bucket of neighbouring documents, about.
@@ -48,7 +49,7 @@ def lexicon(texts: DataFrame, text: str, documents: int) -> DataFrame:
         texts.select(F.explode(terms(F.col(text))).alias("term"))
         .groupBy("term")
         .agg(F.count("*").alias("n"))
-        .where((F.col("n") >= LEAST_DOCUMENTS) & share.between(LEAST_SHARE, MOST_SHARE))
+        .where((F.col("n") >= LEAST_DOCUMENTS) & (share <= MOST_SHARE))
         .select("term")
     )
 
@@ -72,37 +73,57 @@ def _signatures(kept: Column, level: Column) -> Column:
     return F.transform(F.sequence(F.lit(0).cast("long"), F.lit(SUBSETS - 1).cast("long")), signature)
 
 
+def _is_empty(signatures: Column) -> Column:
+    return F.forall(F.concat(signatures["low"], signatures["high"]), lambda x: x == "")
+
+
 def _fingerprint(side: Column) -> Column:
-    """Fingerprint as text, from a struct (level, low, high, whole)."""
-    empty = F.forall(F.concat(side["low"], side["high"]), lambda x: x == "")
-    return F.when(empty, F.concat(F.lit("w:"), F.hex(side["whole"]))).otherwise(
-        F.concat(
+    """Fingerprint as text, from a struct (level, known, all, whole)."""
+
+    def joined(signatures: Column) -> Column:
+        return F.concat(
             side["level"].cast("string"),
             F.lit(":"),
-            F.array_join(side["low"], ","),
+            F.array_join(signatures["low"], ","),
             F.lit(";"),
-            F.array_join(side["high"], ","),
+            F.array_join(signatures["high"], ","),
         )
+
+    return (
+        F.when(~_is_empty(side["known"]), joined(side["known"]))
+        .when(~_is_empty(side["all"]), F.concat(F.lit("o:"), joined(side["all"])))
+        .otherwise(F.concat(F.lit("w:"), F.hex(side["whole"])))
     )
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal hashes among the subsets that hold terms of either text, at common levels."""
+    """Share of equal hashes among the subsets that hold terms of either text, at common levels.
+
+    Terms of the lexicon count; all terms, if one of the texts has none of it.
+    """
+    own = _is_empty(a["known"]) | _is_empty(b["known"])
+    mean = F.when(own, _mean(a["level"], a["all"], b["level"], b["all"])).otherwise(
+        _mean(a["level"], a["known"], b["level"], b["known"])
+    )
+    return F.when(_fingerprint(a) == _fingerprint(b), 1.0).otherwise(F.coalesce(mean, F.lit(0.0)))
+
+
+def _mean(level_a: Column, a: Column, level_b: Column, b: Column) -> Column:
     none = F.array().cast("array<string>")
     pairs = F.zip_with(
-        F.when(a["level"] == b["level"], F.concat(a["low"], a["high"]))
-        .when(a["level"] == b["level"] + 1, a["low"])
-        .when(a["level"] + 1 == b["level"], a["high"])
+        F.when(level_a == level_b, F.concat(a["low"], a["high"]))
+        .when(level_a == level_b + 1, a["low"])
+        .when(level_a + 1 == level_b, a["high"])
         .otherwise(none),
-        F.when(a["level"] == b["level"], F.concat(b["low"], b["high"]))
-        .when(a["level"] == b["level"] + 1, b["high"])
-        .when(a["level"] + 1 == b["level"], b["low"])
+        F.when(level_a == level_b, F.concat(b["low"], b["high"]))
+        .when(level_a == level_b + 1, b["high"])
+        .when(level_a + 1 == level_b, b["low"])
         .otherwise(none),
         lambda x, y: F.when((x != "") | (y != ""), (x == y).cast("double")),
     )
     told = F.filter(pairs, lambda x: x.isNotNull())
-    mean = F.aggregate(told, F.lit(0.0), lambda total, x: total + x) / F.size(told)
-    return F.when(_fingerprint(a) == _fingerprint(b), 1.0).when(F.size(told) == 0, 0.0).otherwise(mean)
+    total = F.aggregate(told, F.lit(0.0), lambda total, x: total + x)
+    return F.when(F.size(told) > 0, total / F.size(told))
 
 
 def with_next(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, int]:
@@ -188,37 +209,40 @@ def fingerprints(docs: DataFrame, key: str, text: str) -> DataFrame:
         .withColumns({"whole_a": F.xxhash64(F.array_sort("a")), "whole_b": F.xxhash64(F.array_sort("b"))})
     )
 
-    def tagged(side: str) -> Column:
+    def used(side: str) -> Column:
         level = F.col(f"level_{side}")
-        used = F.filter(F.col(side), lambda term: _cell(term, level) < SUBSETS)
-        return F.transform(used, lambda term: F.struct(F.lit(side).alias("side"), term.alias("term")))
-
-    about = [
-        "bucket", "place", "laid", "key", "n_chars", "edited_sha256",
-        "level_a", "level_b", "whole_a", "whole_b",
-    ]
-    words = F.broadcast(lexicon(docs, text, documents).withColumnRenamed("term", "known"))
-    found = (
-        rows.select(*about, F.explode_outer(F.concat(tagged("a"), tagged("b"))).alias("x"))
-        .select(*about, "x.side", "x.term")
-        .join(words, F.col("term") == F.col("known"), "left")
-        .groupBy(*about)
-        .agg(
-            *[
-                F.array_sort(
-                    F.collect_list(F.when((F.col("side") == side) & F.col("known").isNotNull(), F.col("term")))
-                ).alias(f"kept_{side}")
-                for side in "ab"
-            ]
-        )
+        return F.array_sort(F.filter(F.col(side), lambda term: _cell(term, level) < SUBSETS)).alias(f"used_{side}")
+
+    slim = via_table(
+        rows.select(
+            "bucket", "place", "laid", "key", "n_chars", "edited_sha256",
+            "level_a", "level_b", "whole_a", "whole_b", used("a"), used("b"),
+        ),
+        "imatch-terms",
+    )
+    words = via_table(lexicon(docs, text, documents).withColumnRenamed("term", "known"), "lexicon")
+    known = (
+        slim.select("bucket", "place", F.explode(F.array_union("used_a", "used_b")).alias("term"))
+        .join(words, F.col("term") == F.col("known"))
+        .groupBy("bucket", "place")
+        .agg(F.collect_list("term").alias("known"))
+    )
+    found = slim.join(known, ["bucket", "place"], "left").withColumn(
+        "known", F.coalesce("known", F.array().cast("array<long>"))
     )
+    found = found.withColumns(
+        {f"kept_{side}": F.filter(f"used_{side}", lambda term: F.array_contains("known", term)) for side in "ab"}
+    )
+
+    def signatures(terms_of: Column, level: Column) -> Column:
+        return F.struct(_signatures(terms_of, level).alias("low"), _signatures(terms_of, level + 1).alias("high"))
 
     def side(name: str) -> Column:
-        kept, level = F.col(f"kept_{name}"), F.col(f"level_{name}")
+        kept, mine, level = F.col(f"kept_{name}"), F.col(f"used_{name}"), F.col(f"level_{name}")
         return F.struct(
             level.alias("level"),
-            _signatures(kept, level).alias("low"),
-            _signatures(kept, level + 1).alias("high"),
+            signatures(kept, level).alias("known"),
+            signatures(mine, level).alias("all"),
             F.col(f"whole_{name}").alias("whole"),
         )
 
@@ -226,7 +250,6 @@ def fingerprints(docs: DataFrame, key: str, text: str) -> DataFrame:
         "bucket", "place", "laid", "key", "n_chars", "edited_sha256",
         side("a").alias("own"), side("b").alias("changed"),
     )
-    # Rows are still dealt by bucket, so this moves nothing.
     following = F.lead("own").over(Window.partitionBy("bucket").orderBy("place"))
     return signed.withColumn("following", following).where(~F.col("laid")).select(
         "key",
