@@ -19,18 +19,33 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that with the least id."""
+    """One document of each group of near duplicates: that with the least id, null ids last.
+
+    Documents of one id are ordered by a hash of their text; rows of one id and text by their other columns. A
+    text without words is near to nothing: such rows all stay, but those that repeat an id and all else are one.
+    """
     docs = docs.select(*COLUMNS)
-    found = via_table(jaccard_rtree.near_duplicates(docs, "doc_id", "text"), "near-duplicates")
-    others = found.where(F.col("key") != F.col("component_id")).select(F.col("key").alias("doc_id"))
-    repeated = found.groupBy(F.col("key").alias("doc_id")).count().where(
-        F.col("doc_id").isNotNull() & (F.col("count") > 1)
+    has_words = F.coalesce("text", F.lit("")).rlike(mixing.WORD)
+    wordless = docs.where(~has_words)
+    wordless = wordless.where("doc_id is null").unionByName(wordless.where("doc_id is not null").distinct())
+    row = F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text")
+    docs = docs.where(has_words).withColumn("row", row)
+    found = via_table(jaccard_rtree.near_duplicates(docs, "row", "text"), "near-duplicates")
+    ids = docs.groupBy(F.col("row").alias("key")).agg(F.first("doc_id").alias("doc_id"), F.count("*").alias("rows"))
+    rows = via_table(found.select("key", "component_id").distinct().join(ids, "key"), "rows")
+    first = (
+        rows.groupBy("component_id")
+        .agg(F.count("*").alias("n"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))["key"].alias("first"))
+        .where("n > 1")
     )
-    others, repeated = via_table(others.distinct(), "others"), via_table(repeated.select("doc_id"), "repeated")
-    kept = docs.join(others, "doc_id", "left_anti")
-    # Rows that repeat an id and all else are one document.
-    single = kept.join(repeated, "doc_id", "left_anti")
-    return single.unionByName(kept.join(repeated, "doc_id", "left_semi").distinct()).select(*COLUMNS)
+    first = via_table(first.select("component_id", "first"), "first-rows")
+    others = rows.join(first, "component_id").where("key <> first").select(F.col("key").alias("row"))
+    repeated = rows.where("rows > 1").select(F.col("key").alias("row"))
+    others, repeated = via_table(others, "others"), via_table(repeated, "repeated")
+    kept = docs.join(others, "row", "left_anti")
+    single = kept.join(repeated, "row", "left_anti").select(*COLUMNS)
+    united = kept.join(repeated, "row", "left_semi").groupBy("row").agg(F.min(F.struct(*COLUMNS)).alias("least"))
+    return single.unionByName(united.select("least.*")).unionByName(wordless).select(*COLUMNS)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
