@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from visitlake.llm import (
     byte_bpe,
+    collocations,
     imatch,
     jaccard_rtree,
     language,
     mixing,
     quality_fm,
+    ranked_search,
     runlength_dedup,
+    simhash_vptree,
     url_rules,
     voronoi,
     warc,
@@ -161,6 +164,22 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ranked_search.top_documents(
+        table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "benchmark"), "item_id", "text"
+    )
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("key").alias("doc_id"), "score")
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), "lang", "text")
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_vptree.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return found.withColumnRenamed("key", "doc_id")
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_jaccard_rtree": op2_jaccard_rtree,
@@ -172,6 +191,9 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_runlength_dedup": op9_runlength_dedup,
     "op10_voronoi": op10_voronoi,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_collocations": op12_collocations,
+    "op13_simhash": op13_simhash,
 }
 
 #: DuckDB SQL for the queries that SQL can express; tests/llm compares the others with brute force.
@@ -233,4 +255,79 @@ ORACLE_SQL = {
             FROM scored)
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
     """,
+    "op11_ranked_search": """
+        WITH item_terms AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+            FROM benchmark),
+        docs AS (
+            SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+            FROM documents),
+        sized AS (SELECT row_no, doc_id, terms, CAST(len(terms) AS BIGINT) AS n FROM docs WHERE len(terms) > 0),
+        totals AS (SELECT CAST(COUNT(*) AS BIGINT) AS docs, CAST(SUM(n) AS BIGINT) AS words FROM sized),
+        places AS (SELECT row_no, unnest(terms) AS term FROM sized),
+        postings AS (
+            SELECT row_no, term, COUNT(*) AS tf FROM places
+            WHERE term IN (SELECT term FROM item_terms) GROUP BY row_no, term),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+            FROM (SELECT term, COUNT(*) AS df FROM postings GROUP BY term), totals),
+        impacts AS (
+            SELECT p.row_no, s.doc_id, p.term,
+                   w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * s.n * docs) // words))) AS impact
+            FROM postings p JOIN sized s ON s.row_no = p.row_no JOIN weights g ON g.term = p.term, totals),
+        scored AS (
+            SELECT item_id, row_no, doc_id, CAST(SUM(impact) AS BIGINT) AS score
+            FROM item_terms t JOIN impacts i ON i.term = t.term GROUP BY item_id, row_no, doc_id
+            HAVING SUM(impact) > 0),
+        ranked AS (
+            SELECT item_id, doc_id, score, CAST(row_number() OVER (
+                PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+            FROM scored)
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+    """,
+    "op12_collocations": """
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\\x0A-\\x0D]')) AS piece
+            FROM documents),
+        words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+        grams AS (
+            SELECT lang, size, unnest(list_transform(
+                range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+            FROM words, (SELECT unnest([1, 2, 3, 4]) AS size) WHERE len(w) >= size),
+        counts AS (SELECT lang, size, phrase, COUNT(*) AS f FROM grams GROUP BY lang, size, phrase),
+        totals AS (SELECT lang, CAST(SUM(f) AS BIGINT) AS n FROM counts WHERE size = 1 GROUP BY lang),
+        candidates AS (
+            SELECT lang, phrase, f AS a, size, string_split(phrase, ' ') AS w FROM counts WHERE size > 1 AND f >= 30),
+        cuts AS (
+            SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest
+            FROM candidates, (SELECT unnest([1, 2, 3]) AS k) WHERE k < size),
+        scored AS (
+            SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r,
+                   CAST(CAST(2000000 AS HUGEINT) * c.a // (x.f + y.f) AS BIGINT) AS score
+            FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = c.first
+            JOIN counts y ON y.lang = c.lang AND y.phrase = c.rest),
+        lowest AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM scored),
+        inside AS (
+            SELECT c.lang, c.a AS longer, array_to_string(c.w[i:i + m - 1], ' ') AS phrase
+            FROM candidates c, (SELECT unnest([1, 2, 3]) AS i), (SELECT unnest([2, 3]) AS m)
+            WHERE m < size AND i + m - 1 <= size),
+        most AS (SELECT lang, phrase, MAX(longer) AS longer FROM inside GROUP BY lang, phrase),
+        kept AS (
+            SELECT s.* FROM lowest s LEFT JOIN most m ON m.lang = s.lang AND m.phrase = s.phrase
+            WHERE s.place = 1 AND (m.longer IS NULL
+                OR CAST(100 AS HUGEINT) * m.longer < CAST(80 AS HUGEINT) * s.a)),
+        ranked AS (
+            SELECT *, CAST(row_number() OVER (
+                PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS BIGINT) AS rank
+            FROM kept)
+        SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, r.score
+        FROM ranked r JOIN totals t ON t.lang = r.lang WHERE r.rank <= 2000
+    """,
 }

@@ -20,6 +20,8 @@ _INVERSE = U(pow(int(_ODD), -1, 2**64))
 #: A random 64-bit number for each byte, from a fixed seed.
 BYTE_VALUES = np.random.default_rng(20).integers(1, 2**64, 256, dtype=np.uint64)
 LOWER_VALUES = BYTE_VALUES[LOWER]
+#: Others, for a second hash that tells apart what the first one does not.
+OTHER_LOWER_VALUES = np.random.default_rng(21).integers(1, 2**64, 256, dtype=np.uint64)[LOWER]
 _powers = np.ones(1, np.uint64), np.ones(1, np.uint64)
 
 
@@ -41,9 +43,11 @@ def texts_of(column: pa.Array) -> Texts:
     return Texts(data[starts[0] : starts[-1]], starts - starts[0])
 
 
-def word_spans(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(
+    texts: Texts, separators: np.ndarray = SEPARATORS
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every word, and the place of the first word of each text."""
-    inside = ~SEPARATORS[texts.data]
+    inside = ~separators[texts.data]
     opens, closes = inside.copy(), inside.copy()
     opens[1:] &= ~inside[:-1]
     closes[:-1] &= ~inside[1:]
