@@ -54,10 +54,12 @@ LONGEST = 4
 HEAD = 1 << 18
 HEAD_BYTES = 64
 #: Words that a task holds at a time.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 #: Side of a tile, and the pairs from which on it is counted densely.
 TILE = 1 << 10
 DENSE = TILE * TILE // 32
+#: Places of the table that turns away most phrases without ids at once.
+SIEVE = 1 << 22
 #: Most bits of the field of frequent phrases without ids.
 FIELD_BITS = 1 << 26
 
@@ -191,7 +193,9 @@ class Known:
         return via_table(spark.createDataFrame(self.frame.select(["id", "lang", "phrase"])), "phrase-ids")
 
     def sent(self) -> tuple:
-        return self.hashes, self.others, self.ids, self.field
+        sieve = np.zeros(SIEVE, bool)
+        sieve[(self.hashes & U(SIEVE - 1)).view(np.int64)] = True
+        return self.hashes, self.others, self.ids, self.field, sieve
 
 
 def _ids(frame: pa.Table) -> np.ndarray:
@@ -244,17 +248,22 @@ def _with_bits(field: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return field
 
 
-def _look_up(sent: tuple, hashes: np.ndarray, others: np.ndarray) -> np.ndarray:
-    """The id of each phrase; -2 for one that may be frequent, -1 for others."""
-    known, known_others, ids, field = sent
+def _look_up(sent: tuple, words: list[np.ndarray], size: int, at: np.ndarray | None = None) -> np.ndarray:
+    """The id of the phrase of ``size`` words at each word, or at those in ``at``; -2 for one that may be
+    frequent, -1 for others."""
+    known, known_others, ids, field, sieve = sent
+    hashes = _joined_hashes(words[0], size) if at is None else _joined_at(words[0], size, at)
     found = np.full(len(hashes), -1, np.int64)
     if len(field):
-        at = hashes & U(len(field) * 64 - 1)
-        found[(field[(at >> U(6)).astype(np.int64)] >> (at & U(63))) & U(1) == 1] = -2
-    if len(known):
-        place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-        same = (known[place] == hashes) & (known_others[place] == others)
-        found[same] = ids[place[same]]
+        bit = hashes & U(len(field) * 64 - 1)
+        found[(field[(bit >> U(6)).astype(np.int64)] >> (bit & U(63))) & U(1) == 1] = -2
+    may = np.flatnonzero(sieve[(hashes & U(len(sieve) - 1)).view(np.int64)])
+    if len(may):
+        place = np.minimum(np.searchsorted(known, hashes[may]), len(known) - 1)
+        same = known[place] == hashes[may]
+        may, place = may[same], place[same]
+        same = known_others[place] == _joined_at(words[1], size, may if at is None else at[may])
+        found[may[same]] = ids[place[same]]
     return found
 
 
@@ -276,11 +285,19 @@ def _word_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, salt: n
     ]
 
 
-def _joined_hashes(words: list[np.ndarray], size: int) -> list[np.ndarray]:
-    """Two hashes of the phrase of ``size`` words that starts at each word, as far as there are so many."""
+def _joined_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """A hash of the phrase of ``size`` words that starts at each word, as far as there are so many."""
     out = words
     for step in range(1, size):
-        out = [mixed(h[:-1] * _NEXT + w[step:]) for h, w in zip(out, words)]
+        out = mixed(out[:-1] * _NEXT + words[step:])
+    return out
+
+
+def _joined_at(words: np.ndarray, size: int, at: np.ndarray) -> np.ndarray:
+    """The same for the phrases that start at some of the words."""
+    out = words[at]
+    for step in range(1, size):
+        out = mixed(out * _NEXT + words[at + step])
     return out
 
 
@@ -290,8 +307,7 @@ def phrase_hashes(langs, phrases, size: int) -> list[np.ndarray]:
     texts = texts_of(phrases)
     begins, ends, first = word_spans(texts, np.arange(256) == 0x20)
     salt = _lang_hashes(langs)[owners(first)]
-    joined = _joined_hashes(_word_hashes(texts.data, begins, ends, salt), size)
-    return [h[first[:-1]] if len(first) > 1 else h[:0] for h in joined]
+    return [_joined_at(words, size, first[:-1]) for words in _word_hashes(texts.data, begins, ends, salt)]
 
 
 # --- counting in tasks ----------------------------------------------------------------------------
@@ -343,22 +359,22 @@ class Chunk:
         self.runs += len(texts.data) + len(texts) + 1
 
     def counts(self, size: int, tables: tuple | None) -> Iterator[pa.RecordBatch]:
-        h, other, run, lang, begins, ends, data = (np.concatenate(column) for column in zip(*self.parts))
+        columns, self.parts = list(zip(*self.parts)), []
+        h, other, run, lang, begins, ends, data = (np.concatenate(columns.pop(0)) for _ in range(7))
         at = np.flatnonzero(run[size - 1 :] == run[: len(run) - size + 1]) if len(run) >= size else np.zeros(0, np.int64)
-        spelled = at
         if size > 1:
             known, right = tables
-            lower = _look_up(known, *_joined_hashes([h, other], size - 1))
-            last = lower if size == 2 else _look_up(right, h, other)
+            lower = _look_up(known, [h, other], size - 1)
             at = at[(lower[at] != -1) & (lower[at + 1] != -1)]
-            has_ids = (lower[at] >= 0) & (last[at + size - 1] >= 0)
-            spelled, at = at[~has_ids], at[has_ids]
-            yield from _cells(*tile_counts(lower[at], last[at + size - 1]))
-        if len(spelled):
-            yield from self._spelled(spelled, size, h, other, lang, begins, ends, data)
-
-    def _spelled(self, at, size, h, other, lang, begins, ends, data) -> Iterator[pa.RecordBatch]:
-        hashes, others = (x[at] for x in _joined_hashes([h, other], size))
+            last = lower[at + 1] if size == 2 else _look_up(right, [h, other], 1, at + size - 1)
+            has_ids = (lower[at] >= 0) & (last >= 0)
+            yield from _cells(*tile_counts(lower[at[has_ids]], last[has_ids]))
+            at = at[~has_ids]
+        if len(at):
+            yield from self._spelled(at, size, [h, other], lang, begins, ends, data)
+
+    def _spelled(self, at, size, words, lang, begins, ends, data) -> Iterator[pa.RecordBatch]:
+        hashes, others = (_joined_at(x, size, at) for x in words)
         _, first, group, times = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
         if (others != others[first][group]).any():  # one hash, two phrases
             both = np.rec.fromarrays([hashes, others])
