@@ -6,7 +6,6 @@ and label text from them; the SQL below derives the same data on its own.
 
 from __future__ import annotations
 
-import importlib.util
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -33,7 +32,8 @@ from visitlake.fixed import (
     VISITS,
 )
 from visitlake.functions import port_city, port_state, sas_date
-from visitlake.operators import first_per_key, label_pairs, rename_positional, section_faults
+from visitlake.operators import first_per_key, label_pairs, ports, rename_positional, section_faults
+from visitlake.operators.labels import label_rejects
 from visitlake.operators.quality import (
     fill_report,
     key_report,
@@ -43,10 +43,19 @@ from visitlake.operators.quality import (
     unreadable_report,
 )
 from visitlake.plans import analytics, star
-from visitlake.plans.pipeline import refresh_demography, refresh_visits, row_counts, run, star_report
+from visitlake.plans.pipeline import (
+    append_visits,
+    load_visits,
+    refresh_demography,
+    refresh_visits,
+    row_counts,
+    run,
+    star_report,
+)
 from visitlake.scratch import new_scratch_path
-from visitlake.sinks import write_dimension, write_visits
+from visitlake.sinks import write_dimension
 from visitlake.sources import (
+    read_counts,
     read_demography,
     read_dimension,
     read_label_lines,
@@ -55,14 +64,16 @@ from visitlake.sources import (
     read_visits,
     register_views,
 )
+from visitlake.sources.demography import bad_city_cells
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-#: The training-data operators are a part of their own, which may be absent.
-HAS_LLM = all(importlib.util.find_spec(name) for name in ("visitlake.llm", "corpus_pipeline"))
-if HAS_LLM:
+#: The training-data operators are a part of their own, which may be absent or lack what it needs.
+try:
     import corpus_pipeline
     from visitlake.llm import queries as llm_queries
+except ImportError:
+    corpus_pipeline = llm_queries = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 PORT = "P7"
@@ -198,18 +209,21 @@ def visa_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.visa_categories(label_pairs(lines, [VISA_SECTION]))
 
 
-def mode_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+def mode_label_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = fx.table(spark, sf_dir, "part")
     key = F.col("p_partkey").cast("string")
     code = F.when(F.col("p_size") % 5 == 0, F.concat(F.lit("X"), key)).otherwise(key)
-    lines = fx.label_lines(
+    return fx.label_lines(
         parts,
         F.col("p_brand"),
         F.col("p_partkey"),
         fx.quoted_pair(code, F.col("p_name")),
         f"value {MODE_SECTION}",
     )
-    return star.travel_modes(label_pairs(lines, [MODE_SECTION]))
+
+
+def mode_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.travel_modes(label_pairs(mode_label_lines(spark, sf_dir), [MODE_SECTION]))
 
 
 def country_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,6 +280,22 @@ def port_split_untrimmed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rejected_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs whose code is no number: every fifth size of the parts."""
+    return label_rejects(label_pairs(mode_label_lines(spark, sf_dir), [MODE_SECTION])).drop("position")
+
+
+def resolved_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ports with state codes, state names, another order of blanks, states after the last blank, or none."""
+    return ports.resolve_ports(fx.spelled_ports(spark, sf_dir), fx.named_states(spark, sf_dir))
+
+
+def unmatched_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Why ports fall out of the city share, with their visits."""
+    visits = analytics.count_visits(fx.visits(spark, sf_dir), "airport_code")
+    return ports.unmatched_ports(resolved_ports(spark, sf_dir), fx.demography(spark, sf_dir), visits)
+
+
 # --- demography ------------------------------------------------------------------------------
 
 
@@ -303,6 +333,10 @@ def demography_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.city_demography(read_demography(spark, city_files(spark, sf_dir)))
 
 
+def rejected_city_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bad_city_cells(spark, city_files(spark, sf_dir))
+
+
 def dedup_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_per_key(
         fx.table(spark, sf_dir, "customer"), ["c_nationkey", "c_mktsegment"], ["c_acctbal"]
@@ -492,10 +526,10 @@ def dq_unreadable_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- lake ------------------------------------------------------------------------------------
 
 
-def new_lake(spark: SparkSession, sf_dir: str) -> str:
-    """A lake of its own with all visits, a folder per month and nation."""
+def new_lake(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> str:
+    """A lake of its own with all visits, or those of some records; a folder per month and nation."""
     root = new_scratch_path(spark, "lake")
-    write_visits(fx.regional_visits(spark, sf_dir), root)
+    load_visits(spark, fx.raw_regional_visits(spark, sf_dir) if raw is None else raw, root)
     return root
 
 
@@ -515,6 +549,11 @@ def fact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def top_ports_last_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.top_ports_of_last_month(fx.visits(spark, sf_dir), fx.ports(spark, sf_dir))
+
+
+def lake_top_ports_last_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest month there is, known from the lake's version."""
     root = shared_lake(spark, sf_dir)
     return analytics.top_ports_of_last_month(
         read_visits(spark, root), fx.regional_ports(spark, sf_dir), months=read_months(spark, root)
@@ -539,6 +578,53 @@ def lake_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_months(spark, shared_lake(spark, sf_dir))
 
 
+def counted_top_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first question from the maintained counts: no visit is read."""
+    counts = read_counts(spark, shared_lake(spark, sf_dir))
+    return analytics.top_ports_of_month(counts, fx.regional_ports(spark, sf_dir), MONTH)
+
+
+def counted_visit_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.visit_share(
+        read_counts(spark, shared_lake(spark, sf_dir)),
+        fx.regional_ports(spark, sf_dir),
+        fx.demography(spark, sf_dir),
+        fx.states(spark, sf_dir),
+    )
+
+
+def counted_top_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = read_counts(spark, shared_lake(spark, sf_dir))
+    return analytics.top_countries(counts, fx.countries(spark, sf_dir), LAKE_PORT, k=10)
+
+
+def appended_lake(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """A lake without the records of one nation and of the first travel mode, to which all records come late, some of
+    them twice; and the report of that."""
+    raw = fx.raw_regional_visits(spark, sf_dir)
+    root = new_lake(spark, sf_dir, raw.where((F.col("i94port") != LAKE_PORT) & (F.col("i94mode") > 1)))
+    late = new_scratch_path(spark, "late")
+    copies = F.when(F.col("i94mode") > 3, 2).otherwise(1)
+    raw.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop("copy").write.parquet(late)
+    return root, append_visits(spark, late, root)
+
+
+def late_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_visits(spark, appended_lake(spark, sf_dir)[0])
+
+
+def late_visits_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the append reports, and the visits in the counts and in the table of months after it."""
+    root, report = appended_lake(spark, sf_dir)
+    sums = {"immigration_counts": read_counts(spark, root).agg(F.sum("immigrant_visits").alias("row_count")),
+            "immigration_months": read_months(spark, root).agg(F.sum("visits").alias("row_count"))}
+    for table, total in sums.items():
+        report = report.unionByName(
+            total.select(F.lit(table).alias("table_name"), F.lit("visits").alias("measure"), "row_count")
+        )
+    return report
+
+
 def dim_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_scratch_path(spark, "lake")
     write_dimension(fx.ports(spark, sf_dir), root, PORTS)
@@ -605,7 +691,7 @@ def fact_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_part(what: str) -> dict:
     """QUERIES or ORACLE_SQL of the training-data operators and their pipeline."""
-    if not HAS_LLM:
+    if llm_queries is None:
         return {}
     pipeline = corpus_pipeline.run if what == "QUERIES" else corpus_pipeline.ORACLE_SQL
     return getattr(llm_queries, what) | ({"pipeline": pipeline} if pipeline else {})
@@ -662,9 +748,24 @@ def queries() -> dict[str, Query]:
         "job_report": job_report,
         "job_visits": job_visits,
         "fact_types": fact_types,
+        "lake_top_ports_last_month": lake_top_ports_last_month,
+        "counted_top_ports": counted_top_ports,
+        "counted_visit_share": counted_visit_share,
+        "counted_top_countries": counted_top_countries,
+        "late_visits": late_visits,
+        "late_visits_report": late_visits_report,
+        "rejected_city_cells": rejected_city_cells,
+        "rejected_labels": rejected_labels,
+        "resolved_ports": resolved_ports,
+        "unmatched_ports": unmatched_ports,
     }
 
 
+def prepare(spark: SparkSession, sf_dir: str) -> None:
+    """Write what several queries share, so that none of them pays for it alone."""
+    shared_lake(spark, sf_dir)
+
+
 # --- SQL to compare with ---------------------------------------------------------------------
 
 RAW = """
@@ -872,6 +973,41 @@ UNREADABLE = {
 } | {"blank__airport_code": "SELECT 0"}
 
 
+def _port_oracles() -> dict[str, str]:
+    """SQL of the ports whose states are spelled in six ways, and of those that match no city."""
+    resolved = f"""
+        WITH {STAR},
+        spelled AS (
+            SELECT 'P' || CAST(s_suppkey AS VARCHAR) AS airport_code, n_name AS city, s_suppkey % 6 AS way,
+                   (['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'])[s_suppkey % 5 + 1] AS state
+            FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+        resolved AS (
+            SELECT airport_code, city || CASE WHEN way = 5 OR way = 3 AND state = 'MACHINERY' THEN CASE way WHEN 5 THEN '' ELSE ' MACHINERY' END ELSE '' END AS city,
+                   CASE WHEN way = 5 THEN NULL WHEN way = 4 THEN 'FAR AWAY'
+                        WHEN state = 'MACHINERY' THEN CASE way WHEN 0 THEN state WHEN 1 THEN 'state of machinery' WHEN 2 THEN 'State  Of Machinery' END
+                        ELSE state END AS us_state_id,
+                   CASE WHEN way = 5 OR way = 3 AND state = 'MACHINERY' THEN 'no state'
+                        WHEN way = 4 OR state = 'MACHINERY' THEN 'unknown state'
+                        WHEN way = 0 THEN 'code' WHEN way = 3 THEN 'last word' ELSE 'name' END AS matched_by
+            FROM spelled)
+    """
+    return {
+        "resolved_ports": f"{resolved} SELECT * FROM resolved",
+        "unmatched_ports": f"""{resolved}
+            SELECT reason, COUNT(*) AS ports, CAST(coalesce(SUM(n), 0) AS BIGINT) AS immigrant_visits
+            FROM (SELECT r.airport_code,
+                         CASE WHEN matched_by IN ('no state', 'unknown state') THEN matched_by
+                              ELSE 'no such city' END AS reason
+                  FROM resolved r
+                  WHERE matched_by IN ('no state', 'unknown state') OR NOT EXISTS
+                      (SELECT 1 FROM demography d WHERE d.city = r.city AND d.state_id = r.us_state_id)) u
+            LEFT JOIN (SELECT airport_code, COUNT(*) AS n FROM visits GROUP BY airport_code) v
+                ON v.airport_code = u.airport_code
+            GROUP BY reason
+        """,
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     year, month = REFRESHED
     return llm_part("ORACLE_SQL") | {
@@ -980,11 +1116,47 @@ def oracle_sql() -> dict[str, str]:
         """,
         "top_ports_sql": _top_ports(f"month = {MONTH}"),
         "top_ports_of_month": _top_ports(f"month = {MONTH}"),
-        "top_ports_last_month": _lake_top_ports(
+        "top_ports_last_month": _top_ports(
             "year * 12 + month = (SELECT max(year * 12 + month) FROM visits)"
         ),
+        "lake_top_ports_last_month": _lake_top_ports(
+            "year * 12 + month = (SELECT max(year * 12 + month) FROM visits)"
+        ),
+        "counted_top_ports": _lake_top_ports(f"month = {MONTH}"),
+        "counted_visit_share": f"""
+            WITH {LAKE}
+            SELECT d.city, st.us_state_name, v.immigrant_visits, d.total_population,
+                   CASE WHEN d.total_population > 0
+                        THEN v.immigrant_visits / d.total_population END AS immigrant_share
+            FROM (SELECT airport_code, COUNT(*) AS immigrant_visits FROM lake GROUP BY airport_code) v
+            JOIN lake_ports p ON p.airport_code = v.airport_code
+            JOIN demography d ON p.city = d.city AND p.us_state_id = d.state_id
+            JOIN states st ON d.state_id = st.us_state_id
+            ORDER BY immigrant_share DESC NULLS LAST, v.immigrant_visits DESC, d.city, v.airport_code,
+                     st.us_state_name, d.total_population NULLS FIRST
+            LIMIT 5
+        """,
+        "late_visits": f"WITH {LAKE} SELECT DISTINCT * FROM lake",
+        "late_visits_report": f"""
+            WITH {LAKE}, known AS (
+                SELECT DISTINCT * FROM lake WHERE airport_code <> '{LAKE_PORT}' AND travel_mode_id > 1)
+            {_measures(VISITS, rows="(SELECT COUNT(*) FROM (SELECT DISTINCT * FROM lake)) - (SELECT COUNT(*) FROM known)",
+                       known__visits="SELECT COUNT(*) FROM known", **UNREADABLE)}
+            UNION ALL {_measures("immigration_counts", visits="SELECT COUNT(*) FROM (SELECT DISTINCT * FROM lake)")}
+            UNION ALL {_measures("immigration_months", visits="SELECT COUNT(*) FROM (SELECT DISTINCT * FROM lake)")}
+        """,
+        "rejected_city_cells": """
+            SELECT 'female_population' AS column_name, COUNT(*) AS bad_cells
+            FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 13 = 0
+        """,
+        "rejected_labels": f"""
+            SELECT '{MODES}' AS table_name, '{MODE_SECTION}' AS section, p_brand AS source,
+                   'X' || CAST(p_partkey AS VARCHAR) AS code, p_name AS name
+            FROM part WHERE p_size % 5 = 0
+        """,
+        **_port_oracles(),
         "lake_top_ports": _lake_top_ports(f"year = {year} AND month = {month}"),
-        "lake_top_countries": f"""
+        **dict.fromkeys(("lake_top_countries", "counted_top_countries"), f"""
             WITH {LAKE}
             SELECT c.country_name AS country_of_origin, v.immigrant_visits
             FROM (SELECT citizen_country_id, COUNT(*) AS immigrant_visits FROM lake
@@ -992,7 +1164,7 @@ def oracle_sql() -> dict[str, str]:
                   ORDER BY immigrant_visits DESC, citizen_country_id NULLS LAST LIMIT 10) v
             JOIN countries c ON v.citizen_country_id = c.country_id
             ORDER BY v.immigrant_visits DESC, v.citizen_country_id
-        """,
+        """),
         "lake_months": f"""
             WITH {LAKE} SELECT year, month, COUNT(*) AS visits FROM lake GROUP BY year, month
         """,

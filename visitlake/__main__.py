@@ -16,6 +16,7 @@ def main() -> None:
     parser.add_argument(
         "--partitions", type=int, help="ranges of visits to write, else the session's number"
     )
+    parser.add_argument("--rejects", action="store_true", help="also count cells and codes that cannot be read")
     arguments = parser.parse_args()
     spark = SparkSession.builder.appName("visitlake").getOrCreate()
     run(
@@ -25,7 +26,8 @@ def main() -> None:
         arguments.labels,
         arguments.target,
         arguments.partitions,
-    ).show(truncate=False)
+        rejects=arguments.rejects,
+    ).show(100, truncate=False)
 
 
 if __name__ == "__main__":

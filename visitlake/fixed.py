@@ -57,9 +57,13 @@ VISAS = "dim_visa_category"
 STATES = "dim_us_states"
 PORTS = "dim_airport_codes"
 
+#: Sections whose codes are whole numbers, and the tables they become.
+NUMBERED_SECTIONS = {MODE_SECTION: MODES, COUNTRY_SECTION: COUNTRIES, VISA_SECTION: VISAS}
+
 VISIT_PARTITIONS = ["year", "month", "airport_code"]
 VISIT_PARTITION_KINDS = ["int", "int", "string"]
 VISIT_MONTHS = "immigration_months"
+VISIT_COUNTS = "immigration_counts"
 
 # Primary key of each dimension.
 DIMENSION_KEYS = {

@@ -148,6 +148,28 @@ def ports(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spelled_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same ports with their states in six ways: as code, as name, as name with blanks, after the city without a
+    comma, as a place that is no state, and not at all. Their names are those of ``named_states``."""
+    way = F.col("s_suppkey") % 6
+    state = F.get(F.array(*[F.lit(name) for name in SEGMENTS]), (F.col("s_suppkey") % 5).cast("int"))
+    written = (
+        F.when(way == 0, state)
+        .when(way == 1, F.concat(F.lit("state of "), F.lower(state)))
+        .when(way == 2, F.concat(F.lit("State  Of "), F.initcap(state)))
+        .when(way == 4, "FAR AWAY")
+    )
+    return (
+        table(spark, sf_dir, "supplier")
+        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        .select(
+            port_code("s_suppkey").alias("airport_code"),
+            F.when(way == 3, F.concat_ws(" ", "n_name", state)).otherwise(F.col("n_name")).alias("city"),
+            written.alias("us_state_id"),
+        )
+    )
+
+
 def demography(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Population of a nation and segment: its customers with a high balance, perhaps none."""
     return (
@@ -171,6 +193,12 @@ def states(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def named_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The states under names that are not their codes in other letters."""
+    name = F.concat(F.lit("State of "), F.initcap("us_state_name"))
+    return states(spark, sf_dir).withColumn("us_state_name", name)
+
+
 def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations as countries, less every seventh, so that some keys have no country."""
     return (

@@ -18,7 +18,8 @@ from operator import or_
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitlake.functions import strip_label
+from visitlake.fixed import NUMBERED_SECTIONS
+from visitlake.functions import label_id, strip_label
 
 END = ";"
 EQUALS = "="
@@ -82,6 +83,22 @@ def load_faults(lines: DataFrame, sections: Sequence[str]) -> DataFrame:
     return missing.unionByName(still_open)
 
 
+def label_rejects(pairs: DataFrame) -> DataFrame:
+    """Rows (table_name, section, source, position, code, name): pairs whose code should be a number and is none.
+
+    Their key in the table is NULL.
+    """
+    table = F.coalesce(*[F.when(F.col("section") == name, table) for name, table in NUMBERED_SECTIONS.items()])
+    return pairs.where(F.col("section").isin(*NUMBERED_SECTIONS) & label_id("code").isNull()).select(
+        table.alias("table_name"), "section", "source", "position", "code", "name"
+    )
+
+
+def label_code_report(pairs: DataFrame) -> DataFrame:
+    """Rows (table_name, codes): number of codes that are no number, for the tables that have any."""
+    return label_rejects(pairs).groupBy("table_name").agg(F.count(F.lit(1)).alias("codes"))
+
+
 def _bounds(lines: DataFrame, sections: Sequence[str]) -> DataFrame:
     """Per text and section: first line, offset of the name in it, last line (NULL if open).
 

@@ -16,7 +16,10 @@ VISIT_COUNT = "immigrant_visits"
 
 
 def count_visits(visits: DataFrame, *keys: str) -> DataFrame:
-    return visits.groupBy(*keys).agg(F.count(F.lit(1)).alias(VISIT_COUNT))
+    """Visits per key; of rows that are counted already (``read_counts``), their sums."""
+    counted = VISIT_COUNT in visits.columns
+    number = F.sum(VISIT_COUNT) if counted else F.count(F.lit(1))
+    return visits.groupBy(*keys).agg(number.alias(VISIT_COUNT))
 
 
 def in_last_month(visits: DataFrame, months: DataFrame | None = None) -> DataFrame:

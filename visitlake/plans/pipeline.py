@@ -1,7 +1,9 @@
-"""The batch job: read, build, check, write."""
+"""The batch job: read, build, write aside, check, publish."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ from visitlake.fixed import (
 )
 from visitlake.functions import not_whole, unreadable_sas_date, whole_number
 from visitlake.operators import label_pairs
-from visitlake.operators.labels import load_faults
+from visitlake.operators.labels import label_code_report, load_faults
 from visitlake.operators.quality import (
     fill_report,
     key_report,
@@ -28,9 +30,19 @@ from visitlake.operators.quality import (
 )
 from visitlake.plans.star import build_star, city_demography, immigration_facts
 from visitlake.scratch import drop_scratch, via_path
-from visitlake.sinks import refresh_month, write_dimension, write_visits
-from visitlake.sources import read_demography, read_raw_visits, read_visits
+from visitlake.sinks import refresh_month, write_dimension
+from visitlake.sinks.records import (
+    LEFT_OUT,
+    PRINTS,
+    RECORDS,
+    distinct_records,
+    measure_columns,
+    write_distinct,
+)
+from visitlake.sources import read_demography, read_raw_visits
+from visitlake.sources.demography import bad_city_cells
 from visitlake.sources.labels import write_label_lines
+from visitlake.versions import Staged, current_version, read_months_of
 
 REPORT = "table_name string, measure string, row_count bigint"
 ROWS = "rows"
@@ -39,7 +51,11 @@ LISTED = 20
 
 
 class DataQualityError(ValueError):
-    """A table failed its checks; nothing was written."""
+    """A table failed its checks; nothing was published."""
+
+
+#: Gets the report of what a job has written and not yet published; returns what speaks against it.
+Audit = Callable[[list[tuple[str, str, int]]], list[str]]
 
 
 def run(
@@ -49,44 +65,61 @@ def run(
     labels_path: str,
     root: str,
     partitions: int | None = None,
+    audit: Audit | None = None,
+    rejects: bool = False,
 ) -> DataFrame:
-    """Build the star schema from the three inputs and write it under ``root``.
-
-    All checks come before the first write, and all failures are raised at once. The returned
-    report (table_name, measure, row_count) has the rows of each table, and for the visits the
-    records whose dates, year or month could not be read or whose port is empty, and the rows
-    whose keys no dimension has. Rows of the visits are counted as they are written.
+    """Build the star schema from the three inputs and publish it as the next version of ``root``.
+
+    All tables are written aside, checked as written, and then published in one step: readers see the lake as it
+    was before or as a whole. All failures are raised at once, with those that ``audit`` finds in the report, and
+    leave nothing behind. The raw visits are read once. The report (table_name, measure, row_count)
+    has the rows of each table; for the visits the records, those
+    whose dates, year or month could not be read or whose port is empty, and the rows
+    whose keys no dimension has. With ``rejects`` also, where there are any, the cells of the cities that do not fit
+    their column and the label codes that are no number.
     """
-    raw_visits = read_raw_visits(spark, visits_path)
     scratch = [write_label_lines(spark, labels_path)]
     try:
         lines = spark.read.parquet(scratch[0])
         scratch.append(via_path(label_pairs(lines, LABEL_SECTIONS), "label-pairs"))
         pairs = spark.read.parquet(scratch[1])
-        star = build_star(raw_visits, read_demography(spark, demography_path), pairs)
-
-        records, *measures = raw_report(raw_visits).collect()
-        dimensions = dimension_report(star).collect()
-        require_passed(
-            section_problems(load_faults(lines, LABEL_SECTIONS))
-            + visit_problems(records.row_count)
-            + key_problems(dimensions)
-        )
-        counts = [(VISITS, ROWS, write_visits(star[VISITS], root, partitions))]
-        for table in DIMENSION_KEYS:
-            write_dimension(star[table], root, table)
-        star[VISITS] = read_visits(spark, root)
-        counts += [(row.table_name, ROWS, row.row_count) for row in dimensions]
-        counts += [tuple(row) for row in measures]
-        for row in orphan_report(star_orphans(star)).collect():
-            counts.append((VISITS, f"orphan {row.column_name}", row.orphan_rows))
-            counts.append((VISITS, f"empty {row.column_name}", row.null_rows))
+        raw_visits, raw_cities = read_raw_visits(spark, visits_path), read_demography(spark, demography_path)
+        star = build_star(raw_visits, raw_cities, pairs)
+        with Staged(spark, root) as staged:
+            written = {table: staged.table(star[table], table) for table in DIMENSION_KEYS}
+            dimensions = dimension_report(written).collect()
+            problems = section_problems(load_faults(lines, LABEL_SECTIONS)), key_problems(dimensions)
+            if any(problems):  # the visits are not written in vain
+                problems = [*problems[0], *visit_problems(0 if raw_visits.isEmpty() else 1), *problems[1]]
+                require_passed(problems)
+            rows, measures = _stage_records(staged, distinct_records(raw_visits), partitions, keep=False)
+            require_passed(visit_problems(rows))
+            measures.pop(LEFT_OUT)
+            counts = _visit_rows(rows, measures)
+            counts[1:1] = [(row.table_name, ROWS, row.row_count) for row in dimensions]
+            for row in orphan_report(star_orphans({**written, VISITS: staged.stored})).collect():
+                counts.append((VISITS, f"orphan {row.column_name}", row.orphan_rows))
+                counts.append((VISITS, f"empty {row.column_name}", row.null_rows))
+            if rejects:
+                counts += _rejects(bad_city_cells(spark, demography_path), label_code_report(pairs))
+            require_passed(audit(counts) if audit else [])
+            staged.publish()
     finally:
         for path in scratch:
             drop_scratch(spark, path)
     return spark.createDataFrame(counts, REPORT)
 
 
+def load_visits(spark: SparkSession, raw: DataFrame, root: str, partitions: int | None = None) -> DataFrame:
+    """Publish the visits of raw records alone; the dimensions stay as they are. Returns their report."""
+    with Staged(spark, root) as staged:
+        rows, measures = _stage_records(staged, distinct_records(raw), partitions, keep=False)
+        require_passed(visit_problems(rows))
+        staged.publish()
+    measures.pop(LEFT_OUT)
+    return spark.createDataFrame(_visit_rows(rows, measures), REPORT)
+
+
 def refresh_visits(
     spark: SparkSession,
     visits_path: str,
@@ -95,12 +128,84 @@ def refresh_visits(
     month: int,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Replace one month of the visits table by its records in ``visits_path``.
+    """Replace one month of the visits table by its records in ``visits_path``, as the next version.
 
     Returns the same report as ``run`` for the visits, with the records of other months, which
-    are left out. A month without any record is refused, not emptied.
+    are left out. A month without any record is refused, not emptied. The records are read once.
     """
     raw = read_raw_visits(spark, visits_path)
+    if current_version(spark, root) is None:
+        return _refresh_in_place(spark, raw, root, year, month, partitions)
+    with Staged(spark, root) as staged:
+        records = distinct_records(raw, in_month(year, month))
+        rows, measures = _stage_records(staged, records, partitions, keep=False, replaced=[(year, month)])
+        require_passed(visit_problems(rows))
+        staged.publish()
+    return spark.createDataFrame(_visit_rows(rows, measures), REPORT)
+
+
+def append_visits(
+    spark: SparkSession, visits_path: str, root: str, partitions: int | None = None
+) -> DataFrame:
+    """Add late records of any months, less those that the lake has already, as the next version.
+
+    The lake then equals one that was loaded from all records together. Of the visits, only the two prints
+    in the months of the late records are read: those that a late record has too, and without these the
+    late records are written. Where both sides are large, Spark filters the prints by a Bloom filter of the
+    late ones before it shuffles them. The report counts the rows added, the records read and those already there.
+    """
+    scratch = []
+    try:
+        scratch.append(via_path(distinct_records(read_raw_visits(spark, visits_path)), "late-records"))
+        late = spark.read.parquet(scratch[0])
+        with Staged(spark, root) as staged:
+            if staged.base is None:
+                raise ValueError(f"{root} has no version to add to")
+            prints = late.select(*PRINTS).schema
+            months = {(row.year, row.month) for row in late.select("year", "month").distinct().collect()}
+            stored = read_months_of(spark, root, staged.base, VISITS, prints, only=months).select(*PRINTS)
+            known = stored.join(late.select(*PRINTS), PRINTS, "left_semi")
+            new = late.join(known, PRINTS, "left_anti")
+            rows, _ = _stage_records(staged, new, partitions, keep=True)
+            measures = late.agg(*measure_columns()).first().asDict()
+            measures.pop(LEFT_OUT)
+            repeated = late.count() - rows
+            if rows:
+                staged.publish()
+    finally:
+        for path in scratch:
+            drop_scratch(spark, path)
+    report = [*_visit_rows(rows, measures), (VISITS, "known visits", repeated)]
+    return spark.createDataFrame(report, REPORT)
+
+
+def _stage_records(
+    staged: Staged, records: DataFrame, partitions: int | None, keep: bool, replaced: Sequence[tuple] = ()
+) -> tuple[int, dict[str, int]]:
+    """Write ``distinct_records`` aside; returns the number of visits and the measures of the records."""
+    measures = {}
+
+    def write(path: str):
+        schema, found = write_distinct(records, path, partitions)
+        measures.update(found)
+        return schema
+
+    return staged.visits(write, keep, replaced), measures
+
+
+def _visit_rows(rows: int, measures: dict[str, int]) -> list[tuple[str, str, int]]:
+    return [(VISITS, ROWS, rows)] + [(VISITS, name, n) for name, n in measures.items() if name != RECORDS]
+
+
+def _rejects(city_cells: DataFrame, label_codes: DataFrame) -> list[tuple[str, str, int]]:
+    cells = [(DEMOGRAPHY, f"bad cells in {row.column_name}", row.bad_cells) for row in city_cells.collect()]
+    return cells + [(row.table_name, "codes that are no number", row.codes) for row in label_codes.collect()]
+
+
+def _refresh_in_place(
+    spark: SparkSession, raw: DataFrame, root: str, year: int, month: int, partitions: int | None
+) -> DataFrame:
+    """The same for a folder without versions: the month's folder is overwritten."""
     of_month = in_month(year, month)
     records, *measures = raw_report(raw, left_out=~of_month).collect()
     left_out = measures.pop()
@@ -149,9 +254,16 @@ def raw_report(raw_visits: DataFrame, left_out: Column | None = None) -> DataFra
 def refresh_demography(spark: SparkSession, demography_path: str, root: str) -> int:
     """Replace the city table; returns the number of cities."""
     cities = city_demography(read_demography(spark, demography_path))
-    report = key_report(DEMOGRAPHY, cities, DIMENSION_KEYS[DEMOGRAPHY]).collect()
-    require_passed(key_problems(report))
-    write_dimension(cities, root, DEMOGRAPHY)
+    if current_version(spark, root) is None:
+        report = key_report(DEMOGRAPHY, cities, DIMENSION_KEYS[DEMOGRAPHY]).collect()
+        require_passed(key_problems(report))
+        write_dimension(cities, root, DEMOGRAPHY)
+        return report[0].row_count
+    with Staged(spark, root) as staged:
+        written = staged.table(cities, DEMOGRAPHY)
+        report = key_report(DEMOGRAPHY, written, DIMENSION_KEYS[DEMOGRAPHY]).collect()
+        require_passed(key_problems(report))
+        staged.publish()
     return report[0].row_count
 
 

@@ -48,11 +48,12 @@ def name_visits(raw: DataFrame) -> DataFrame:
     Day numbers become dates, year and month whole numbers, and an empty port code becomes NULL,
     because a folder cannot tell the two apart. All other columns stay as they are stored.
     """
-    typed = raw.select(*[_typed(source, kind).alias(source) for source, _, kind in VISIT_FIELDS])
+    typed = raw.select(*[typed_field(source, kind).alias(source) for source, _, kind in VISIT_FIELDS])
     return rename_positional(typed, [name for _, name, _ in VISIT_FIELDS])
 
 
-def _typed(source: str, kind: str) -> Column:
+def typed_field(source: str, kind: str) -> Column:
+    """A field of a raw record as the visits table has it."""
     if kind == "date":
         return sas_date(source)
     if kind == "int":

@@ -28,15 +28,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def new_scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no earlier call has handed out; it goes with the session."""
     path = join_path(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
-    hadoop = _hadoop_path(spark, path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    hadoop = hadoop_path(spark, path)
+    file_system(spark, hadoop).deleteOnExit(hadoop)
     return path
 
 
 def drop_scratch(spark: SparkSession, path: str) -> None:
     """Remove what was written below a path that ``new_scratch_path`` has handed out."""
-    hadoop = _hadoop_path(spark, path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    hadoop = hadoop_path(spark, path)
+    file_system(spark, hadoop).delete(hadoop, True)
 
 
 def via_path(df: DataFrame, name: str) -> str:
@@ -68,5 +68,10 @@ def join_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def file_system(spark: SparkSession, path):
+    """The file system that a path of ``hadoop_path`` lies in."""
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
