@@ -2,6 +2,7 @@
 
 import math
 import random
+import struct
 
 import pytest
 from pyspark.sql import functions as F
@@ -55,6 +56,32 @@ def test_awkward_vectors(spark):
     assert found(spark, rows) == brute_force(rows)
 
 
+def clamped(rows, k=10):
+    """Brute force with scores as near as a long can be."""
+    limit = 1.7976931348623157e308
+    whole = [(key, [math.floor(min(max(1024 * x, -limit), limit)) for x in v]) for key, v in rows]
+    out = []
+    for q, v in whole:
+        if q % 100 == 0:
+            scores = [(sum(a * b for a, b in zip(v, w)), key) for key, w in whole if key != q and len(w) == len(v)]
+            scored = sorted((-min(max(score, -(2**63)), 2**63 - 1), key) for score, key in scores)
+            out += [(q, i + 1, key, -score) for i, (score, key) in enumerate(scored[:k])]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("kind, large", [("float", 1e15), ("float", 3e38), ("double", 1e300), ("double", 1.7e308), ("double", 40000.0)])
+def test_large_components(spark, kind, large):
+    """Long rows meet every query and change nothing for the others; long queries meet every row."""
+    draw = random.Random(3)
+    rows = [(i, [exact32(draw.gauss(0, 1)) for _ in range(3)]) for i in range(400)]
+    rows += [(1000, [large, 0.0, 1.0]), (1001, [-large, large, 0.0]), (1002, [0.0, 0.0, large]), (1003, [1e5, -1e5, 1e5])]
+    if kind == "float":
+        rows = [(key, [struct.unpack("f", struct.pack("f", x))[0] for x in v]) for key, v in rows]
+    table = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+    got = voronoi.top_k(table, "vec_id", "embedding", F.col("vec_id") % 100 == 0, 10)
+    assert sorted(map(tuple, got.collect())) == clamped(rows)
+
+
 def test_fewer_than_k_and_none(spark):
     rows = [(0, [1.0, 2.0]), (1, [2.0, 1.0])]
     assert found(spark, rows) == brute_force(rows)

@@ -11,11 +11,14 @@ At scale: pivots are a fixed number of rows; only they and the summaries (k + 1
 through the driver. A group is cut into blocks of ``BLOCK_ROWS``, so a pivot that a third of
 all rows lie near uses many tasks, and queries into blocks of ``BLOCK_QUERIES``. Where bounds cannot
 prune, as with vectors in random directions, every query meets every block: rows times queries.
+Distances are exact as long as squared norms are below ``LARGEST_NORM2`` (components of some ten thousands). Longer
+rows have no pivot and meet every query, and longer queries meet every group.
 
 Defined results: vectors that are null or hold null or non-finite components, and null ids, take no part.
 Vectors are compared with those of their own length only. Rows that repeat an id are candidates of
 their own, but never for the query of that id; of queries that repeat an id the least vector counts.
-Ties go to the smaller id. Columns that are not named do not matter; an empty table gives no rows.
+Ties go to the smaller id. A score that a long cannot hold is the nearest long, and ties there; 1024 * x beyond
+doubles is the largest double. Columns that are not named do not matter; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,11 +41,14 @@ BLOCK_QUERIES = 4096
 #: Whole numbers up to here are exact in doubles.
 EXACT = float(2**53)
 ROUNDING = 1e-9
+#: Squared norms up to here, and the sums that distances are made of, are exact in doubles.
+LARGEST_NORM2 = float(2**50)
+LEAST_LONG, MOST_LONG = -(2**63), 2**63 - 1
 
 
 @dataclass
 class Group:
-    """What is known of the rows near one pivot; group -1 holds lengths that no pivot has."""
+    """What is known of the rows near one pivot; group -1 holds those without a pivot."""
 
     count: int
     least: float
@@ -54,10 +60,11 @@ class Group:
 def top_k(df: DataFrame, key: str, vector: str, is_query: Column, k: int = 10) -> DataFrame:
     """Rows (query_id, rank, vec_id, score)."""
     rows = _whole_vectors(df, key, vector, is_query)
-    largest = rows.agg(F.max("norm2")).first()[0] or 0.0
+    ordinary = rows.where(F.col("norm2") <= LARGEST_NORM2)
+    largest = ordinary.agg(F.max("norm2")).first()[0] or 0.0
     pivots = [
         np.frombuffer(row["v"])
-        for row in rows.orderBy(F.xxhash64("vec_id"), "v").limit(PIVOTS).select("v").collect()
+        for row in ordinary.orderBy(F.xxhash64("vec_id"), "v").limit(PIVOTS).select("v").collect()
     ]
     assigned = via_table(_assign(rows, pivots, largest), "voronoi-rows")
     groups = _summaries(assigned, k)
@@ -104,7 +111,8 @@ def _whole_vectors(df: DataFrame, key: str, vector: str, is_query: Column) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("values")
-            flat = np.floor(SCALE * lists.flatten().to_numpy(zero_copy_only=False))
+            with np.errstate(over="ignore"):
+                flat = np.nan_to_num(np.floor(SCALE * lists.flatten().to_numpy(zero_copy_only=False)))
             ends = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
             vectors = [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
             yield pa.RecordBatch.from_arrays(
@@ -113,7 +121,7 @@ def _whole_vectors(df: DataFrame, key: str, vector: str, is_query: Column) -> Da
                     batch.column("is_query"),
                     pa.array(np.diff(ends), pa.int32()),
                     pa.array([v.tobytes() for v in vectors], pa.binary()),
-                    pa.array([float(v @ v) for v in vectors], pa.float64()),
+                    pa.array(_norms2(vectors), pa.float64()),
                 ],
                 names=["vec_id", "is_query", "length", "v", "norm2"],
             )
@@ -122,6 +130,11 @@ def _whole_vectors(df: DataFrame, key: str, vector: str, is_query: Column) -> Da
     return map_batches(source, run, schema)
 
 
+def _norms2(vectors: list[np.ndarray] | np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return np.array([float(v @ v) for v in vectors])
+
+
 def _distances(points: np.ndarray, norms: np.ndarray, pivots: np.ndarray, largest: float) -> np.ndarray:
     """Distances of rows to pivots, both with the further coordinate."""
     pivot_norms = (pivots**2).sum(1)
@@ -156,6 +169,8 @@ def _assign(rows: DataFrame, pivots: list[np.ndarray], largest: float) -> DataFr
             norms = batch.column("norm2").to_numpy()
             for length, at, points in _by_length(batch):
                 numbers, centres = _pivots_of(pivots, length)
+                ordinary = norms[at] <= LARGEST_NORM2
+                at, points = at[ordinary], points[ordinary]
                 if len(numbers):
                     apart = _distances(points, norms[at], centres, largest)
                     nearest = apart.argmin(1)
@@ -208,11 +223,12 @@ def _send(
             ids, values, out = batch.column("vec_id").to_numpy(), batch.column("v"), []
             for length, at, points in _by_length(batch):
                 numbers, centres = _pivots_of(pivots, length)
-                norms = (points**2).sum(1)
-                apart = np.sqrt(
-                    np.maximum(norms[:, None] + largest - 2 * points @ centres.T, 0)
-                )
-                wanted = _wanted(apart, ids[at], [groups.get((length, i)) for i in numbers], k)
+                norms = _norms2(points)
+                own = [groups.get((length, i)) for i in numbers]
+                wanted = np.tile([group is not None for group in own], (len(at), 1)).astype(bool)
+                some = np.flatnonzero(norms <= LARGEST_NORM2)
+                apart = norms[some, None] + largest - 2 * points[some] @ centres.T
+                wanted[some] = _wanted(np.sqrt(np.maximum(apart, 0)), ids[at[some]], own, k)
                 for column, pivot in enumerate(numbers):
                     for place in at[wanted[:, column]]:
                         out += [(length, pivot, b, place) for b in range(blocks[length, pivot])]
@@ -264,13 +280,16 @@ def _solve(rows: pa.Table, queries: pa.Table, k: int) -> pa.Table:
     length = rows["length"][0].as_py()
     points = np.frombuffer(b"".join(rows["v"].to_pylist())).reshape(rows.num_rows, length)[order]
     asked = np.frombuffer(b"".join(queries["v"].to_pylist())).reshape(queries.num_rows, length)
-    if length and np.abs(points).max() * np.abs(asked).max() * length >= EXACT:
+    # Divided, not multiplied: the product may be beyond doubles.
+    if length and np.abs(points).max() >= EXACT / length / max(np.abs(asked).max(), 1.0):
         points, asked = (np.array([[int(x) for x in v] for v in m], object) for m in (points, asked))
     query_ids = queries["vec_id"].to_numpy()
     found: list[tuple[np.ndarray, ...]] = []
     for start in range(0, len(asked), 128):
         some = query_ids[start : start + 128]
         scores = asked[start : start + 128] @ points.T
+        if scores.dtype == object:
+            scores = np.minimum(np.maximum(scores, LEAST_LONG), MOST_LONG)
         own = some[:, None] == ids[None]
         if scores.dtype == object:
             by_score = [
