@@ -139,6 +139,7 @@ def op9_runlength_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_removed",
         "n_spans",
         F.sha2("kept", 256).alias("kept_sha256"),
+        (F.col("n_removed") > 0).alias("removed"),
     )
 
 
