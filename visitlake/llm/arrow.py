@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
@@ -53,3 +55,13 @@ def pieces(batches: Iterable[pa.RecordBatch], column: int = -1) -> Iterator[pa.R
             total += size
         if start < batch.num_rows:
             yield batch.slice(start)
+
+
+def give_back() -> None:
+    """Return what a task no longer needs to the system: its Python worker lives on, beside those of other tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # only some C libraries have it
+        pass

@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from visitlake.llm.arrow import map_batches, pieces
+from visitlake.llm.arrow import give_back, map_batches, pieces
 
-#: Pieces that a Python worker remembers; beyond it the table starts anew. Results don't depend on it.
+#: Pieces that a task remembers; beyond it the table starts anew. Results don't depend on it.
 REMEMBERED_PIECES = 150_000
 REMEMBERED_LENGTH = 40
 ID = np.dtype("<u4")
@@ -80,15 +79,13 @@ class PieceIds(dict):
         return packed
 
 
-@lru_cache(maxsize=2)
 def _encoder(path: str, pattern: str):
-    """The splitter and the piece table; built once in each Python worker."""
+    """The splitter and the piece table of a task; a worker that is used again does not keep them."""
     import regex
 
     return regex.compile(pattern).findall, PieceIds(read_ranks(path))
 
 
-@lru_cache(maxsize=2)
 def _token_bytes(path: str) -> tuple[pa.Array, np.ndarray]:
     """Bytes and length of each id; unused ids are null and have length -1."""
     ranks = read_ranks(path)
@@ -120,6 +117,7 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, ids_of = _encoder(path, pattern)
+        lengths = _token_bytes(path)[1] if offsets else None
         for batch in pieces(batches):
             columns = batch.columns
             packed = [
@@ -129,12 +127,13 @@ def encode(
             out = [*columns[:-1], pa.array(packed, pa.binary())]
             names = [*batch.schema.names[:-1], "ids"]
             if offsets:
-                _, lengths = _token_bytes(path)
                 ends = [np.cumsum(lengths[np.frombuffer(ids, ID)]) for ids in packed]
                 starts = [np.concatenate(([0], end[:-1])) if len(end) else end for end in ends]
                 out.append(pa.array(starts, pa.list_(pa.int64())))
                 names.append("starts")
             yield pa.RecordBatch.from_arrays(out, names=names)
+        del ids_of
+        give_back()
 
     return map_batches(source, run, T.StructType(fields))
 
@@ -159,5 +158,7 @@ def decode(df: DataFrame, ids: str, path: str, keep: Sequence[str] = ()) -> Data
                 [*batch.columns[:-1], pa.array(decoded, pa.binary())],
                 names=[*batch.schema.names[:-1], "decoded"],
             )
+        del tokens, lengths
+        give_back()
 
     return map_batches(source, run, schema)

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from visitlake.llm.arrow import map_batches, pieces
+from visitlake.llm.arrow import give_back, map_batches, pieces
 from visitlake.llm.textbytes import (
     LOWER_VALUES,
     Texts,
@@ -221,21 +221,24 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def score(
     docs: DataFrame, text: str, metadata: str, model: Model, keep: Sequence[str], name: str = "score"
 ) -> DataFrame:
-    """The columns in ``keep`` and the score of each row."""
+    """The columns in ``keep`` and the score of each row. A text that is kept is sent to Python once."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    kept_text = text in keep and docs.schema[text].dataType == T.StringType()
     source = docs.select(
         *[F.col(column) for column in keep],
+        *([] if kept_text else [F.col(text).cast("string").alias("__text")]),
         F.coalesce(F.col(metadata).cast("double"), F.lit(0.0)).alias("__metadata"),
-        F.col(text).cast("string").alias("__text"),
     )
-    schema = T.StructType([*source.schema.fields[:-2], T.StructField(name, T.DoubleType())])
+    place = keep.index(text) if kept_text else len(keep)
+    schema = T.StructType([*source.schema.fields[: len(keep)], T.StructField(name, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            found = features(texts_of(batch.column("__text")), batch.column("__metadata").to_numpy())
+        for batch in pieces(batches, place):
+            found = features(texts_of(batch.column(place)), batch.column(batch.num_columns - 1).to_numpy())
             result = 1 / (1 + np.exp(-np.clip(raw_scores(sent.value, *found), -30, 30)))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-2], pa.array(result)], names=[*batch.schema.names[:-2], name]
+                [*batch.columns[: len(keep)], pa.array(result)], names=[*batch.schema.names[: len(keep)], name]
             )
+        give_back()
 
     return map_batches(source, run, schema)
