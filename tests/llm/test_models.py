@@ -105,3 +105,22 @@ def test_words_of_many_texts():
         assert got == [w.encode() for w in re.findall("[^\x20\x09-\x0d]+", text or "")]
     hashes, first = word_hashes(texts_of(pa.array(["Ab ab É é", "ab"])))
     assert hashes[0] == hashes[1] == hashes[4] and hashes[2] != hashes[3]
+
+
+def test_samples_have_one_row_of_each_id(spark, monkeypatch):
+    """One id with very many rows, labelled and chosen."""
+    sent = []
+    real = quality_fm.fit
+
+    def fit(rows, *more):
+        sent.append(len(rows))
+        return real(rows, *more)
+
+    monkeypatch.setattr(quality_fm, "fit", fit)
+    rows = [(7, f"some words {i}", "en", 1) for i in range(300)] + [(8, "other words", "fr", 1), (9, None, "en", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars long")
+    labels = spark.createDataFrame([(7, 1), (8, 0), (9, 1)], "doc_id long, quality int")
+    quality_fm.train(docs, labels, "doc_id", "text", "n_chars", "quality", F.lit(True))
+    assert sent == [3]
+    model = language.train(docs, "doc_id", "text", "lang", F.lit(True))
+    assert model.languages == ["en", "fr"]

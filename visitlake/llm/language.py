@@ -130,6 +130,8 @@ def train(docs: DataFrame, key: str, text: str, language: str, may_learn: Column
         ]
     )
     chosen = source.where(F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(spread)) < shares[F.col("lang")])
+    # One row of each id, so that the sample stays bounded whatever repeats.
+    chosen = chosen.groupBy("id").agg(F.min(F.struct("text", "lang")).alias("least")).select("id", "least.lang", "least.text")
     rows = map_batches(chosen, _counts, "id long, lang string, buckets binary, counts binary").collect()
     rows.sort(key=lambda row: (row["id"], bytes(row["buckets"]), bytes(row["counts"])))
 

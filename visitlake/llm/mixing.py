@@ -203,7 +203,7 @@ def land(p: list[float], x: list[float], open_ones: list[int], wanted: float) ->
     sizes, taken = np.array(x), np.array(p)
     if not len(sizes) or not (open_ones or abs(taken @ sizes - wanted) > 0.5):
         return
-    for _ in range(64):
+    while True:  # every flip brings the total nearer, so this ends
         missing = wanted - taken @ sizes
         change = np.where(taken == 0, sizes, -sizes)
         best = int(np.argmin(np.abs(missing - change)))

@@ -193,6 +193,8 @@ def train(
         F.coalesce(F.col(metadata).cast("double"), F.lit(0.0)).alias("metadata"),
         F.col(text).cast("string").alias("text"),
     )
+    # One row of each id, so that the sample stays bounded whatever repeats.
+    source = source.groupBy("id").agg(F.min(F.struct("text", "metadata", "label")).alias("least")).select("id", "least.label", "least.metadata", "least.text")
     fitted = map_batches(source, _feature_rows, "id long, label double, buckets binary, stats binary")
     rows = sorted(fitted.collect(), key=lambda row: (row["id"], bytes(row["buckets"])))
     return fit(
