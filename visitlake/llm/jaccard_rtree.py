@@ -7,8 +7,9 @@ link only if 7 * that sum >= 3 * (sum of both sizes), which is a similarity of 0
 1. Documents with the same shingles are one node. A node's shingles are ordered, those of
    seldom filled groups first. By the same bound with the finest groups, two nodes that link share one of the
    first n - ceil(0.75 n) + 1, so it is enough to compare nodes that meet in such a cell.
-2. In each cell every node is held against the cell's least node, so a cell of g nodes gives g - 1 pairs.
-   Pairs that pass the bounds are verified with their full sets, and linked nodes become components.
+2. In each cell every node is held against the cell's least node, so a cell of g nodes gives g - 1 pairs. The first
+   shingle that a pair shares bounds its overlap by what follows it in either, so a pair that cannot link if this
+   cell is its first is left to the cell that is. Pairs that pass the bounds are verified with their full sets, and linked nodes become components.
 3. Cells that still hold several components get packed R-trees over their points, in blocks of
    ``BLOCK`` points. Nodes outside the component of the least one search all blocks of their cell; boxes and points that
    cannot reach the overlap are skipped, and surviving pairs of different components are verified.
@@ -182,7 +183,7 @@ def group_levels(described: DataFrame) -> np.ndarray:
 
 
 def _cells(texts: DataFrame, levels: np.ndarray) -> DataFrame:
-    """Rows (cell, node, n): the shingles from the front of each document's order."""
+    """Rows (cell, node, n, place): the shingles from the front of each document's order, and their places in it."""
     sent = texts.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,11 +205,12 @@ def _cells(texts: DataFrame, levels: np.ndarray) -> DataFrame:
                     pa.array((ranked[front] & MASK).view(np.int64)),
                     pa.array(nodes[owner]),
                     pa.array(size[owner].astype(np.int32)),
+                    pa.array(place[front].astype(np.int32)),
                 ],
-                names=["cell", "node", "n"],
+                names=["cell", "node", "n", "place"],
             )
 
-    return map_batches(texts.select("text"), run, "cell long, node long, n int")
+    return map_batches(texts.select("text"), run, "cell long, node long, n int, place int")
 
 
 def _within(a: str, b: str) -> Column:
@@ -216,6 +218,13 @@ def _within(a: str, b: str) -> Column:
     return 4 * F.least(a, b) >= 3 * F.greatest(a, b)
 
 
+def _may_meet_first(n: str, place: str, other_n: str, other_place: str) -> Column:
+    """Whether two nodes can link if a shingle at these places is the first that they share: nothing before it is
+    common, so the rest of either bounds the overlap."""
+    most = F.least(F.col(n) - F.col(place), F.col(other_n) - F.col(other_place))
+    return 7 * most >= 3 * (F.col(n) + F.col(other_n))
+
+
 def _verified(texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) that link: first by their points, then by their sets."""
     for side in "ab":
@@ -325,6 +334,7 @@ def _search_cells(table: pa.Table) -> pa.Table:
     edges = np.flatnonzero(np.diff(cell[order], prepend=cell[order][0] - 1))
     node, n = table["node"].to_numpy(), table["n"].to_numpy().astype(np.int64)
     component, lead = table["component"].to_numpy(), table["lead"].to_numpy()
+    rest = n - table["place"].to_numpy()
     searches, stored = table["searches"].to_numpy(zero_copy_only=False), table["stored"].to_numpy(zero_copy_only=False)
     values = table["point"].to_pylist()
     groups = groups_of(values)
@@ -339,8 +349,10 @@ def _search_cells(table: pa.Table) -> pa.Table:
         tree = CountTree(low, over, n[data])
         for place, q in enumerate(queries):
             found = data[tree.search(asked[place], asked_over[place], n[q])]
-            # A pair with the cell's least node has been verified already.
+            # A pair with the cell's least node has been verified already; one that cannot link if this
+            # cell is the first that it shares is met in another.
             found = found[(component[found] != component[q]) & (node[found] != lead[q])]
+            found = found[7 * np.minimum(rest[found], rest[q]) >= 3 * (n[found] + n[q])]
             if node[q] != lead[q]:
                 a.extend(np.minimum(node[found], node[q]).tolist())
                 b.extend(np.maximum(node[found], node[q]).tolist())
@@ -389,9 +401,17 @@ def near_duplicates(docs: DataFrame, key: str, text: str) -> DataFrame:
         .select(F.col("cell").alias("of"), "lead")
     )
     members = via_table(
-        met.join(shared, F.col("cell") == F.col("of")).select("cell", "lead", "node", "n").distinct(), "members"
+        met.join(shared, F.col("cell") == F.col("of")).select("cell", "lead", "node", "n", "place").distinct(), "members"
+    )
+    leads = members.where(F.col("node") == F.col("lead")).select(
+        F.col("cell").alias("of"), F.col("n").alias("lead_n"), F.col("place").alias("lead_place")
+    )
+    led = (
+        members.where(F.col("node") != F.col("lead"))
+        .join(leads, F.col("cell") == F.col("of"))
+        .where(_may_meet_first("n", "place", "lead_n", "lead_place"))
+        .select(F.col("lead").alias("a"), F.col("node").alias("b"))
     )
-    led = members.where(F.col("node") != F.col("lead")).select(F.col("lead").alias("a"), F.col("node").alias("b"))
     links = _verified(texts, nodes, led.distinct())
     labels = via_table(_labelled(nodes, links), "labels")
 
@@ -446,7 +466,7 @@ def _crossing(members: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFr
         )
         .withColumn("stored", F.col("block") == F.col("home"))
         .withColumn("bucket", F.xxhash64("cell", "block"))
-        .select("cell", "block", "node", "n", "component", "lead", "searches", "stored", "point", "bucket")
+        .select("cell", "block", "node", "n", "place", "component", "lead", "searches", "stored", "point", "bucket")
     )
     partitions = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     by = [F.pmod("bucket", F.lit(8 * partitions)).alias("bucket_number")]
