@@ -9,7 +9,7 @@ link only if 7 * that sum >= 3 * (sum of both sizes), which is a similarity of 0
    first n - ceil(0.75 n) + 1, so it is enough to compare nodes that meet in such a cell.
 2. In each cell every node is held against the cell's least node, so a cell of g nodes gives g - 1 pairs. The first
    shingle that a pair shares bounds its overlap by what follows it in either, so a pair that cannot link if this
-   cell is its first is left to the cell that is. Pairs that pass the bounds are verified with their full sets, and linked nodes become components.
+   cell is its first is left to the cell that is; but every node is held against the one that it meets most. Pairs that pass the bounds are verified with their full sets, and linked nodes become components.
 3. Cells that still hold several components get packed R-trees over their points, in blocks of
    ``BLOCK`` points. Nodes outside the component of the least one search all blocks of their cell; boxes and points that
    cannot reach the overlap are skipped, and surviving pairs of different components are verified.
@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlake.llm.arrow import PIECE_ROWS, map_batches, map_groups, pieces
@@ -406,13 +406,16 @@ def near_duplicates(docs: DataFrame, key: str, text: str) -> DataFrame:
     leads = members.where(F.col("node") == F.col("lead")).select(
         F.col("cell").alias("of"), F.col("n").alias("lead_n"), F.col("place").alias("lead_place")
     )
-    led = (
+    met_leads = (
         members.where(F.col("node") != F.col("lead"))
         .join(leads, F.col("cell") == F.col("of"))
-        .where(_may_meet_first("n", "place", "lead_n", "lead_place"))
-        .select(F.col("lead").alias("a"), F.col("node").alias("b"))
+        .groupBy(F.col("lead").alias("a"), F.col("node").alias("b"))
+        .agg(F.count("*").alias("cells"), F.max(_may_meet_first("n", "place", "lead_n", "lead_place")).alias("first"))
     )
-    links = _verified(texts, nodes, led.distinct())
+    # Besides, each node with the lead that it meets most often, which unites groups of copies at once.
+    often = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("cells"), "a"))
+    led = met_leads.withColumn("often", often).where(F.col("first") | (F.col("often") == 1)).select("a", "b")
+    links = _verified(texts, nodes, led)
     labels = via_table(_labelled(nodes, links), "labels")
 
     crossing = _crossing(members, nodes, labels)
