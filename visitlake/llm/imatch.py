@@ -1,20 +1,23 @@
 """Document fingerprints by I-Match, from DataFrame functions alone.
 
 Terms of at least ``LEAST_DOCUMENTS`` documents and at most a share of ``MOST_SHARE`` of them (a band of
-the inverse document frequencies) are the lexicon. A hash of the term splits it into 2^l randomised subsets, and the first ``SUBSETS`` of these make a
-fingerprint: the distinct terms of the text that are in a subset are sorted and hashed. The level l
-grows with the number of terms, so that a subset holds few terms of a long text too; a fingerprint
-has the hashes of two neighbouring levels, so texts that differ somewhat in length can be compared.
+the inverse document frequencies) are the lexicon. A hash of the term splits it into 2^l randomised subsets, and the
+first ``SUBSETS`` of these make a fingerprint: the distinct terms of the text that are in a subset are sorted and
+hashed. The level l grows with the number of terms, so that a subset holds few terms of a long text too; a
+fingerprint has the hashes of two neighbouring levels, so texts that differ somewhat in length can be compared.
+Terms that make up at least 1 / ``MOST_HEAVY`` of a text's words and are not above the band are at most ``MOST_HEAVY``
+at every length, so they are hashed in as many subsets without levels. They tell a repetitive text of few terms from
+others even where an edit brings in many new ones. Terms below the band are hashed apart; they count only where one of
+two texts has no others, such as a text in a language of its own. Likeness is the share of equal hashes among the
+subsets that two fingerprints have in common, and needs the two fingerprints alone.
 
 At scale: document frequencies are counted with partial sums in each task. The lexicon grows with the
 corpus, so it is a table that Spark broadcasts only if its measured size is small. It meets slim rows of a
 document's place and one term, of the few terms that lie in its subsets; texts do not move for it.
 
-Defined results: a null text is empty. A text without terms of the lexicon in its subsets, such as one in a
-language of its own, is hashed by all its terms in them, and compared with others by all of theirs.
-One without any term in them is hashed as the sorted list of all its words, and is like equal texts
-only. Equal texts have equal fingerprints, and likeness 1. Columns that are not named do not matter; an empty
-table gives no rows.
+Defined results: a null text is empty. A text without any term in its subsets is hashed as the sorted list of all
+its words, and is like equal texts only. Equal texts have equal fingerprints, and likeness 1. Columns that are not
+named do not matter; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,27 +33,41 @@ FIRST_LEVEL = 4  # 2^4 subsets
 FIRST_TERMS = 32
 MOST_SHARE = 0.2
 LEAST_DOCUMENTS = 2
+#: Most terms that can each be this share's inverse of a text, and number of their subsets.
+MOST_HEAVY = 64
+HASH_DIGITS = 8
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 #: Text of a bucket of neighbouring documents, about.
 BUCKET_BYTES = 32 << 20
 QUANTILES = 64
 
 
+def words(text: Column) -> Column:
+    """Sorted hashes of the lower-case words, repeats included."""
+    pieces = F.filter(F.split(F.lower(text), WORD_BREAK), lambda word: word != "")
+    return F.sort_array(F.transform(pieces, lambda word: F.xxhash64(word)))
+
+
 def terms(text: Column) -> Column:
     """Hashes of the distinct lower-case words."""
-    words = F.filter(F.split(F.lower(text), WORD_BREAK), lambda word: word != "")
-    return F.array_distinct(F.transform(words, lambda word: F.xxhash64(word)))
+    return F.array_distinct(words(text))
+
+
+def heavy_terms(sorted_words: Column) -> Column:
+    """The distinct terms that are at least 1 / MOST_HEAVY of the words: those that repeat so far back."""
+    least = F.ceil(F.size(sorted_words) / F.lit(MOST_HEAVY)).cast("int")
+    repeated = F.filter(sorted_words, lambda word, i: F.get(sorted_words, i - least + 1) == word)
+    return F.array_distinct(repeated)
 
 
 def lexicon(texts: DataFrame, text: str, documents: int) -> DataFrame:
-    """Rows (term) whose share of the documents is in the band."""
-    share = F.col("n") / F.lit(max(documents, 1))
+    """Rows (term, common): terms whose share of the documents is in the band, and common ones above it."""
     return (
         texts.select(F.explode(terms(F.col(text))).alias("term"))
         .groupBy("term")
         .agg(F.count("*").alias("n"))
-        .where((F.col("n") >= LEAST_DOCUMENTS) & (share <= MOST_SHARE))
-        .select("term")
+        .where(F.col("n") >= LEAST_DOCUMENTS)
+        .select("term", (F.col("n") / F.lit(max(documents, 1)) > MOST_SHARE).alias("common"))
     )
 
 
@@ -63,67 +80,53 @@ def _cell(term: Column, level: Column) -> Column:
     return F.pmod(term, F.call_function("shiftleft", F.lit(1).cast("long"), level))
 
 
-def _signatures(kept: Column, level: Column) -> Column:
+def _signatures(kept: Column, level: Column, subsets: int = SUBSETS) -> Column:
     """A hash per subset of the sorted terms in it; empty where no term is."""
 
     def signature(subset: Column) -> Column:
         own = F.filter(kept, lambda term: _cell(term, level) == subset)
-        return F.when(F.size(own) == 0, "").otherwise(F.substring(F.lpad(F.hex(F.xxhash64(own)), 16, "0"), 1, 8))
+        digits = F.substring(F.lpad(F.hex(F.xxhash64(own)), 16, "0"), 1, HASH_DIGITS)
+        return F.when(F.size(own) == 0, "").otherwise(digits)
 
-    return F.transform(F.sequence(F.lit(0).cast("long"), F.lit(SUBSETS - 1).cast("long")), signature)
+    return F.transform(F.sequence(F.lit(0).cast("long"), F.lit(subsets - 1).cast("long")), signature)
 
 
-def _is_empty(signatures: Column) -> Column:
-    return F.forall(F.concat(signatures["low"], signatures["high"]), lambda x: x == "")
+def _all_empty(side: Column, *names: str) -> Column:
+    return F.forall(F.concat(*[side[name] for name in names]), lambda x: x == "")
 
 
 def _fingerprint(side: Column) -> Column:
-    """Fingerprint as text, from a struct (level, known, all, whole)."""
-
-    def joined(signatures: Column) -> Column:
-        return F.concat(
-            side["level"].cast("string"),
-            F.lit(":"),
-            F.array_join(signatures["low"], ","),
-            F.lit(";"),
-            F.array_join(signatures["high"], ","),
-        )
-
-    return (
-        F.when(~_is_empty(side["known"]), joined(side["known"]))
-        .when(~_is_empty(side["all"]), F.concat(F.lit("o:"), joined(side["all"])))
-        .otherwise(F.concat(F.lit("w:"), F.hex(side["whole"])))
+    """Fingerprint as text, from a struct (level, low, high, heavy, rare_low, rare_high, whole)."""
+    names = ("low", "high", "heavy", "rare_low", "rare_high")
+    hashed = F.concat(
+        side["level"].cast("string"), F.lit(":"), F.concat_ws(";", *[F.array_join(side[name], ",") for name in names])
     )
+    return F.when(_all_empty(side, *names), F.concat(F.lit("w:"), F.hex(side["whole"]))).otherwise(hashed)
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal hashes among the subsets that hold terms of either text, at common levels.
-
-    Terms of the lexicon count; all terms, if one of the texts has none of it.
-    """
-    own = _is_empty(a["known"]) | _is_empty(b["known"])
-    mean = F.when(own, _mean(a["level"], a["all"], b["level"], b["all"])).otherwise(
-        _mean(a["level"], a["known"], b["level"], b["known"])
-    )
-    return F.when(_fingerprint(a) == _fingerprint(b), 1.0).otherwise(F.coalesce(mean, F.lit(0.0)))
-
-
-def _mean(level_a: Column, a: Column, level_b: Column, b: Column) -> Column:
+    """Share of equal hashes among the subsets that hold terms of either text: those of levels that both
+    fingerprints have, and those of heavy terms. Rare terms count instead if one text has no others."""
     none = F.array().cast("array<string>")
+    rare = _all_empty(a, "low", "high", "heavy") | _all_empty(b, "low", "high", "heavy")
+
+    def compared(one: Column, other: Column) -> Column:
+        low, high = (F.when(rare, one[f"rare_{name}"]).otherwise(one[name]) for name in ("low", "high"))
+        levels = (
+            F.when(one["level"] == other["level"], F.concat(low, high))
+            .when(one["level"] == other["level"] + 1, low)
+            .when(one["level"] + 1 == other["level"], high)
+            .otherwise(none)
+        )
+        return F.when(rare, levels).otherwise(F.concat(one["heavy"], levels))
+
     pairs = F.zip_with(
-        F.when(level_a == level_b, F.concat(a["low"], a["high"]))
-        .when(level_a == level_b + 1, a["low"])
-        .when(level_a + 1 == level_b, a["high"])
-        .otherwise(none),
-        F.when(level_a == level_b, F.concat(b["low"], b["high"]))
-        .when(level_a == level_b + 1, b["high"])
-        .when(level_a + 1 == level_b, b["low"])
-        .otherwise(none),
-        lambda x, y: F.when((x != "") | (y != ""), (x == y).cast("double")),
+        compared(a, b), compared(b, a), lambda x, y: F.when((x != "") | (y != ""), (x == y).cast("double"))
     )
     told = F.filter(pairs, lambda x: x.isNotNull())
     total = F.aggregate(told, F.lit(0.0), lambda total, x: total + x)
-    return F.when(F.size(told) > 0, total / F.size(told))
+    share = F.when(F.size(told) > 0, total / F.size(told)).otherwise(0.0)
+    return F.when(_fingerprint(a) == _fingerprint(b), 1.0).otherwise(share)
 
 
 def with_next(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, int]:
@@ -204,45 +207,55 @@ def fingerprints(docs: DataFrame, key: str, text: str) -> DataFrame:
                 F.substring("next_text", F.lit(1), quarter),
             ),
         )
-        .withColumns({"edited_sha256": F.sha2("edited", 256), "a": terms(F.col("text")), "b": terms(F.col("edited"))})
+        .withColumn("edited_sha256", F.sha2("edited", 256))
+        .withColumns({"words_a": words(F.col("text")), "words_b": words(F.col("edited"))})
+        .withColumns({"a": F.array_distinct("words_a"), "b": F.array_distinct("words_b")})
         .withColumns({"level_a": _level(F.size("a")), "level_b": _level(F.size("b"))})
-        .withColumns({"whole_a": F.xxhash64(F.array_sort("a")), "whole_b": F.xxhash64(F.array_sort("b"))})
+        .withColumns({"whole_a": F.xxhash64("a"), "whole_b": F.xxhash64("b")})
     )
 
-    def used(side: str) -> Column:
+    def used(side: str) -> list[Column]:
         level = F.col(f"level_{side}")
-        return F.array_sort(F.filter(F.col(side), lambda term: _cell(term, level) < SUBSETS)).alias(f"used_{side}")
+        return [
+            F.filter(F.col(side), lambda term: _cell(term, level) < SUBSETS).alias(f"used_{side}"),
+            heavy_terms(F.col(f"words_{side}")).alias(f"heavy_{side}"),
+        ]
 
     slim = via_table(
         rows.select(
             "bucket", "place", "laid", "key", "n_chars", "edited_sha256",
-            "level_a", "level_b", "whole_a", "whole_b", used("a"), used("b"),
+            "level_a", "level_b", "whole_a", "whole_b", *used("a"), *used("b"),
         ),
         "imatch-terms",
     )
-    words = via_table(lexicon(docs, text, documents).withColumnRenamed("term", "known"), "lexicon")
+    counted = via_table(lexicon(docs, text, documents).withColumnRenamed("term", "counted"), "lexicon")
+    looked_up = F.array_distinct(F.concat("used_a", "used_b", "heavy_a", "heavy_b"))
     known = (
-        slim.select("bucket", "place", F.explode(F.array_union("used_a", "used_b")).alias("term"))
-        .join(words, F.col("term") == F.col("known"))
+        slim.select("bucket", "place", F.explode(looked_up).alias("term"))
+        .join(counted, F.col("term") == F.col("counted"))
         .groupBy("bucket", "place")
-        .agg(F.collect_list("term").alias("known"))
-    )
-    found = slim.join(known, ["bucket", "place"], "left").withColumn(
-        "known", F.coalesce("known", F.array().cast("array<long>"))
+        .agg(
+            F.collect_list(F.when(~F.col("common"), F.col("term"))).alias("known"),
+            F.collect_list(F.when(F.col("common"), F.col("term"))).alias("common"),
+        )
     )
-    found = found.withColumns(
-        {f"kept_{side}": F.filter(f"used_{side}", lambda term: F.array_contains("known", term)) for side in "ab"}
+    none = F.array().cast("array<long>")
+    found = slim.join(known, ["bucket", "place"], "left").withColumns(
+        {name: F.coalesce(name, none) for name in ("known", "common")}
     )
 
-    def signatures(terms_of: Column, level: Column) -> Column:
-        return F.struct(_signatures(terms_of, level).alias("low"), _signatures(terms_of, level + 1).alias("high"))
-
     def side(name: str) -> Column:
-        kept, mine, level = F.col(f"kept_{name}"), F.col(f"used_{name}"), F.col(f"level_{name}")
+        level = F.col(f"level_{name}")
+        kept = F.filter(f"used_{name}", lambda term: F.array_contains("known", term))
+        rare = F.array_except(F.array_except(f"used_{name}", "known"), "common")
+        heavy = F.filter(f"heavy_{name}", lambda term: ~F.array_contains("common", term))
         return F.struct(
             level.alias("level"),
-            signatures(kept, level).alias("known"),
-            signatures(mine, level).alias("all"),
+            _signatures(kept, level).alias("low"),
+            _signatures(kept, level + 1).alias("high"),
+            _signatures(heavy, F.lit(MOST_HEAVY.bit_length() - 1), MOST_HEAVY).alias("heavy"),
+            _signatures(rare, level).alias("rare_low"),
+            _signatures(rare, level + 1).alias("rare_high"),
             F.col(f"whole_{name}").alias("whole"),
         )
 
