@@ -244,16 +244,21 @@ def fingerprints(docs: DataFrame, key: str, text: str) -> DataFrame:
         {name: F.coalesce(name, none) for name in ("known", "common")}
     )
 
+    # Columns of their own, so that each subset does not look all of them up again.
+    for name in "ab":
+        found = found.withColumns({
+            f"kept_{name}": F.array_intersect(f"used_{name}", "known"),
+            f"rare_{name}": F.array_except(F.array_except(f"used_{name}", "known"), "common"),
+            f"most_{name}": F.array_except(f"heavy_{name}", "common"),
+        })
+
     def side(name: str) -> Column:
-        level = F.col(f"level_{name}")
-        kept = F.filter(f"used_{name}", lambda term: F.array_contains("known", term))
-        rare = F.array_except(F.array_except(f"used_{name}", "known"), "common")
-        heavy = F.filter(f"heavy_{name}", lambda term: ~F.array_contains("common", term))
+        level, kept, rare = F.col(f"level_{name}"), F.col(f"kept_{name}"), F.col(f"rare_{name}")
         return F.struct(
             level.alias("level"),
             _signatures(kept, level).alias("low"),
             _signatures(kept, level + 1).alias("high"),
-            _signatures(heavy, F.lit(MOST_HEAVY.bit_length() - 1), MOST_HEAVY).alias("heavy"),
+            _signatures(F.col(f"most_{name}"), F.lit(MOST_HEAVY.bit_length() - 1), MOST_HEAVY).alias("heavy"),
             _signatures(rare, level).alias("rare_low"),
             _signatures(rare, level + 1).alias("rare_high"),
             F.col(f"whole_{name}").alias("whole"),
