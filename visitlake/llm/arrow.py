@@ -29,9 +29,16 @@ def show_library(spark: SparkSession) -> None:
 
 
 def map_batches(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
-    """``mapInArrow``; ``run`` gets and gives iterators of record batches."""
+    """``mapInArrow``; ``run`` gets and gives iterators of record batches. Its memory goes with the task."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
     show_library(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(task, schema)
 
 
 def map_groups(
