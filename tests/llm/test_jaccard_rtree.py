@@ -90,6 +90,51 @@ def test_small_blocks(spark, monkeypatch):
     assert found(docs) == brute_force(rows)
 
 
+def test_rounds_of_few_pairs(spark, monkeypatch):
+    """Components whose best pair does not link are searched again, until all their pairs have been verified."""
+    monkeypatch.setattr(jr, "FEW", 2)
+    draw = np.random.default_rng(12)
+    words = [f"r{i}" for i in range(3000)]
+    rows = []
+    for size in (40, 44, 48):
+        base = list(draw.choice(words, size))
+        for change in (0, 1, 2, 3, 4, 5, 6, 8, 12):
+            for _ in range(3):
+                text = list(base)
+                for at in draw.integers(0, size, change):
+                    text[at] = str(draw.choice(words))
+                rows.append((len(rows), " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(docs) == brute_force(rows)
+
+
+def test_pairs_left_out_are_named():
+    """The best pairs of each component stay; one that is left out has both its components named."""
+    draw = np.random.default_rng(2)
+    for keep in (1, 3, 50):
+        nodes = np.arange(40)
+        component = nodes % 6
+        a, b = np.array([(x, y) for x in nodes for y in nodes if x < y and x % 6 != y % 6]).T
+        share = draw.integers(0, 9, len(a)) / 9
+        crossing = jr.Crossing(keep)
+        for part in np.array_split(draw.permutation(np.tile(np.arange(len(a)), 2)), 7):
+            flip = draw.integers(0, 2, len(part)).astype(bool)
+            both = np.where(flip, np.stack((a[part], b[part])), np.stack((b[part], a[part])))
+            crossing.add(both, component[both], share[part])
+            crossing.settle()
+        rows = crossing.rows().to_pylist()
+        kept = {(r["a"], r["b"]) for r in rows if not r["more"]}
+        named = {r["a"] for r in rows if r["more"]}
+        of = dict(zip(zip(a.tolist(), b.tolist()), share))
+        assert kept <= set(of) and len(kept) <= 6 * keep
+        for x, y in set(of) - kept:
+            assert {x % 6, y % 6} <= named
+        for c in range(6):
+            own = sorted((s for (x, y), s in of.items() if c in (x % 6, y % 6)), reverse=True)
+            assert sorted((of[x, y] for x, y in kept if c in (x % 6, y % 6)), reverse=True)[:keep] == own[:keep]
+    assert jr.Crossing(4).rows().num_rows == 0
+
+
 def test_tree_skips_no_pair():
     draw = np.random.default_rng(1)
     for _ in range(30):

@@ -13,8 +13,12 @@ link only if 7 * that sum >= 3 * (sum of both sizes), which is a similarity of 0
 3. Cells that still hold several components get packed R-trees over their points, in blocks of
    ``BLOCK`` points. Nodes outside the component of the least one search all blocks of their cell; boxes and points that
    cannot reach the overlap are skipped, and surviving pairs of different components are verified.
+4. Two components of near copies may have a surviving pair for each two of their nodes, where one link unites them. So a
+   bucket of cells gives the ``FEW`` pairs of each component that may overlap most, and names the components that have more.
+   Those that are still apart when these pairs are verified search again, for ``FEW`` times as many, until none has more.
 
-So no link between different components is lost, and pairs within a component are not made. Cells
+So no link between different components is lost (a pair is only left out while both its components are named, and then
+searched again), and pairs within a component are not made. Cells
 are counted with partial sums and joined with adaptive splitting, so neither a cell nor a group of copies with a
 third of the rows ends in one task. Sets are built again from the text, for the nodes of surviving
 pairs alone.
@@ -28,6 +32,7 @@ Columns that are not named do not matter; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +57,12 @@ MOST_IN_GROUP = 15
 ORDER_BITS = 18
 SLICES = 64
 BLOCK = 4096
+#: Rows of cells that a bucket has, about.
+BUCKET_ROWS = 1 << 13
+#: Pairs of each component that a bucket of cells gives in the first round.
+FEW = 8
+#: Pairs that a bucket collects before it leaves out what it need not give.
+COLLECTED = 1 << 18
 LEAF = 16
 NO_ID = -(2**63)
 FILTER_BITS = 1 << 20
@@ -315,6 +326,10 @@ class CountTree:
 
     def search(self, point: np.ndarray, over: int, size: int) -> np.ndarray:
         """Places of the points whose summed coordinate minima with ``point`` allow a link."""
+        return self.reach(point, over, size)[0]
+
+    def reach(self, point: np.ndarray, over: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same places, and their summed minima."""
         boxes = (4 * self.least_size <= 5.34 * size) & (4 * self.most_size >= 3 * size)
         most = most_overlap(self.high, self.high_over, point, over)
         boxes &= 7 * most >= 3 * (self.least_size + size)
@@ -324,11 +339,51 @@ class CountTree:
         fits = 4 * np.minimum(sizes, size) >= 3 * np.maximum(sizes, size)
         most = most_overlap(self.points[inside], self.over[inside], point, over)
         fits &= 7 * most >= 3 * (sizes + size)
-        return self.order[inside[fits]]
-
-
-def _search_cells(table: pa.Table) -> pa.Table:
-    """Pairs of different components from the cells of a bucket, each cell with a tree of its own."""
+        return self.order[inside[fits]], most[fits]
+
+
+class Crossing:
+    """Pairs of nodes of different components: for each component the ``keep`` that may overlap most."""
+
+    def __init__(self, keep: int):
+        self.keep, self.waiting, self.size = keep, [], 0
+        self.kept = np.zeros((4, 0), np.int64), np.zeros(0)
+        self.more = np.zeros(0, np.int64)
+
+    def add(self, nodes: np.ndarray, components: np.ndarray, share: np.ndarray) -> None:
+        """Pairs as two rows of nodes, two of their components, and the share that they may have in common."""
+        turned = nodes[0] > nodes[1]
+        nodes, components = (np.where(turned, x[::-1], x) for x in (nodes, components))
+        self.waiting.append((np.concatenate((nodes, components)), share))
+        self.size += len(share)
+        if self.size >= COLLECTED:
+            self.settle()
+
+    def settle(self) -> None:
+        """Leave out pairs that are among the best of neither of their components, and remember both."""
+        pairs, share = (np.concatenate(x, -1) for x in zip(self.kept, *self.waiting))
+        self.waiting, self.size = [], 0
+        _, once = np.unique(pairs[:2], axis=1, return_index=True)
+        pairs, share = pairs[:, once], share[once]
+        component, place = pairs[2:].ravel(), np.tile(np.arange(len(share)), 2)
+        order = np.lexsort((place, -share[place], component))
+        ordered = component[order]
+        rank = np.arange(len(order)) - np.searchsorted(ordered, ordered)
+        best = np.zeros(len(share), bool)
+        best[place[order[rank < self.keep]]] = True
+        self.more = np.union1d(self.more, pairs[2:, ~best])
+        self.kept = pairs[:, best], share[best]
+
+    def rows(self) -> pa.Table:
+        self.settle()
+        a, b = self.kept[0][:2]
+        more = np.repeat([False, True], [len(a), len(self.more)])
+        return pa.table({"a": np.append(a, self.more), "b": np.append(b, self.more), "more": more})
+
+
+def _search_cells(table: pa.Table, keep: int) -> pa.Table:
+    """Pairs (a, b) of different components from the cells of a bucket, each cell with a tree of its own, and
+    (a, a) for each component that has more of them."""
     cell = table["cell"].to_numpy()
     order = np.argsort(cell, kind="stable")
     edges = np.flatnonzero(np.diff(cell[order], prepend=cell[order][0] - 1))
@@ -338,7 +393,7 @@ def _search_cells(table: pa.Table) -> pa.Table:
     searches, stored = table["searches"].to_numpy(zero_copy_only=False), table["stored"].to_numpy(zero_copy_only=False)
     values = table["point"].to_pylist()
     groups = groups_of(values)
-    a, b = [], []
+    crossing = Crossing(keep)
 
     def search(data: np.ndarray, queries: np.ndarray, number: int) -> None:
         """Search a tree over ``data`` for each of ``queries``, with so many groups."""
@@ -348,14 +403,18 @@ def _search_cells(table: pa.Table) -> pa.Table:
         asked, asked_over = read_points([values[i] for i in queries], number)
         tree = CountTree(low, over, n[data])
         for place, q in enumerate(queries):
-            found = data[tree.search(asked[place], asked_over[place], n[q])]
+            if node[q] == lead[q]:
+                continue
+            found, most = tree.reach(asked[place], asked_over[place], n[q])
+            found = data[found]
             # A pair with the cell's least node has been verified already; one that cannot link if this
             # cell is the first that it shares is met in another.
-            found = found[(component[found] != component[q]) & (node[found] != lead[q])]
-            found = found[7 * np.minimum(rest[found], rest[q]) >= 3 * (n[found] + n[q])]
-            if node[q] != lead[q]:
-                a.extend(np.minimum(node[found], node[q]).tolist())
-                b.extend(np.maximum(node[found], node[q]).tolist())
+            wanted = (component[found] != component[q]) & (node[found] != lead[q])
+            wanted &= 7 * np.minimum(rest[found], rest[q]) >= 3 * (n[found] + n[q])
+            found, most = found[wanted], most[wanted]
+            if len(found):
+                sides = (np.stack((x[found], np.full(len(found), x[q]))) for x in (node, component))
+                crossing.add(*sides, most / (n[found] + n[q]))
 
     for start, end in zip(edges, [*edges[1:], len(order)]):
         own = order[start:end]
@@ -364,8 +423,7 @@ def _search_cells(table: pa.Table) -> pa.Table:
             both = np.concatenate((same, larger))
             search(both[stored[both]], same[searches[same]], number)
             search(same[stored[same]], larger[searches[larger]], number)
-    pairs = np.unique(np.array([a, b], np.int64).reshape(2, -1), axis=1)
-    return pa.table({"a": pairs[0], "b": pairs[1]})
+    return crossing.rows()
 
 
 def _labelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -415,19 +473,24 @@ def near_duplicates(docs: DataFrame, key: str, text: str) -> DataFrame:
     # Besides, each node with the lead that it meets most often, which unites groups of copies at once.
     often = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("cells"), "a"))
     led = met_leads.withColumn("often", often).where(F.col("first") | (F.col("often") == 1)).select("a", "b")
-    links = _verified(texts, nodes, led)
-    labels = via_table(_labelled(nodes, links), "labels")
-
-    crossing = _crossing(members, nodes, labels)
-    release(members, labels)
-    rest = _verified(texts, nodes, crossing)
-    release(crossing)
-    labels = via_table(_labelled(nodes, links.unionByName(rest)), "labels")
+    links = [_verified(texts, nodes, led)]
+    labels = via_table(_labelled(nodes, links[0]), "labels")
+    apart, keep = None, FEW
+    while apart is None or apart.count() > 1:
+        crossing = _crossing(members, nodes, labels, apart, keep)
+        links.append(_verified(texts, nodes, crossing.where("not more").select("a", "b")))
+        release(labels, *[] if apart is None else [apart])
+        labels = via_table(_labelled(nodes, reduce(DataFrame.unionByName, links)), "labels")
+        more = crossing.where("more").join(labels, F.col("a") == F.col("node"))
+        apart = via_table(more.select("component").distinct(), "apart")
+        release(crossing)
+        keep *= FEW
+    release(members, apart)
     least = nodes.join(labels, "node").groupBy("component").agg(F.min("least").alias("found"))
     named = labels.join(least, "component").select(F.col("node").alias("print"), "found")
     named = via_table(named, "components")
     slim = via_table(sized.select("id", "n", "print"), "sizes")
-    release(described, nodes, links, rest, labels)
+    release(described, nodes, labels, *links)
     return (
         slim.withColumn("print", F.when(F.col("n") > 0, F.col("print")).otherwise(F.xxhash64("id")))
         .join(named, "print", "left")
@@ -439,26 +502,35 @@ def near_duplicates(docs: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
-def _crossing(members: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components that meet in a cell and pass the tree's bounds."""
+def _crossing(
+    members: DataFrame, nodes: DataFrame, labels: DataFrame, only: DataFrame | None, keep: int
+) -> DataFrame:
+    """Rows (a, b, more): pairs of different components that meet in a cell and pass the tree's bounds, of each
+    component and bucket of cells at least the ``keep`` best; and with ``more`` the components that have others. With
+    ``only``, pairs between these components."""
     known = members.join(labels, "node").join(
         labels.select(F.col("node").alias("lead"), F.col("component").alias("lead_component")), "lead"
     )
+    if only is not None:
+        known = known.join(only, "component", "left_semi")
     known = via_table(known, "labelled-members")
-    # Two members are the least one and another, which have been verified.
+    # Two members of a whole cell are the least one and another, which have been verified.
     open_cells = (
         known.groupBy(F.col("cell").alias("of"))
         .agg(
             F.count("*").alias("size"),
             F.count_if(F.col("component") != F.col("lead_component")).alias("outside"),
+            (F.min("component") < F.max("component")).alias("several"),
         )
-        .where((F.col("size") > 2) & (F.col("outside") > 0))
+        .where((F.col("size") > (2 if only is None else 1)) & (F.col("outside") > 0) & F.col("several"))
+        .withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
     )
+    open_cells = via_table(open_cells, "open-cells")
+    dealt = open_cells.agg(F.sum(F.col("size") + F.col("outside") * (F.col("blocks") - 1))).first()[0] or 0
     own = nodes.select(F.col("node").alias("point_of"), "point")
     rows = (
         known.join(open_cells, F.col("cell") == F.col("of"))
         .join(own, F.col("node") == F.col("point_of"))
-        .withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
         .withColumn("home", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("searches", F.col("component") != F.col("lead_component"))
         .withColumn(
@@ -472,8 +544,8 @@ def _crossing(members: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFr
         .select("cell", "block", "node", "n", "place", "component", "lead", "searches", "stored", "point", "bucket")
     )
     partitions = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by = [F.pmod("bucket", F.lit(8 * partitions)).alias("bucket_number")]
-    pairs = map_groups(rows, by, lambda t: _search_cells(t), "a long, b long").distinct()
+    by = [F.pmod("bucket", F.lit(max(8 * partitions, -(-dealt // BUCKET_ROWS)))).alias("bucket_number")]
+    pairs = map_groups(rows, by, lambda t: _search_cells(t, keep), "a long, b long, more boolean").distinct()
     pairs = via_table(pairs, "crossing-pairs")
-    release(known)
+    release(known, open_cells)
     return pairs
