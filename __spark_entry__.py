@@ -39,6 +39,7 @@ from visitlake.operators.quality import (
     key_report,
     orphan_keys,
     orphan_report,
+    repeated_keys,
     union_reports,
     unreadable_report,
 )
@@ -459,6 +460,17 @@ def dq_unique_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dq_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten keys of each table that occur most often: of one column, and of two."""
+    customers, lines = fx.table(spark, sf_dir, "customer"), fx.table(spark, sf_dir, "lineitem")
+    return union_reports(
+        [
+            repeated_keys("customer", customers, ["c_nationkey"], 10),
+            repeated_keys("lineitem", lines, ["l_partkey", "l_suppkey"], 10),
+        ]
+    )
+
+
 def dq_unique_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = fx.table(spark, sf_dir, "lineitem")
     return union_reports(
@@ -731,6 +743,7 @@ def queries() -> dict[str, Query]:
         "top3_countries_per_year": top3_countries_per_year,
         "dq_unique_key": dq_unique_key,
         "dq_unique_composite": dq_unique_composite,
+        "dq_repeated_keys": dq_repeated_keys,
         "dq_not_empty": dq_not_empty,
         "dq_report": dq_report,
         "dq_row_counts": dq_row_counts,
@@ -1223,6 +1236,13 @@ def oracle_sql() -> dict[str, str]:
             {_key_report(DEMOGRAPHY, "demography", "city, state_id")}
             UNION ALL {_key_report("lineitem", "lineitem", "l_orderkey, l_linenumber")}
         """,
+        "dq_repeated_keys": """
+            (SELECT 'customer' AS table_name, 'c_nationkey=' || c_nationkey AS key, COUNT(*) AS copies
+             FROM customer GROUP BY c_nationkey HAVING COUNT(*) > 1 ORDER BY copies DESC, key LIMIT 10)
+            UNION ALL
+            (SELECT 'lineitem', 'l_partkey=' || l_partkey || ', l_suppkey=' || l_suppkey AS key, COUNT(*) AS copies
+             FROM lineitem GROUP BY l_partkey, l_suppkey HAVING COUNT(*) > 1 ORDER BY copies DESC, key LIMIT 10)
+        """,
         "dq_not_empty": f"""
             WITH {STAR}
             SELECT '{VISITS}' AS table_name, COUNT(*) AS row_count, COUNT(*) > 0 AS is_filled

@@ -12,10 +12,12 @@ from visitlake.operators.quality import (
     key_report,
     orphan_keys,
     orphan_report,
+    repeated_keys,
     unreadable_report,
 )
+from visitlake.plans.pipeline import key_problems
 from visitlake.plans.star import city_demography, immigration_facts
-from visitlake.fixed import DEMOGRAPHY_SCHEMA, VISIT_FIELDS
+from visitlake.fixed import DEMOGRAPHY_SCHEMA, DIMENSION_KEYS, PORTS, VISIT_FIELDS
 
 
 def test_rename_swaps_names(spark):
@@ -24,6 +26,37 @@ def test_rename_swaps_names(spark):
     assert tuple(df.first()) == (1, 2)
 
 
+def test_repeated_keys_are_named(spark):
+    draw = random.Random(5)
+    rows = [(draw.choice(["a", "b", "", None]), draw.choice([1, 2, 3, None])) for _ in range(60)] + [("z", 9)]
+    df = spark.createDataFrame(rows, "place string, code int")
+    shown = [
+        f"place={'NULL' if p is None else p}, code={'NULL' if c is None else c}" for p, c in rows
+    ]
+    expected = sorted(((shown.count(key), key) for key in set(shown)), key=lambda x: (-x[0], x[1]))
+    expected = [("t", key, n) for n, key in expected if n > 1]
+    for k in (0, 3, 100):
+        assert [tuple(row) for row in repeated_keys("t", df, ["place", "code"], k).collect()] == expected[:k]
+    assert repeated_keys("t", df.limit(0), ["place"], 5).collect() == []
+
+
+def test_repeated_keys_are_cut_in_the_tasks(spark):
+    df = spark.range(100).selectExpr("id % 7 as k")
+    plan = repeated_keys("t", df, ["k"], 3)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject(limit=3" in plan
+    assert plan.count("HashAggregate") >= 2
+
+
+def test_failed_key_check_names_the_keys(spark):
+    rows = [("NYC", "a"), ("NYC", "b"), ("LAX", "c"), (None, "d"), (None, "e"), (None, "f")]
+    key = DIMENSION_KEYS[PORTS]
+    ports = spark.createDataFrame(rows, f"{key[0]} string, name string")
+    report = key_report(PORTS, ports, key).collect()
+    assert key_problems(report, {PORTS: ports}) == [
+        f"{PORTS}: 6 rows, 2 keys more than once ({key[0]}=NULL: 3 times, {key[0]}=NYC: 2 times)"
+    ]
+
+
 @pytest.mark.parametrize("names", [["x"], ["x", "y", "z"]])
 def test_rename_needs_a_name_per_column(spark, names):
     with pytest.raises(ValueError):

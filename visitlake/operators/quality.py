@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitlake.functions import unreadable_sas_date
+from visitlake.operators.ranking import top_k
 
 
 def key_report(table: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -44,6 +45,20 @@ def fill_report(table: str, df: DataFrame) -> DataFrame:
     )
 
 
+def repeated_keys(table: str, df: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
+    """Rows (table_name, key, copies): the ``k`` keys that occur most often, of those that occur more than once.
+
+    ``key`` names the columns and their values, NULL included; keys of the same number of copies go by that text. Rows are
+    counted per key within each task before the shuffle, and each task hands on its own ``k`` at most.
+    """
+    parts = [F.concat(F.lit(f"{name}="), F.coalesce(F.col(name).cast("string"), F.lit("NULL"))) for name in keys]
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__copies")).where(F.col("__copies") > 1)
+    named = counted.select(
+        F.lit(table).alias("table_name"), F.concat_ws(", ", *parts).alias("key"), F.col("__copies").alias("copies")
+    )
+    return top_k(named, [F.desc("copies"), "key"], k)
+
+
 def union_reports(reports: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 

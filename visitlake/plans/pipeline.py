@@ -26,6 +26,7 @@ from visitlake.operators.quality import (
     key_report,
     orphan_keys,
     orphan_report,
+    repeated_keys,
     union_reports,
 )
 from visitlake.plans.star import build_star, city_demography, immigration_facts
@@ -88,7 +89,7 @@ def run(
         with Staged(spark, root) as staged:
             written = {table: staged.table(star[table], table) for table in DIMENSION_KEYS}
             dimensions = dimension_report(written).collect()
-            problems = section_problems(load_faults(lines, LABEL_SECTIONS)), key_problems(dimensions)
+            problems = section_problems(load_faults(lines, LABEL_SECTIONS)), key_problems(dimensions, written)
             if any(problems):  # the visits are not written in vain
                 problems = [*problems[0], *visit_problems(0 if raw_visits.isEmpty() else 1), *problems[1]]
                 require_passed(problems)
@@ -256,13 +257,13 @@ def refresh_demography(spark: SparkSession, demography_path: str, root: str) ->
     cities = city_demography(read_demography(spark, demography_path))
     if current_version(spark, root) is None:
         report = key_report(DEMOGRAPHY, cities, DIMENSION_KEYS[DEMOGRAPHY]).collect()
-        require_passed(key_problems(report))
+        require_passed(key_problems(report, {DEMOGRAPHY: cities}))
         write_dimension(cities, root, DEMOGRAPHY)
         return report[0].row_count
     with Staged(spark, root) as staged:
         written = staged.table(cities, DEMOGRAPHY)
         report = key_report(DEMOGRAPHY, written, DIMENSION_KEYS[DEMOGRAPHY]).collect()
-        require_passed(key_problems(report))
+        require_passed(key_problems(report, {DEMOGRAPHY: written}))
         staged.publish()
     return report[0].row_count
 
@@ -297,13 +298,19 @@ def require_passed(problems: list[str]) -> None:
         raise DataQualityError("data quality check not passed: " + "; ".join(problems))
 
 
-def key_problems(report: list) -> list[str]:
-    """Tables that are empty or repeat a key, from a fetched report with one row per table."""
-    return [
-        f"{row.table_name}: {row.row_count} rows, {row.duplicate_keys} keys more than once"
-        for row in report
-        if not row.is_filled or row.is_unique is False
-    ]
+def key_problems(report: list, tables: dict[str, DataFrame]) -> list[str]:
+    """Tables that are empty or repeat a key, from a fetched report with one row per table; with the keys that are
+    repeated most, which are looked up only in a table that fails."""
+    problems = []
+    for row in report:
+        if not row.is_filled or row.is_unique is False:
+            problem = f"{row.table_name}: {row.row_count} rows, {row.duplicate_keys} keys more than once"
+            keys = DIMENSION_KEYS[row.table_name]
+            if row.duplicate_keys:
+                found = repeated_keys(row.table_name, tables[row.table_name], keys, LISTED).collect()
+                problem += " (" + ", ".join(f"{one.key}: {one.copies} times" for one in found) + ")"
+            problems.append(problem)
+    return problems
 
 
 def visit_problems(records: int) -> list[str]:
