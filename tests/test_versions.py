@@ -284,3 +284,30 @@ def test_states_of_ports(spark):
     visits = spark.createDataFrame([("C", 5), ("E", 2), ("A", 9)], "airport_code string, immigrant_visits long")
     report = {tuple(row) for row in unmatched_ports(resolved, cities, visits).collect()}
     assert report == {("no such city", 4, 5), ("unknown state", 1, 2), ("no state", 2, 0)}
+
+
+def test_records_are_shuffled_once(spark, tmp_path, monkeypatch):
+    """A load and an append of many late records move them in the one shuffle that deals them for the write."""
+    moved = []
+    real_write = DataFrameWriter.parquet
+
+    def write(self, *args, **more):
+        plan = self._df._jdf.queryExecution().executedPlan().toString()
+        if f"/{VISITS}/" in str(args) or "late-records" in str(args):
+            moved.append(plan.count("Exchange rangepartitioning") + plan.count("Exchange hashpartitioning"))
+        return real_write(self, *args, **more)
+
+    root, late = str(tmp_path / "lake"), written(spark, ODD, tmp_path / "late")
+    monkeypatch.setattr(DataFrameWriter, "parquet", write)
+    load_visits(spark, raw(spark, ODD[:3]), root)
+    append_visits(spark, late, root)
+    assert moved == [1, 1]
+
+
+def test_few_late_records(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    load_visits(spark, raw(spark, [visit(number) for number in range(9)]), root)
+    late = written(spark, [visit(1), visit(20)], tmp_path / "late")
+    measures = {row.measure: row.row_count for row in append_visits(spark, late, root).collect()}
+    assert (measures["rows"], measures["known visits"]) == (1, 1)
+    assert read_visits(spark, root).count() == 10

@@ -25,14 +25,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def raw_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 18 source columns, one visit per line item of an order.
 
-    The orders meet their customers first, so the line items are shuffled for this once.
+    The orders meet their customers first, and the line items their orders before the much smaller suppliers, whose
+    size as a table lets Spark broadcast them, so the line items are shuffled for this once.
     """
     shipped = F.col("l_shipdate").cast("date")
     day = F.datediff(shipped, F.lit(SAS_EPOCH)).cast("double")
     flag = F.col("l_returnflag")
-    suppliers = table(spark, sf_dir, "supplier").join(
-        table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
-    )
     buyers = (
         table(spark, sf_dir, "orders")
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
@@ -45,8 +43,9 @@ def raw_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (
         table(spark, sf_dir, "lineitem")
-        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .select(
             F.col("l_orderkey").cast("double").alias("cicid"),
             F.year(shipped).cast("double").alias("i94yr"),

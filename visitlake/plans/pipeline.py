@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import _parse_datatype_string
 
 from visitlake.fixed import (
     DEMOGRAPHY,
@@ -33,11 +34,14 @@ from visitlake.plans.star import build_star, city_demography, immigration_facts
 from visitlake.scratch import drop_scratch, via_path
 from visitlake.sinks import refresh_month, write_dimension
 from visitlake.sinks.records import (
+    DROPPED,
     LEFT_OUT,
+    PLACE,
+    PLACE_KINDS,
     PRINTS,
     RECORDS,
     distinct_records,
-    measure_columns,
+    record_prints,
     write_distinct,
 )
 from visitlake.sources import read_demography, read_raw_visits
@@ -47,6 +51,8 @@ from visitlake.versions import Staged, current_version, read_months_of
 
 REPORT = "table_name string, measure string, row_count bigint"
 ROWS = "rows"
+#: Late records are few where the lake has this many times as many visits in their months.
+FEW = 4
 #: Faults that an error message lists; it always gives their number.
 LISTED = 20
 
@@ -93,7 +99,7 @@ def run(
             if any(problems):  # the visits are not written in vain
                 problems = [*problems[0], *visit_problems(0 if raw_visits.isEmpty() else 1), *problems[1]]
                 require_passed(problems)
-            rows, measures = _stage_records(staged, distinct_records(raw_visits), partitions, keep=False)
+            rows, measures = _stage_records(staged, distinct_records(raw_visits, partitions=partitions), keep=False)
             require_passed(visit_problems(rows))
             measures.pop(LEFT_OUT)
             counts = _visit_rows(rows, measures)
@@ -114,7 +120,7 @@ def run(
 def load_visits(spark: SparkSession, raw: DataFrame, root: str, partitions: int | None = None) -> DataFrame:
     """Publish the visits of raw records alone; the dimensions stay as they are. Returns their report."""
     with Staged(spark, root) as staged:
-        rows, measures = _stage_records(staged, distinct_records(raw), partitions, keep=False)
+        rows, measures = _stage_records(staged, distinct_records(raw, partitions=partitions), keep=False)
         require_passed(visit_problems(rows))
         staged.publish()
     measures.pop(LEFT_OUT)
@@ -138,8 +144,8 @@ def refresh_visits(
     if current_version(spark, root) is None:
         return _refresh_in_place(spark, raw, root, year, month, partitions)
     with Staged(spark, root) as staged:
-        records = distinct_records(raw, in_month(year, month))
-        rows, measures = _stage_records(staged, records, partitions, keep=False, replaced=[(year, month)])
+        records = distinct_records(raw, in_month(year, month), partitions)
+        rows, measures = _stage_records(staged, records, keep=False, replaced=[(year, month)])
         require_passed(visit_problems(rows))
         staged.publish()
     return spark.createDataFrame(_visit_rows(rows, measures), REPORT)
@@ -150,44 +156,40 @@ def append_visits(
 ) -> DataFrame:
     """Add late records of any months, less those that the lake has already, as the next version.
 
-    The lake then equals one that was loaded from all records together. Of the visits, only the two prints
-    in the months of the late records are read: those that a late record has too, and without these the
-    late records are written. Where both sides are large, Spark filters the prints by a Bloom filter of the
-    late ones before it shuffles them. The report counts the rows added, the records read and those already there.
+    The lake then equals one that was loaded from all records together. Of the visits, only the places (folder and prints)
+    in the months of the late records are read. They are dealt together with the late records, in the one shuffle that
+    also brings copies together and deals the rows for the write. Where the late records are few, the stored places are cut to
+    their prints before, by a semi join; Spark broadcasts those prints or filters by a Bloom filter of them.
+    The report counts the rows added, the records read and those already there.
     """
-    scratch = []
-    try:
-        scratch.append(via_path(distinct_records(read_raw_visits(spark, visits_path)), "late-records"))
-        late = spark.read.parquet(scratch[0])
-        with Staged(spark, root) as staged:
-            if staged.base is None:
-                raise ValueError(f"{root} has no version to add to")
-            prints = late.select(*PRINTS).schema
-            months = {(row.year, row.month) for row in late.select("year", "month").distinct().collect()}
-            stored = read_months_of(spark, root, staged.base, VISITS, prints, only=months).select(*PRINTS)
-            known = stored.join(late.select(*PRINTS), PRINTS, "left_semi")
-            new = late.join(known, PRINTS, "left_anti")
-            rows, _ = _stage_records(staged, new, partitions, keep=True)
-            measures = late.agg(*measure_columns()).first().asDict()
-            measures.pop(LEFT_OUT)
-            repeated = late.count() - rows
-            if rows:
-                staged.publish()
-    finally:
-        for path in scratch:
-            drop_scratch(spark, path)
+    late = read_raw_visits(spark, visits_path)
+    with Staged(spark, root) as staged:
+        if staged.base is None:
+            raise ValueError(f"{root} has no version to add to")
+        months = late.groupBy(whole_number(YEAR_FIELD).alias("year"), whole_number(MONTH_FIELD).alias("month"))
+        counted = {(row.year, row.month): row.records for row in months.agg(F.count(F.lit(1)).alias("records")).collect()}
+        kinds = ", ".join(f"{name} {kind}" for name, kind in zip(PLACE, PLACE_KINDS))
+        stored = read_months_of(spark, root, staged.base, VISITS, _parse_datatype_string(kinds), only=set(counted))
+        known = sum(month.visits for month in staged.base.months if (month.year, month.month) in counted)
+        if sum(counted.values()) * FEW <= known:
+            stored = stored.join(record_prints(late), PRINTS, "left_semi")
+        rows, measures = _stage_records(staged, distinct_records(late, partitions=partitions, stored=stored), keep=True)
+        if rows:
+            staged.publish()
+    measures.pop(LEFT_OUT)
+    repeated = measures.pop(DROPPED)
     report = [*_visit_rows(rows, measures), (VISITS, "known visits", repeated)]
     return spark.createDataFrame(report, REPORT)
 
 
 def _stage_records(
-    staged: Staged, records: DataFrame, partitions: int | None, keep: bool, replaced: Sequence[tuple] = ()
+    staged: Staged, records: DataFrame, keep: bool, replaced: Sequence[tuple] = ()
 ) -> tuple[int, dict[str, int]]:
     """Write ``distinct_records`` aside; returns the number of visits and the measures of the records."""
     measures = {}
 
     def write(path: str):
-        schema, found = write_distinct(records, path, partitions)
+        schema, found = write_distinct(records, path)
         measures.update(found)
         return schema
 
@@ -195,7 +197,7 @@ def _stage_records(
 
 
 def _visit_rows(rows: int, measures: dict[str, int]) -> list[tuple[str, str, int]]:
-    return [(VISITS, ROWS, rows)] + [(VISITS, name, n) for name, n in measures.items() if name != RECORDS]
+    return [(VISITS, ROWS, rows)] + [(VISITS, name, n) for name, n in measures.items() if name not in (RECORDS, DROPPED)]
 
 
 def _rejects(city_cells: DataFrame, label_codes: DataFrame) -> list[tuple[str, str, int]]:

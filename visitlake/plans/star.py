@@ -59,7 +59,8 @@ def typed_field(source: str, kind: str) -> Column:
     if kind == "int":
         return whole_number(source)
     if source == PORT_FIELD:
-        return F.nullif(F.col(source).cast("string"), F.lit(""))
+        text = F.col(source).cast("string")
+        return F.when(text != "", text)
     return F.col(source)
 
 
