@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 
 from visitlake.llm import jaccard_rtree as jr
 from visitlake.llm.components import components
@@ -168,6 +169,54 @@ def test_points_of_many_counts():
             assert (low[row] <= counts).all()
 
 
+def random_cells(seed, cells, most):
+    """Rows (cell, node, n, place) by cell and node, some of them twice."""
+    draw = np.random.default_rng(seed)
+    rows = set()
+    for cell in range(cells):
+        for _ in range(int(draw.integers(1, most))):
+            n = int(draw.integers(8, 20))
+            rows.add((cell, int(draw.integers(0, 500)), n, int(draw.integers(0, jr.needed_length(np.int64(n))))))
+    rows = {row[:2]: row for row in sorted(rows)}
+    return sorted([*rows.values(), *list(rows.values())[::5]])
+
+
+def test_members_have_a_partner(monkeypatch):
+    """In any batches; a row without one is left out, unless its cell has very many."""
+    for block, size in ((1000, 7), (1000, 400), (20, 3), (20, 64)):
+        monkeypatch.setattr(jr, "BLOCK", block)
+        monkeypatch.setattr(jr, "PAIRS", size)
+        rows = random_cells(block + size, 60, 40)
+        columns = [np.array(x) for x in zip(*rows)]
+        whole = pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["cell", "node", "n", "place"])
+        batches = [whole.slice(at, size) for at in range(0, len(rows), size)]
+        found = [tuple(r.values()) for b in jr._members(iter(batches)) for r in b.to_pylist()]
+        expected = []
+        for cell in range(60):
+            own = sorted({r[1:] for r in rows if r[0] == cell})
+            kept = [
+                (x, n, p) for x, n, p in own
+                if len(own) > block or any(
+                    x != y and 4 * min(n, m) >= 3 * max(n, m) and 7 * min(n - p, m - o) >= 3 * (n + m) for y, m, o in own
+                )
+            ]
+            expected += [(cell, kept[0][0], *row) for row in kept]
+        assert found == expected
+        assert 0 < len(expected) < len(set(rows)) or block == 20
+
+
+def test_cells_are_made_and_moved_once(spark, edge_docs, monkeypatch):
+    plans, written = {}, jr.via_table
+
+    def via_table(df, name):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return written(df, name)
+
+    monkeypatch.setattr(jr, "via_table", via_table)
+    jr.near_duplicates(edge_docs, "doc_id", "text")
+    assert plans["members"].count("Exchange") == 1 and "Join" not in plans["members"]
+
+
 def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (5, 5)], "a long, b long")
     got = {r["node"]: r["component"] for r in components(links).collect()}

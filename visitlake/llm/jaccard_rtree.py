@@ -6,7 +6,8 @@ link only if 7 * that sum >= 3 * (sum of both sizes), which is a similarity of 0
 
 1. Documents with the same shingles are one node. A node's shingles are ordered, those of
    seldom filled groups first. By the same bound with the finest groups, two nodes that link share one of the
-   first n - ceil(0.75 n) + 1, so it is enough to compare nodes that meet in such a cell.
+   first n - ceil(0.75 n) + 1, so it is enough to compare nodes that meet in such a cell. The cells are made and shuffled
+   once, and a node that by sizes and places can link with no other of a cell leaves it (unless it has over ``BLOCK`` rows).
 2. In each cell every node is held against the cell's least node, so a cell of g nodes gives g - 1 pairs. The first
    shingle that a pair shares bounds its overlap by what follows it in either, so a pair that cannot link if this
    cell is its first is left to the cell that is; but every node is held against the one that it meets most. Pairs that pass the bounds are verified with their full sets, and linked nodes become components.
@@ -18,10 +19,9 @@ link only if 7 * that sum >= 3 * (sum of both sizes), which is a similarity of 0
    Those that are still apart when these pairs are verified search again, for ``FEW`` times as many, until none has more.
 
 So no link between different components is lost (a pair is only left out while both its components are named, and then
-searched again), and pairs within a component are not made. Cells
-are counted with partial sums and joined with adaptive splitting, so neither a cell nor a group of copies with a
-third of the rows ends in one task. Sets are built again from the text, for the nodes of surviving
-pairs alone.
+searched again), and pairs within a component are not made. All rows of a cell meet in one task, which
+passes a large one on in batches and never holds it; copies are sent once by each task that reads them. Trees of large cells are
+dealt in blocks. Sets are built again from the text, for the nodes of surviving pairs alone.
 
 Defined results: A to Z are lower-cased and words are what blanks and the controls 0x09 to 0x0D
 separate. A text with fewer than five words is one shingle. A null text, or one without words, has none
@@ -63,6 +63,9 @@ BUCKET_ROWS = 1 << 13
 FEW = 8
 #: Pairs that a bucket collects before it leaves out what it need not give.
 COLLECTED = 1 << 18
+#: Pairs of rows that are compared at once, and bytes of points that a tree has, about.
+PAIRS = 1 << 18
+TREE_BYTES = 1 << 24
 LEAF = 16
 NO_ID = -(2**63)
 FILTER_BITS = 1 << 20
@@ -198,10 +201,13 @@ def _cells(texts: DataFrame, levels: np.ndarray) -> DataFrame:
     sent = texts.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in pieces(batches):
             hashes, first = shingle_sets(texts_of(batch.column("text")))
             nodes, size = prints(hashes, first), np.diff(first)
-            _, kept = np.unique(nodes, return_index=True)  # copies within the piece say the same
+            _, kept = np.unique(nodes, return_index=True)
+            kept = kept[[node not in seen for node in nodes[kept].tolist()]]  # copies within the task say the same
+            seen.update(nodes[kept].tolist())
             once = np.zeros(len(nodes), bool)
             once[kept] = True
             level = sent.value[(hashes >> np.uint64(BITS - ORDER_BITS)).astype(np.int64)]
@@ -224,6 +230,88 @@ def _cells(texts: DataFrame, levels: np.ndarray) -> DataFrame:
     return map_batches(texts.select("text"), run, "cell long, node long, n int, place int")
 
 
+def may_link(n: np.ndarray, rest: np.ndarray, other_n: np.ndarray, other_rest: np.ndarray) -> np.ndarray:
+    """Whether two sets can link by their sizes, if a cell is the first that they share: nothing before it is common,
+    so what either has from there on (``rest``) bounds the overlap."""
+    fits = 4 * np.minimum(n, other_n) >= 3 * np.maximum(n, other_n)
+    return fits & (7 * np.minimum(rest, other_rest) >= 3 * (n + other_n))
+
+
+def pairs_within(begin: np.ndarray, end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All (i, j) with begin[i] <= j < end[i], in parts of about ``PAIRS``."""
+    counts = end - begin
+    total = np.cumsum(counts)
+    start = 0
+    while start < len(counts):
+        done = total[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(total, done + PAIRS, "right")))
+        own = counts[start:stop]
+        i = np.repeat(np.arange(start, stop), own)
+        yield i, np.arange(len(i)) - np.repeat(np.cumsum(own) - own, own) + begin[i]
+        start = stop
+
+
+def with_partner(cell: np.ndarray, n: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """Which of the rows, ordered by cell, have another one in their cell with which they may link."""
+    begin, end = np.searchsorted(cell, cell), np.searchsorted(cell, cell, "right")
+    found = np.zeros(len(cell), bool)
+    for i, j in pairs_within(np.arange(1, len(cell) + 1), end):
+        fits = may_link(n[i], rest[i], n[j], rest[j])
+        found[i[fits]] = found[j[fits]] = True
+    # Pairs of a cell of very many rows are not formed.
+    return found | (end - begin > BLOCK)
+
+
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows ordered by cell and node those that may link with another one in their cell, once each, with the least
+    node of these as the cell's lead. A cell of more rows than ``BLOCK`` is passed on as it comes, whole."""
+    names = ["cell", "node", "n", "place"]
+    rows = [np.zeros(0, np.int64) for _ in names]
+    large, lead, last = None, 0, 0  # a cell of which rows have been passed on
+
+    def settled(rows: list[np.ndarray]) -> pa.RecordBatch:
+        cell, node, n, place = rows
+        kept = with_partner(cell, n, n - place)
+        cell, node, n, place = (x[kept] for x in rows)
+        least = node[np.searchsorted(cell, cell)]
+        columns = [cell, least, node, n.astype(np.int32), place.astype(np.int32)]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["cell", "lead", "node", "n", "place"])
+
+    def passed(rows: list[np.ndarray]) -> pa.RecordBatch:
+        cell, node, n, place = rows
+        columns = [cell, np.full(len(cell), lead), node, n.astype(np.int32), place.astype(np.int32)]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["cell", "lead", "node", "n", "place"])
+
+    for batch in batches:
+        rows = [np.concatenate((x, batch.column(name).to_numpy().astype(np.int64))) for x, name in zip(rows, names)]
+        once = np.ones(len(rows[0]), bool)
+        once[1:] = (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])
+        rows = [x[once] for x in rows]
+        if large is not None:
+            more = int(np.searchsorted(rows[0], large, "right"))
+            own = [x[:more] for x in rows]
+            fresh = own[1] != last
+            if fresh.any():
+                yield passed([x[fresh] for x in own])
+                last = own[1][-1]
+            rows = [x[more:] for x in rows]
+            if not len(rows[0]):
+                continue
+            large = None
+        if not len(rows[0]):
+            continue
+        whole = int(np.searchsorted(rows[0], rows[0][-1]))
+        if whole:
+            yield settled([x[:whole] for x in rows])
+            rows = [x[whole:] for x in rows]
+        if len(rows[0]) > BLOCK:
+            large, lead, last = rows[0][0], rows[1][0], rows[1][-1]
+            yield passed(rows)
+            rows = [x[:0] for x in rows]
+    if len(rows[0]):
+        yield settled(rows)
+
+
 def _within(a: str, b: str) -> Column:
     """Sizes that allow a link."""
     return 4 * F.least(a, b) >= 3 * F.greatest(a, b)
@@ -313,12 +401,18 @@ def _sets(texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> tuple[DataFra
 
 
 class CountTree:
-    """A packed R-tree of two levels over points: leaves of ``LEAF`` points of similar size."""
+    """A packed R-tree of two levels over points: leaves of up to ``LEAF`` points of similar size, of one cell each."""
 
-    def __init__(self, points: np.ndarray, over: np.ndarray, sizes: np.ndarray):
-        self.order = np.lexsort((points.argmax(1), sizes))
+    def __init__(self, points: np.ndarray, over: np.ndarray, sizes: np.ndarray, cells: np.ndarray | None = None):
+        cells = np.zeros(len(points), np.int64) if cells is None else cells
+        self.order = np.lexsort((points.argmax(1), sizes, cells))
+        self.place = np.empty(len(points), np.int64)
+        self.place[self.order] = np.arange(len(points))
         self.points, self.over, self.sizes = points[self.order], over[self.order], sizes[self.order]
-        starts = np.arange(0, len(points), LEAF)
+        ordered = cells[self.order]
+        starts = (np.arange(len(points)) - np.searchsorted(ordered, ordered)) % LEAF == 0
+        self.leaf = np.cumsum(starts) - 1
+        starts = np.flatnonzero(starts)
         self.high = np.maximum.reduceat(self.points, starts, axis=0)
         self.high_over = np.maximum.reduceat(self.over, starts)
         self.least_size = np.minimum.reduceat(self.sizes, starts)
@@ -326,20 +420,37 @@ class CountTree:
 
     def search(self, point: np.ndarray, over: int, size: int) -> np.ndarray:
         """Places of the points whose summed coordinate minima with ``point`` allow a link."""
-        return self.reach(point, over, size)[0]
-
-    def reach(self, point: np.ndarray, over: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """The same places, and their summed minima."""
-        boxes = (4 * self.least_size <= 5.34 * size) & (4 * self.most_size >= 3 * size)
-        most = most_overlap(self.high, self.high_over, point, over)
-        boxes &= 7 * most >= 3 * (self.least_size + size)
-        inside = (np.flatnonzero(boxes)[:, None] * LEAF + np.arange(LEAF)).ravel()
-        inside = inside[inside < len(self.points)]
-        sizes = self.sizes[inside]
-        fits = 4 * np.minimum(sizes, size) >= 3 * np.maximum(sizes, size)
-        most = most_overlap(self.points[inside], self.over[inside], point, over)
-        fits &= 7 * most >= 3 * (sizes + size)
-        return self.order[inside[fits]], most[fits]
+        every = np.arange(len(self.points))
+        return every[self.reach(point[None], np.array([over]), np.array([size]), np.zeros_like(every), every)[0]]
+
+    def reach(
+        self, points: np.ndarray, over: np.ndarray, sizes: np.ndarray, asked: np.ndarray, found: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Which pairs of a query (place in ``points``) and a point of the tree allow a link, and their summed minima.
+        Boxes that a query cannot link with are skipped with all their points."""
+        place = self.place[found]
+        leaves = len(self.high)
+        visits, visit = np.unique(asked * leaves + self.leaf[place], return_inverse=True)
+        query, leaf = np.divmod(visits, leaves)
+        boxes = (4 * self.least_size[leaf] <= 5.34 * sizes[query]) & (4 * self.most_size[leaf] >= 3 * sizes[query])
+        most = _overlaps(self.high, self.high_over, points, over, leaf, query, boxes)
+        boxes &= 7 * most >= 3 * (self.least_size[leaf] + sizes[query])
+        n, other = self.sizes[place], sizes[asked]
+        fits = boxes[visit] & (4 * np.minimum(n, other) >= 3 * np.maximum(n, other))
+        most = _overlaps(self.points, self.over, points, over, place, asked, fits)
+        fits &= 7 * most >= 3 * (n + other)
+        return fits, most
+
+
+def _overlaps(low_a, over_a, low_b, over_b, a, b, wanted) -> np.ndarray:
+    """``most_overlap`` of the wanted pairs of places, 0 for others; a part at a time."""
+    most = np.zeros(len(a), np.int64)
+    rows = np.flatnonzero(wanted)
+    step = max(1, TREE_BYTES // 4 // low_a.shape[1])
+    for start in range(0, len(rows), step):
+        at = rows[start : start + step]
+        most[at] = most_overlap(low_a[a[at]], over_a[a[at]], low_b[b[at]], over_b[b[at]])
+    return most
 
 
 class Crossing:
@@ -382,50 +493,45 @@ class Crossing:
 
 
 def _search_cells(table: pa.Table, keep: int) -> pa.Table:
-    """Pairs (a, b) of different components from the cells of a bucket, each cell with a tree of its own, and
+    """Pairs (a, b) of different components from the cells of a bucket, by trees whose leaves are of one cell each, and
     (a, a) for each component that has more of them."""
-    cell = table["cell"].to_numpy()
-    order = np.argsort(cell, kind="stable")
-    edges = np.flatnonzero(np.diff(cell[order], prepend=cell[order][0] - 1))
-    node, n = table["node"].to_numpy(), table["n"].to_numpy().astype(np.int64)
+    table = table.take(np.argsort(table["cell"].to_numpy(), kind="stable"))
+    cell, node, n = table["cell"].to_numpy(), table["node"].to_numpy(), table["n"].to_numpy().astype(np.int64)
     component, lead = table["component"].to_numpy(), table["lead"].to_numpy()
     rest = n - table["place"].to_numpy()
     searches, stored = table["searches"].to_numpy(zero_copy_only=False), table["stored"].to_numpy(zero_copy_only=False)
     values = table["point"].to_pylist()
     groups = groups_of(values)
     crossing = Crossing(keep)
-
-    def search(data: np.ndarray, queries: np.ndarray, number: int) -> None:
-        """Search a tree over ``data`` for each of ``queries``, with so many groups."""
-        if not len(data) or not len(queries):
-            return
-        low, over = read_points([values[i] for i in data], number)
-        asked, asked_over = read_points([values[i] for i in queries], number)
-        tree = CountTree(low, over, n[data])
-        for place, q in enumerate(queries):
-            if node[q] == lead[q]:
-                continue
-            found, most = tree.reach(asked[place], asked_over[place], n[q])
-            found = data[found]
-            # A pair with the cell's least node has been verified already; one that cannot link if this
-            # cell is the first that it shares is met in another.
-            wanted = (component[found] != component[q]) & (node[found] != lead[q])
-            wanted &= 7 * np.minimum(rest[found], rest[q]) >= 3 * (n[found] + n[q])
-            found, most = found[wanted], most[wanted]
-            if len(found):
-                sides = (np.stack((x[found], np.full(len(found), x[q]))) for x in (node, component))
-                crossing.add(*sides, most / (n[found] + n[q]))
-
-    for start, end in zip(edges, [*edges[1:], len(order)]):
-        own = order[start:end]
-        for number in np.unique(groups[own]).tolist():
-            same, larger = own[groups[own] == number], own[groups[own] == 4 * number]
-            both = np.concatenate((same, larger))
-            search(both[stored[both]], same[searches[same]], number)
-            search(same[stored[same]], larger[searches[larger]], number)
+    data, queries = np.flatnonzero(stored), np.flatnonzero(searches & (node != lead))
+    begin, end = (np.searchsorted(cell[data], cell[queries], side) for side in ("left", "right"))
+    for i, j in pairs_within(begin, end):
+        q, d = queries[i], data[j]
+        # A pair with the cell's least node has been verified already; one that cannot link if this
+        # cell is the first that it shares is met in another; one that meets both ways here is searched once.
+        wanted = (component[d] != component[q]) & (node[d] != lead[q]) & may_link(n[q], rest[q], n[d], rest[d])
+        wanted &= ~(searches[d] & stored[q]) | (node[q] > node[d])
+        q, d = q[wanted], d[wanted]
+        least = np.minimum(groups[q], groups[d])
+        for number in np.unique(least).tolist():
+            own = least == number
+            for some_q, some_d in _parts(q[own], d[own], max(1, TREE_BYTES // number)):
+                (asked, by), (kept, to) = (np.unique(x, return_inverse=True) for x in (some_q, some_d))
+                tree = CountTree(*read_points([values[x] for x in kept], number), n[kept], cell[kept])
+                fits, most = tree.reach(*read_points([values[x] for x in asked], number), n[asked], by, to)
+                found, most = np.stack((some_d[fits], some_q[fits])), most[fits]
+                if len(most):
+                    crossing.add(node[found], component[found], most / n[found].sum(0))
     return crossing.rows()
 
 
+def _parts(q: np.ndarray, d: np.ndarray, rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs in parts that name about so many different rows on either side."""
+    step = rows if max(len(np.unique(q)), len(np.unique(d))) > rows else max(len(q), 1)
+    for start in range(0, len(q), step):
+        yield q[start : start + step], d[start : start + step]
+
+
 def _labelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """Rows (node, component) of all nodes."""
     found = components(links).select(F.col("node").alias("linked"), F.col("component").alias("found"))
@@ -451,16 +557,8 @@ def near_duplicates(docs: DataFrame, key: str, text: str) -> DataFrame:
     )
     nodes = via_table(nodes, "nodes")
 
-    met = _cells(texts, group_levels(described))
-    shared = (
-        met.groupBy("cell")
-        .agg(F.min("node").alias("lead"), F.max("node").alias("other"))
-        .where(F.col("lead") < F.col("other"))
-        .select(F.col("cell").alias("of"), "lead")
-    )
-    members = via_table(
-        met.join(shared, F.col("cell") == F.col("of")).select("cell", "lead", "node", "n", "place").distinct(), "members"
-    )
+    met = _cells(texts, group_levels(described)).repartition("cell").sortWithinPartitions("cell", "node")
+    members = via_table(map_batches(met, _members, "cell long, lead long, node long, n int, place int"), "members")
     leads = members.where(F.col("node") == F.col("lead")).select(
         F.col("cell").alias("of"), F.col("n").alias("lead_n"), F.col("place").alias("lead_place")
     )
@@ -508,12 +606,13 @@ def _crossing(
     """Rows (a, b, more): pairs of different components that meet in a cell and pass the tree's bounds, of each
     component and bucket of cells at least the ``keep`` best; and with ``more`` the components that have others. With
     ``only``, pairs between these components."""
-    known = members.join(labels, "node").join(
+    own = labels if only is None else via_table(labels.join(only, "component", "left_semi"), "own-labels")
+    known = members.join(own, "node").join(
         labels.select(F.col("node").alias("lead"), F.col("component").alias("lead_component")), "lead"
     )
-    if only is not None:
-        known = known.join(only, "component", "left_semi")
     known = via_table(known, "labelled-members")
+    if only is not None:
+        release(own)
     # Two members of a whole cell are the least one and another, which have been verified.
     open_cells = (
         known.groupBy(F.col("cell").alias("of"))
